@@ -10,8 +10,8 @@ from flarebook.functions.notice_text import BLANK, BLANK_CHARACTERS
 # Fixed values of the notice format.
 NUMBER = r"[-+]?\d+(?:\.\d+)?"
 DEGREES = rf"({NUMBER}){BLANK}*d\b"
-LEADING = rf"^{BLANK}*({NUMBER})"
-LEADING_DIGITS = rf"^{BLANK}*([-+]?\d+)"
+LEADING = rf"^ *{BLANK}*({NUMBER})"
+LEADING_DIGITS = rf"^ *{BLANK}*([-+]?\d+)"
 PAIR = rf"({NUMBER}){BLANK}*,{BLANK}*({NUMBER})"
 DAY_NUMBER = rf"([-+]?\d+)(?:\.\d+)?{BLANK}*TJD"
 DAY_SECONDS = rf"({NUMBER}){BLANK}*SOD"
@@ -59,33 +59,45 @@ def position_pair(value: Column) -> tuple[Column, Column]:
     return to_double(F.regexp_extract(value, both, 1)), to_double(F.regexp_extract(value, both, 2))
 
 
-def day_number_date(value: Column) -> Column:
-    days = F.regexp_extract(value, DAY_NUMBER, 1).try_cast("int")
+def day_number(value: Column) -> Column:
+    """Whole days since the day zero of the format."""
+    return F.regexp_extract(value, DAY_NUMBER, 1).try_cast("int")
+
+
+def day_seconds(value: Column) -> Column:
+    return F.nullif(F.regexp_extract(value, DAY_SECONDS, 1), F.lit("")).try_cast("double")
+
+
+def day_date(days: Column) -> Column:
+    """Calendar date of a day number; null outside the years 1 to 9999."""
     return F.when(
         days.between(*DAY_NUMBER_RANGE), F.date_add(F.lit(DAY_ZERO).cast("date"), days)
     )
 
 
-def day_timestamp(date_value: Column, time_value: Column) -> Column:
+def day_timestamp(days: Column, seconds: Column) -> Column:
     """Day number plus seconds of day, to the microsecond; may pass midnight."""
-    seconds = F.regexp_extract(time_value, DAY_SECONDS, 1).try_cast("double")
     whole = F.when(F.abs(seconds) < 1e12, seconds).cast("bigint")
     micros = (
-        F.unix_date(day_number_date(date_value)).cast("bigint") * 86_400_000_000
+        F.unix_date(day_date(days)).cast("bigint") * 86_400_000_000
         + whole * 1_000_000
         + F.rint((seconds - whole) * 1_000_000).cast("bigint")
     )
     return F.when(micros.between(*MICROS_RANGE), F.timestamp_micros(micros))
 
 
-def calendar_timestamp(value: Column) -> Column:
-    """``Wed 13 Aug 25 04:12:33 UT``; two-digit years from 69 on are 19xx.
+def calendar_parts(value: Column) -> Column:
+    """Year, month name, day and clock of ``Wed 13 Aug 25 04:12:33 UT``.
 
-    A weekday is required but not compared with the date.
+    One match gives all four; text of another form is one part as it is.
     """
     clean = F.btrim(F.replace(value, F.lit(ZONE_LABEL), F.lit("")), F.lit(BLANK_CHARACTERS))
-    # One match gives all parts; text of another form stays as it is.
-    parts = F.split(F.regexp_replace(F.lower(clean), CALENDAR, "$3/$2/$1/$4"), "/")
+    return F.split(F.regexp_replace(F.lower(clean), CALENDAR, "$3/$2/$1/$4"), "/")
+
+
+def calendar_timestamp(parts: Column) -> Column:
+    """Two-digit years from 69 on are 19xx. A weekday was required but is not
+    compared with the date."""
     year, month, day, clock = (F.get(parts, F.lit(i)) for i in range(4))
     month_number = ((F.instr(F.lit(MONTHS), month) + 2) / 3).cast("int")
     century = F.when(F.length(year) == 4, "").when(year >= "69", "19").otherwise("20")

@@ -25,7 +25,10 @@ BLANK_CHARACTERS = (
     "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-FIELD_NAME = r"[A-Z][A-Z0-9_]*"
+# Listed one by one, because Java looks single characters up in a bit set but
+# tests ranges one after the other.
+UPPER_CASE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+FIELD_NAME = f"[{UPPER_CASE}][{UPPER_CASE}0123456789_]*"
 NO_BREAK_SPACE = "\xa0"
 
 REPEATED_FIELD = "COMMENTS"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flarebook.functions import extract as x
 from flarebook.functions import notice_text as t
 from flarebook.functions.keys import notice_key
-from flarebook.schemas import LINEAGE, SILVER_COLUMNS
+from flarebook.schemas import LINEAGE, NOTICE_TYPES
 
 # Fields kept as text, and fields read into typed columns.
 TEXT_FIELDS = (
@@ -45,54 +45,67 @@ TYPED_FIELDS = (
 
 
 
-def notice_columns() -> dict[str, Column]:
-    """The typed columns of a notice, over a frame with its entries."""
-    field = t.entry_value
-    trigger = x.leading_integer(field("TRIGGER_NUM"))
-    record = x.leading_integer(field("RECORD_NUM"), "int")
-    galactic = x.coordinate_pair(field("GAL_COORDS"))
-    ecliptic = x.coordinate_pair(field("ECL_COORDS"))
-    sun = x.position_pair(field("SUN_POSTN"))
-    moon = x.position_pair(field("MOON_POSTN"))
-    columns = {
-        "notice_key": notice_key(trigger, record),
-        "trigger_num": trigger,
-        "record_num": record,
-        "notice_time": x.calendar_timestamp(field("NOTICE_DATE")),
-        "burst_time": x.day_timestamp(field("GRB_DATE"), field("GRB_TIME")),
-        "burst_date": x.day_number_date(field("GRB_DATE")),
-        "ra_deg": x.first_degrees(field("GRB_RA")),
-        "dec_deg": x.first_degrees(field("GRB_DEC")),
-        "error_radius_deg": x.leading_number(field("GRB_ERROR")),
-        "phi_deg": x.leading_number(field("GRB_PHI")),
-        "theta_deg": x.leading_number(field("GRB_THETA")),
-        "galactic_lon_deg": galactic[0],
-        "galactic_lat_deg": galactic[1],
-        "ecliptic_lon_deg": ecliptic[0],
-        "ecliptic_lat_deg": ecliptic[1],
-        "sun_ra_deg": sun[0],
-        "sun_dec_deg": sun[1],
-        "sun_dist_deg": x.leading_number(field("SUN_DIST")),
-        "moon_ra_deg": moon[0],
-        "moon_dec_deg": moon[1],
-        "moon_dist_deg": x.leading_number(field("MOON_DIST")),
-        "moon_illum_pct": x.leading_number(field("MOON_ILLUM")),
-    }
-    for name in TEXT_FIELDS:
-        value = t.joined_entries(name) if name == t.REPEATED_FIELD else t.text_field(name)
-        columns[name.lower()] = value
-    columns["rescued_fields"] = t.other_fields((*TYPED_FIELDS, *TEXT_FIELDS))
-    columns["is_parsed"] = trigger.isNotNull()
-    return columns
+def _text(name: str) -> Column:
+    return t.joined_entries(name) if name == t.REPEATED_FIELD else t.text_field(name)
+
+
+# What is read from one field each, over a frame that has its entries. The last
+# three are no Silver columns but parts of some.
+FOUND: dict[str, Callable[[], Column]] = {
+    "trigger_num": lambda: x.leading_integer(t.entry_value("TRIGGER_NUM")),
+    "record_num": lambda: x.leading_integer(t.entry_value("RECORD_NUM"), "int"),
+    "ra_deg": lambda: x.first_degrees(t.entry_value("GRB_RA")),
+    "dec_deg": lambda: x.first_degrees(t.entry_value("GRB_DEC")),
+    "error_radius_deg": lambda: x.leading_number(t.entry_value("GRB_ERROR")),
+    "phi_deg": lambda: x.leading_number(t.entry_value("GRB_PHI")),
+    "theta_deg": lambda: x.leading_number(t.entry_value("GRB_THETA")),
+    "galactic_lon_deg": lambda: x.coordinate_pair(t.entry_value("GAL_COORDS"))[0],
+    "galactic_lat_deg": lambda: x.coordinate_pair(t.entry_value("GAL_COORDS"))[1],
+    "ecliptic_lon_deg": lambda: x.coordinate_pair(t.entry_value("ECL_COORDS"))[0],
+    "ecliptic_lat_deg": lambda: x.coordinate_pair(t.entry_value("ECL_COORDS"))[1],
+    "sun_ra_deg": lambda: x.position_pair(t.entry_value("SUN_POSTN"))[0],
+    "sun_dec_deg": lambda: x.position_pair(t.entry_value("SUN_POSTN"))[1],
+    "sun_dist_deg": lambda: x.leading_number(t.entry_value("SUN_DIST")),
+    "moon_ra_deg": lambda: x.position_pair(t.entry_value("MOON_POSTN"))[0],
+    "moon_dec_deg": lambda: x.position_pair(t.entry_value("MOON_POSTN"))[1],
+    "moon_dist_deg": lambda: x.leading_number(t.entry_value("MOON_DIST")),
+    "moon_illum_pct": lambda: x.leading_number(t.entry_value("MOON_ILLUM")),
+    **{name.lower(): lambda name=name: _text(name) for name in TEXT_FIELDS},
+    "rescued_fields": lambda: t.other_fields((*TYPED_FIELDS, *TEXT_FIELDS)),
+    "notice_date_parts": lambda: x.calendar_parts(t.entry_value("NOTICE_DATE")),
+    "burst_days": lambda: x.day_number(t.entry_value("GRB_DATE")),
+    "burst_seconds": lambda: x.day_seconds(t.entry_value("GRB_TIME")),
+}
+
+# What is put together from found values. Found values in several places are a
+# projection of their own, so none of them is searched for twice.
+COMBINED: dict[str, tuple[tuple[str, ...], Callable[..., Column]]] = {
+    "notice_key": (("trigger_num", "record_num"), notice_key),
+    "notice_time": (("notice_date_parts",), x.calendar_timestamp),
+    "burst_time": (("burst_days", "burst_seconds"), x.day_timestamp),
+    "burst_date": (("burst_days",), x.day_date),
+    "is_parsed": (("trigger_num",), Column.isNotNull),
+}
 
 
 def parse_notices(
-    bronze: DataFrame, cut: Callable[[DataFrame], DataFrame] = t.with_entries
+    bronze: DataFrame,
+    names: Iterable[str] = tuple(NOTICE_TYPES),
+    cut: Callable[[DataFrame], DataFrame] = t.with_entries,
 ) -> DataFrame:
-    """Notice columns, the way back to the broker, and the untouched payload."""
-    notice = [column.alias(name) for name, column in notice_columns().items()]
-    frame = cut(bronze).select(*notice, *LINEAGE, F.col("payload").alias("raw_payload"))
-    return frame.select(*SILVER_COLUMNS)
+    """The named notice columns, the way back to the broker, the payload as sent."""
+    names = tuple(names)
+    needed = dict.fromkeys(part for name in names for part in COMBINED.get(name, ((name,),))[0])
+    carried = [*LINEAGE, F.col("payload").alias("raw_payload")]
+    found = cut(bronze).select(*[FOUND[part]().alias(part) for part in needed], *carried)
+
+    def column(name: str) -> Column:
+        if name not in COMBINED:
+            return F.col(name)
+        parts, combine = COMBINED[name]
+        return combine(*map(F.col, parts)).alias(name)
+
+    return found.select(*map(column, names), *LINEAGE, "raw_payload")
 
 
 def cleaned(silver: DataFrame) -> DataFrame:

@@ -60,7 +60,7 @@ def _layer_query(build: Callable[[Layers], DataFrame]) -> Query:
 
 def _parsed(*columns: str) -> Query:
     """Chosen columns straight from Bronze: only these are parsed."""
-    return _layer_query(lambda layers: parse_notices(layers.bronze()).select("offset", *columns))
+    return _layer_query(lambda layers: parse_notices(layers.bronze(), columns).select("offset", *columns))
 
 
 def _raw(**fields: Column) -> Query:
@@ -142,7 +142,7 @@ def rebuild_equals_stream(layers: Layers) -> DataFrame:
 def parse_udf_equals_native(layers: Layers) -> DataFrame:
     bronze = layers.bronze().drop("ingested_at").withColumn("ingested_at", F.col("kafka_timestamp"))
     return quality.differences(
-        parse_notices(bronze, with_arrow_entries), parse_notices(bronze), ["topic", "partition"]
+        parse_notices(bronze, cut=with_arrow_entries), parse_notices(bronze), ["topic", "partition"]
     )
 
 
