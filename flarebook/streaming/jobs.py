@@ -72,10 +72,15 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 
 
 def create_silver_views(spark: SparkSession, path: str, schema: str, file_format: str = "parquet") -> None:
-    """Names for the two tables; a filter on the folder column prunes the other."""
-    columns = ", ".join(f"`{c}`" for c in SILVER_COLUMNS)
-    for name, condition in (("notices_cleaned", "is_parsed"), ("notices_quarantine", "NOT is_parsed")):
+    """Names for the two tables; a filter on the folder column prunes the other.
+
+    The folder column reads back as text, since Spark takes no flags from paths.
+    """
+    columns = ", ".join(
+        f"CAST({c} AS BOOLEAN) AS {c}" if c == "is_parsed" else f"`{c}`" for c in SILVER_COLUMNS
+    )
+    for name, flag in (("notices_cleaned", "true"), ("notices_quarantine", "false")):
         spark.sql(
             f"CREATE OR REPLACE VIEW {schema}.{name} AS"
-            f" SELECT {columns} FROM {file_format}.`{path}` WHERE {condition}"
+            f" SELECT {columns} FROM {file_format}.`{path}` WHERE is_parsed = '{flag}'"
         )
