@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from flarebook.operators.bronze import to_bronze
 from flarebook.operators.gold import GOLD_TABLES
 from flarebook.operators.silver import cleaned, quarantine
-from flarebook.session import configure_session
+from flarebook.session import configure_session, fit_shuffles
 from flarebook.sources.records import replay_batch
 from flarebook.sources.sample import write_replay
 from flarebook.streaming.jobs import read_silver, rebuild_silver
@@ -48,6 +48,7 @@ class Layers:
 
     def silver(self) -> DataFrame:
         path = self._stored("silver", lambda path: rebuild_silver(self.bronze(), path))
+        fit_shuffles(self.spark, path)
         return read_silver(self.spark, path)
 
     def cleaned(self) -> DataFrame:

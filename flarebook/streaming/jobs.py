@@ -58,9 +58,9 @@ def route_silver(bronze: DataFrame, checkpoint: str, path: str, file_format: str
     return drain(parse_notices(bronze), checkpoint, path, partition_by=("is_parsed",), file_format=file_format)
 
 
-def rebuild_silver(bronze: DataFrame, path: str) -> None:
+def rebuild_silver(bronze: DataFrame, path: str, file_format: str = "parquet") -> None:
     """Silver from all of Bronze, in place of what was there."""
-    parse_notices(bronze).write.mode("overwrite").partitionBy("is_parsed").parquet(path)
+    parse_notices(bronze).write.format(file_format).mode("overwrite").partitionBy("is_parsed").save(path)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

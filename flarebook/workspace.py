@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
 
+_local_dirs: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
@@ -18,11 +20,12 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(SHARED_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {SHARED_DIR} to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="flarebook-")
-    spark.conf.set(SHARED_DIR, fallback)
-    return fallback
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="flarebook-")
+    return _local_dirs[context.applicationId]
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from flarebook import workspace
+from flarebook import pipeline, session, workspace
 from flarebook.operators.bronze import to_bronze
 from flarebook.operators.silver import cleaned, parse_notices
 from flarebook.operators.upsert import build_gold, create_schemas, merge_statement, upsert
@@ -139,6 +140,40 @@ def test_gold_rerun_changes_nothing_and_new_revision_moves_the_flag(spark, schem
     assert ("1-3", True) in facts() and ("7-9", True) in facts()
 
 
+def test_pipeline_over_named_tables(spark, replay):
+    tag = uuid.uuid4().hex
+    layout = pipeline.Layout(folder(spark), bronze=f"b_{tag}", silver=f"s_{tag}", gold=f"g_{tag}")
+    assert pipeline.Layout("r", catalog="c").table("gold", "t") == "c.gold.t"
+    layout.create(spark)
+    facts = []
+    for _ in range(2):
+        pipeline.ingest(spark, replay_stream(spark, replay), layout)
+        pipeline.parse(spark, layout)
+        pipeline.model(spark, layout)
+        assert spark.read.table(layout.table("bronze", "notices_raw")).count() == 1000
+        facts.append(sorted(r.notice_key for r in spark.read.table(layout.table("gold", "fact_notices")).collect()))
+    clean = spark.read.table(layout.table("silver", "notices_cleaned"))
+    assert facts[0] == facts[1] == sorted(r.notice_key for r in clean.select("notice_key").distinct().collect())
+    rows = clean.count()
+    for _ in range(2):
+        pipeline.parse(spark, replace(layout, parser_version="2"))
+        again = spark.read.table(layout.table("silver", "notices_cleaned"))
+        assert any("notices-2" in f for f in again.inputFiles())
+        assert again.count() == rows
+    for layer in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP SCHEMA {layout.schema(layer)} CASCADE")
+
+
+def test_shuffles_grow_with_the_folder(spark, replay, monkeypatch):
+    before = spark.conf.get(session.INITIAL_PARTITIONS, None)
+    session.fit_shuffles(spark, replay)
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) == before
+    monkeypatch.setattr(session, "BYTES_PER_PARTITION", 1000)
+    session.fit_shuffles(spark, replay)
+    assert int(spark.conf.get(session.INITIAL_PARTITIONS)) > 8
+    spark.conf.unset(session.INITIAL_PARTITIONS)
+
+
 def test_merge_statement():
     assert merge_statement("t", "s", "k", ["k", "v"]) == (
         "MERGE INTO t AS t USING s AS s ON t.k = s.k"
@@ -151,11 +186,13 @@ class _Session:
 
     def __init__(self, master, configured=None):
         self.conf = {"spark.checkpoint.dir": configured} if configured else {}
-        self.sparkContext = type("Context", (), {"master": master})
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": uuid.uuid4().hex})
 
 
 def test_shared_folder_is_the_configured_one():
     assert workspace.shared_dir(_Session("spark://host", "hdfs://x/y/")) == "hdfs://x/y"
+    local = _Session("local[2]")
+    assert workspace.shared_dir(local) == workspace.shared_dir(local)
     with pytest.raises(ValueError):
         workspace.shared_dir(_Session("yarn"))
 
