@@ -7,6 +7,7 @@ application and table folder, and read by every query that needs it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from flarebook.operators.bronze import to_bronze
 from flarebook.operators.gold import GOLD_TABLES
@@ -18,6 +19,7 @@ from flarebook.streaming.jobs import read_silver, rebuild_silver
 from flarebook.workspace import new_folder
 
 _STORED: dict[tuple[str, str, str], str] = {}
+_SCHEMAS: dict[str, StructType] = {}
 
 
 class Layers:
@@ -47,10 +49,13 @@ class Layers:
         return to_bronze(self.records())
 
     def silver(self) -> DataFrame:
-        path = self._stored("silver", lambda path: rebuild_silver(self.bronze(), path))
-        fit_shuffles(self.spark, path)
+        path = self._stored("silver", self._write_silver)
         return read_silver(self.spark, path)
 
+    def _write_silver(self, path: str) -> None:
+        rebuild_silver(self.bronze(), path)
+        fit_shuffles(self.spark, path)
+
     def cleaned(self) -> DataFrame:
         return cleaned(self.silver())
 
@@ -58,10 +63,14 @@ class Layers:
         return quarantine(self.silver())
 
     def gold(self, name: str) -> DataFrame:
-        builder = {table: build for table, _, build in GOLD_TABLES}[name]
-        frame = builder(self.cleaned())
-        path = self._stored(name, lambda path: frame.write.parquet(path))
-        return self.spark.read.schema(frame.schema).parquet(path)
+        def write(path: str) -> None:
+            builder = {table: build for table, _, build in GOLD_TABLES}[name]
+            frame = builder(self.cleaned())
+            frame.write.parquet(path)
+            _SCHEMAS[path] = frame.schema
+
+        path = self._stored(name, write)
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def fact(self) -> DataFrame:
         return self.gold("fact_notices")

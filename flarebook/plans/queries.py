@@ -104,8 +104,9 @@ def _routed(layers: Layers) -> tuple[str, str, str]:
 
 
 def bronze_replay(layers: Layers) -> DataFrame:
-    """The replay source as a stream, in several batches."""
-    bronze = jobs.read_bronze(layers.spark, _ingested(layers, max_files=4))
+    """The replay source as a stream, in a handful of batches at any size."""
+    max_files = max(1, layers.records().rdd.getNumPartitions() // 4)
+    bronze = jobs.read_bronze(layers.spark, _ingested(layers, max_files))
     return bronze.select("topic", "partition", "offset", "kafka_timestamp")
 
 
