@@ -8,6 +8,8 @@ of its own, whose length is a power of two, so nothing is ever padded.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 from collections.abc import Iterator
 from functools import cache
@@ -19,35 +21,69 @@ from pyspark.sql import functions as F
 from flarebook.llm.tables import utf8, word_chunks
 
 END_OF_TEXT = 1
-KNOWN_WORDS = 500_000
+KNOWN_PIECES = 1_000_000
+
+# How the tokenizer splits normalized text into words.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Of characters that are the same in every version of Unicode and composed already.
+PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-įı-ſ‐-‧]*")
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\sa-z0-9ß-öø-ſ]+")
 
 
 class WordTokens(dict):
-    """Words and their ids as little-endian 32-bit values.
+    """Pieces of words and their ids as little-endian 32-bit values.
 
     For tokenizers whose tokens never span a blank, so that the ids of a text
-    are those of its words. It forgets all when ``most`` words are known; that
-    bounds memory and changes no result.
+    are those of its words. Where the tokenizer splits words by ``SPLIT`` after
+    making them lower case, and a word has plain characters only, its pieces
+    are looked up; otherwise whole words are. It forgets all when ``most``
+    pieces are known; that bounds memory and changes no result.
     """
 
-    def __init__(self, tokenizer, most: int = KNOWN_WORDS):
+    def __init__(self, tokenizer, most: int = KNOWN_PIECES):
         super().__init__()
         self.tokenizer, self.most = tokenizer, most
+        shape = json.loads(tokenizer.to_str())
+        steps = (shape["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        normal = [step["type"] for step in (shape["normalizer"] or {}).get("normalizers", [])]
+        self.splits = steps[0].get("pattern") == {"Regex": SPLIT} and normal == ["NFC", "Replace", "Lowercase"]
 
     def ids(self, text: memoryview) -> bytes:
         return b"".join(map(self._chunk, word_chunks(text)))
 
     def _chunk(self, chunk: bytes) -> bytes:
-        words = chunk.split()
-        new = [w for w in set(words) if w not in self]
-        if new:
-            if len(self) + len(new) > self.most:
-                self.clear()
-                new = list(set(words))
-            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            for word, found in zip(new, encoded):
-                self[word] = struct.pack(f"<{len(found.ids)}I", *found.ids)
-        return b"".join(map(self.__getitem__, words))
+        if not self.splits:
+            return self._join([w.decode() for w in chunk.split()])
+        text = chunk.decode()
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            return self._join(PIECE.findall(text.lower()))
+        pieces: list[str] = []
+        for word in map(bytes.decode, chunk.split()):
+            plain = PLAIN.fullmatch(word) and "<|" not in word
+            pieces += PIECE.findall(word.lower()) if plain else [word]
+        return self._join(pieces)
+
+    def _join(self, pieces: list[str]) -> bytes:
+        try:
+            return b"".join(map(self.__getitem__, pieces))
+        except KeyError:
+            pass
+        wanted = set(pieces)
+        new = [p for p in wanted if p not in self]
+        if len(self) + len(new) > self.most:
+            self.clear()
+            new = list(wanted)
+        merges = self.tokenizer.model
+        rest = []
+        for piece in new:
+            if self.splits and piece.isascii() and PIECE.fullmatch(piece):
+                ids = [token.id for token in merges.tokenize(piece)]
+                self[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                rest.append(piece)
+        for piece, encoded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self[piece] = struct.pack(f"<{len(encoded.ids)}I", *encoded.ids)
+        return b"".join(map(self.__getitem__, pieces))
 
 
 @cache
