@@ -23,6 +23,13 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return scan_token_files(spark, files, separator).select("doc_id", "n_tokens")
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    from flarebook.llm.language import predict, train
+
+    docs = table(spark, folder, "documents")
+    return predict(docs, train(docs))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
