@@ -48,6 +48,25 @@ def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    from flarebook.llm.vamana import build_index, search_index
+    from flarebook.llm.vectors import vectors
+
+    rows = vectors(table(spark, folder, "embeddings"), zero=False)
+    index = build_index(rows, scratch(spark, "graphs"))
+    return search_index(index, rows.filter(F.col("vec_id") % 100 == 0))
+
+
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    from flarebook.llm.warc import read_archives, write_archives
+
+    archives = scratch(spark, "archives")
+    write_archives(table(spark, folder, "pages"), archives)
+    return read_archives(spark, archives, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     from flarebook.llm.language import predict, train
 
@@ -61,6 +80,14 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).drop("shards")
 
 
+def op9_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    from flarebook.llm.top_k import top_k
+    from flarebook.llm.vectors import vectors
+
+    rows = vectors(table(spark, folder, "embeddings"))
+    return top_k(rows, rows.filter(F.col("vec_id") % 20 == 0))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
