@@ -67,6 +67,12 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    from flarebook.llm.near_dup import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     from flarebook.llm.language import predict, train
 
