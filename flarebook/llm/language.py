@@ -1,17 +1,20 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-A text is read as words, each with the blank after it. The network runs over
-the bytes of a word in both directions and gives a language distribution for
-every position. A document's distribution is the mean over all positions of
-its whole text. A word's share does not depend on its neighbours, so each
-distinct word is run once per Python worker.
+A text is read as runs of letters and of other characters, A-Z made lower
+case, each with a blank as its end mark. The network goes over the bytes of a
+run in both directions and gives a language distribution for every position. A
+document's distribution is the mean over all positions of its whole text. A
+run's share does not depend on its neighbours, so each distinct run is looked
+at once per Python worker.
 
 Trained here, in numpy, by backpropagation through time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,8 +26,10 @@ from flarebook.llm.tables import utf8, word_chunks
 
 UNKNOWN = "und"
 UNITS = 16
-LONGEST_SEGMENT = 64  # bytes; a longer word is read in segments of this length
-KNOWN_WORDS = 400_000
+LONGEST_SEGMENT = 64  # bytes; a longer run is read in segments of this length
+RUN = re.compile(rb"[a-z\x80-\xff]+|[^a-z\x80-\xff\s]+")
+KNOWN_RUNS = 1_000_000
+TEXT_AT_ONCE = 4_000_000  # bytes whose new runs go through the network together
 HELD_OUT = 2  # of the remainders by 4
 
 #: Bounds of the sample the network is fitted on.
@@ -137,10 +142,14 @@ class Network:
         }
 
 
-def segments(word: bytes) -> list[bytes]:
-    """A word and the blank after it, in pieces of bounded length."""
-    word += b" "
-    return [word[i : i + LONGEST_SEGMENT] for i in range(0, len(word), LONGEST_SEGMENT)]
+def runs(text: bytes) -> list[bytes]:
+    return RUN.findall(text.lower())
+
+
+def segments(run: bytes) -> list[bytes]:
+    """A run and its end mark, in pieces of bounded length."""
+    run += b" "
+    return [run[i : i + LONGEST_SEGMENT] for i in range(0, len(run), LONGEST_SEGMENT)]
 
 
 def by_length(pieces: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -160,9 +169,10 @@ def fit(words: list[bytes], labels: list[str], units: int = UNITS, steps: int =
     number = {name: i for i, name in enumerate(languages)}
     pieces, classes = [], []
     for word, label in zip(words, labels):
-        for piece in segments(word):
-            pieces.append(piece)
-            classes.append(number[label])
+        for run in runs(word):
+            for piece in segments(run):
+                pieces.append(piece)
+                classes.append(number[label])
     if len(languages) < 2:
         return network
     every = np.array(classes)
@@ -182,46 +192,55 @@ def fit(words: list[bytes], labels: list[str], units: int = UNITS, steps: int =
     return network
 
 
-class WordVotes(dict):
-    """Places of known words in the table of their summed position distributions.
+class RunVotes(dict):
+    """Places of known runs in the table of their summed position distributions.
 
     Columns: a sum for each language, the number of positions, whether there
-    is a letter. It forgets all when ``most`` words are known.
+    is a letter. It forgets all when ``most`` runs are known.
     """
 
-    def __init__(self, network: Network, most: int = KNOWN_WORDS):
+    def __init__(self, network: Network, most: int = KNOWN_RUNS):
         super().__init__()
         self.network, self.most = network, most
         self.table = np.zeros((0, len(network.languages) + 2))
 
-    def add(self, text: memoryview) -> np.ndarray:
-        """The columns' sums over all words of a text."""
-        total = np.zeros(len(self.network.languages) + 2)
-        for chunk in word_chunks(text):
-            words = chunk.split()
-            new = [w for w in set(words) if w not in self]
-            if new:
-                if len(self) + len(new) > self.most:
-                    self.clear()
-                    new = sorted(set(words))
-                self._learn(new)
-            places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-            total += self.table[places].sum(axis=0)
-        return total
-
-    def _learn(self, words: list[bytes]) -> None:
+    def sums(self, texts: Iterable[memoryview]) -> np.ndarray:
+        """The columns' sums over all runs of each text."""
+        out, held, size = [], [], 0
+        for place, text in enumerate(texts):
+            out.append(np.zeros(len(self.network.languages) + 2))
+            for chunk in word_chunks(text):
+                held.append((place, runs(chunk)))
+                size += len(chunk)
+                if size >= TEXT_AT_ONCE:
+                    self._count(held, out)
+                    held, size = [], 0
+        self._count(held, out)
+        return np.array(out).reshape(len(out), len(self.network.languages) + 2)
+
+    def _count(self, held: list[tuple[int, list[bytes]]], out: list[np.ndarray]) -> None:
+        self._learn(set().union(*[found for _, found in held]))
+        for place, found in held:
+            places = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+            out[place] += self.table[places].sum(axis=0)
+
+    def _learn(self, found: set[bytes]) -> None:
+        new = [run for run in found if run not in self]
+        if len(self) + len(new) > self.most:
+            self.clear()
+            new = list(found)
         start, width = len(self), self.table.shape[1]
-        if start + len(words) > len(self.table):
-            grown = np.zeros((max(2 * (start + len(words)), 4096), width))
+        if start + len(new) > len(self.table):
+            grown = np.zeros((max(2 * (start + len(new)), 4096), width))
             grown[:start] = self.table[:start]
             self.table = grown
-        rows = self.table[start : start + len(words)]
+        rows = self.table[start : start + len(new)]
         rows[:] = 0
         pieces, owner = [], []
-        for i, word in enumerate(words):
-            self[word] = start + i
-            rows[i, -1] = any(map(str.isalpha, word.decode("utf-8", "replace")))
-            for piece in segments(word):
+        for i, run in enumerate(new):
+            self[run] = start + i
+            rows[i, -1] = any(map(str.isalpha, run.decode("utf-8", "replace")))
+            for piece in segments(run):
                 pieces.append(piece)
                 owner.append(i)
         owners = np.array(owner)
@@ -233,6 +252,22 @@ class WordVotes(dict):
                 np.add.at(rows[:, -2], owners[places[at : at + 8192]], part.shape[1])
 
 
+_known: dict[str, RunVotes] = {}
+
+
+def known_runs(network: Network) -> RunVotes:
+    """Those of the last network used in this Python worker, kept from task to task."""
+    print_ = hashlib.sha256()
+    print_.update(repr(network.languages).encode())
+    for name in sorted(network.weights):
+        print_.update(network.weights[name].tobytes())
+    key = print_.hexdigest()
+    if key not in _known:
+        _known.clear()
+        _known[key] = RunVotes(network)
+    return _known[key]
+
+
 def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == HELD_OUT, F.lit(False))
 
@@ -288,19 +323,19 @@ def predict(docs: DataFrame, network: Network) -> DataFrame:
     languages = network.languages
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        votes = WordVotes(network)
+        votes = known_runs(network)
         for batch in batches:
+            if languages:
+                sums = votes.sums(utf8(batch.column("text")))
+            else:
+                sums = np.zeros((batch.num_rows, 2))
             names, scores = [], []
-            for text in utf8(batch.column("text")):
-                sums = votes.add(text) if languages else np.zeros(2)
-                if not languages or not sums[-1]:
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                chances = np.round(sums[:-2] / sums[-2], 6)
-                best = int(np.argmax(chances))
-                names.append(languages[best])
-                scores.append(min(1.0, float(chances[best])))
+            for row in sums:
+                chances = np.round(row[:-2] / max(row[-2], 1), 6)
+                known = bool(row[-1])
+                best = int(np.argmax(chances)) if known else 0
+                names.append(languages[best] if known else UNKNOWN)
+                scores.append(min(1.0, float(chances[best])) if known else 0.0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores)],
                 names=["doc_id", "held_out", "lang_pred", "score"],
