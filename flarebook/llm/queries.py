@@ -73,6 +73,18 @@ def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    from flarebook.llm.repeats import remove_repeats
+
+    return remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     from flarebook.llm.language import predict, train
 
