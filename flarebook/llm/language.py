@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flarebook.llm.tables import utf8, word_chunks
 
@@ -312,15 +313,17 @@ def train(
     return fit(words, labels, steps=steps)
 
 
-def predict(docs: DataFrame, network: Network) -> DataFrame:
+def predict(docs: DataFrame, network: Network, carried: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred``, ``score`` of every whole text.
 
-    Reads ``doc_id`` and ``text`` only. ``score`` is the mean probability of
-    the predicted language over all positions, ``lang_pred`` the smallest
-    language among equals. A text that is null or has no letter is ``und``
-    with score 0, and so is every text if no language was learned.
+    Reads ``doc_id`` and ``text``; ``carried`` columns come along unchanged,
+    after these. ``score`` is the mean probability of the predicted language
+    over all positions, ``lang_pred`` the smallest language among equals. A
+    text that is null or has no letter is ``und`` with score 0, and so is
+    every text if no language was learned.
     """
     languages = network.languages
+    places = [f"carried_{i}" for i in range(len(carried))]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         votes = known_runs(network)
@@ -337,9 +340,21 @@ def predict(docs: DataFrame, network: Network) -> DataFrame:
                 names.append(languages[best] if known else UNKNOWN)
                 scores.append(min(1.0, float(chances[best])) if known else 0.0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores)],
-                names=["doc_id", "held_out", "lang_pred", "score"],
-            )
-
-    given = docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), F.col("text").cast("string"))
-    return given.mapInArrow(label, "doc_id long, held_out boolean, lang_pred string, score double")
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()),
+                 pa.array(scores, pa.float64()), *map(batch.column, places)],
+                names=["doc_id", "held_out", "lang_pred", "score", *places],
+            )
+
+    given = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        held_out().alias("held_out"),
+        F.col("text").cast("string").alias("text"),
+        *[F.col(name).alias(place) for name, place in zip(carried, places)],
+    )
+    schema = StructType.fromDDL("doc_id long, held_out boolean, lang_pred string, score double")
+    for place in places:
+        schema.add(given.schema[place])
+    made = given.mapInArrow(label, schema)
+    return made.select(
+        "doc_id", "held_out", "lang_pred", "score", *[F.col(p).alias(c) for p, c in zip(places, carried)]
+    )

@@ -108,7 +108,7 @@ def least_shared(retained: int, similar: tuple[int, int] = SIMILAR) -> int:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles``, the digest ``d1``, ``d2`` and the ``sketch`` of each whole text."""
+    """``doc_id``, ``text_key``, ``n_shingles``, the digest ``d1``, ``d2`` and the ``sketch`` of each whole text."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,13 +119,19 @@ def sketches(docs: DataFrame) -> DataFrame:
                 rows.append((len(values), *digest(values), low))
             sizes, first, second, low = zip(*rows) if rows else ([], [], [], [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
-                 pa.array(second, pa.int64()), pa.array(low, pa.list_(pa.int32()))],
-                names=["doc_id", "n_shingles", "d1", "d2", "sketch"],
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()),
+                 pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(low, pa.list_(pa.int32()))],
+                names=["doc_id", "text_key", "n_shingles", "d1", "d2", "sketch"],
             )
 
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(made, "doc_id long, n_shingles long, d1 long, d2 long, sketch array<int>")
+    given = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("text_key"),
+        F.col("text").cast("string").alias("text"),
+    )
+    return given.mapInArrow(
+        made, "doc_id long, text_key long, n_shingles long, d1 long, d2 long, sketch array<int>"
+    )
 
 
 def families(classes: DataFrame, similar: tuple[int, int]) -> DataFrame:
@@ -245,9 +251,10 @@ def verified(docs: DataFrame, members: DataFrame, similar: tuple[int, int]) -> D
 
 
 def near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` of each row.
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``text_key`` of each row.
 
-    Reads ``doc_id`` and ``text``. Words are runs without ASCII blanks, A-Z
+    Reads ``doc_id`` and ``text``; ``text_key`` is xxhash64 of the text, for
+    joins where ids repeat. Words are runs without ASCII blanks, A-Z
     made lower case; a text of fewer than five words is one shingle. A null or
     empty text, or one without words, is linked with nothing. Two documents
     are linked if their sets share ``similar`` of their union; a component is
@@ -279,8 +286,14 @@ def near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> Data
     ids = ids.select("d1", "d2", F.coalesce("component", "min_doc").alias("component"))
     component: Column = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return (
-        rows.select("doc_id", "n_shingles", "d1", "d2")
+        rows.select("doc_id", "n_shingles", "d1", "d2", "text_key")
         .join(ids, ["d1", "d2"], "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select("doc_id", "n_shingles", component.alias("component_id"), "text_key")
+        .select(
+            "doc_id",
+            "n_shingles",
+            "component_id",
+            F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+            "text_key",
+        )
     )

@@ -70,7 +70,7 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     from flarebook.llm.near_dup import near_duplicates
 
-    return near_duplicates(table(spark, folder, "documents"))
+    return near_duplicates(table(spark, folder, "documents")).drop("text_key")
 
 
 def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:

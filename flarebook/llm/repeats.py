@@ -24,8 +24,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flarebook.llm.near_dup import Powers, U, mixed
 from flarebook.llm.tables import scratch, utf8
@@ -215,10 +216,11 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(start, end) for start, end in out]
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``key`` and ``text``. Rows with the same id and text share a key, and their result."""
+def keyed(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``text``, ``carried_<i>`` and ``key``. Rows with the same id and text share a key, and their result."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    others = [F.col(name).alias(f"carried_{i}") for i, name in enumerate(carried)]
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *others)
     return given.withColumn("key", F.xxhash64("doc_id", "text"))
 
 
@@ -239,7 +241,7 @@ def repeated_anchors(texts: DataFrame, length: int, folder: str) -> DataFrame:
                 rest = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*columns)]
                 yield pa.RecordBatch.from_arrays([ids.take(which), keys.take(which), *rest], names=names)
 
-    found = texts.mapInArrow(
+    found = texts.select("doc_id", "key", "text").mapInArrow(
         find, "doc_id long, key long, anchor long, least long, most long, piece long, context long"
     )
     same = Window.partitionBy("piece", "context")
@@ -284,13 +286,14 @@ def sorted_runs(texts: DataFrame, wanted: DataFrame, length: int, parts: int) ->
     items = wanted.groupBy("doc_id", "key").agg(
         F.collect_list(F.struct("anchor", "least", "most", "whole")).alias("items")
     )
-    return with_lists(texts, items, "items").mapInArrow(runs, "part long, run binary")
+    narrow = texts.select("doc_id", "key", "text")
+    return with_lists(narrow, items, "items").mapInArrow(runs, "part long, run binary")
 
 
 def with_lists(texts: DataFrame, lists: DataFrame, name: str, how: str = "inner") -> DataFrame:
     renamed = lists.select(F.col("doc_id").alias("of_doc"), F.col("key").alias("of_key"), name)
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("key") == F.col("of_key"))
-    return texts.join(renamed, same, how).select("doc_id", "key", "text", name)
+    return texts.join(renamed, same, how).drop("of_doc", "of_key")
 
 
 def merged(runs: DataFrame, length: int) -> DataFrame:
@@ -328,8 +331,8 @@ def merged(runs: DataFrame, length: int) -> DataFrame:
     return runs.groupBy("part").applyInArrow(merge, "doc_id long, key long, start long, end long")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``spans`` and ``kept`` of each row.
+def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``n_bytes``, ``spans`` and ``kept`` of each row, and the ``carried`` columns unchanged.
 
     Reads ``doc_id`` and ``text``, a whole text as UTF-8 bytes; a null text is
     empty. A byte goes if a string of ``length`` bytes that covers it also
@@ -342,7 +345,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if not PIECE < length <= 30_000:
         raise ValueError("the length must lie between the piece's and 30,000")
     spark = docs.sparkSession
-    texts = keyed(docs)
+    texts = keyed(docs, carried)
     found = repeated_anchors(texts, length, scratch(spark, "anchors"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     moved = texts.repartition(parts, "key")  # once, for both joins
@@ -357,9 +360,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         whole.unionByName(resolved).groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     )
 
+    places = [f"carried_{i}" for i in range(len(carried))]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        names = ["doc_id", "n_bytes", "spans", "kept"]
+        names = ["doc_id", "n_bytes", "spans", "kept", *places]
         for batch in batches:
             sizes, spans, kept = [], [], []
             for text, given in zip(utf8(batch.column("text")), batch.column("spans").to_pylist()):
@@ -368,8 +373,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 sizes.append(len(text))
                 spans.append([{"start": start, "end": end} for start, end in gone])
                 kept.append(b"".join(bytes(text[a:b]) for a, b in zip(edges[::2], edges[1::2])))
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            made = [pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made, *map(batch.column, places)], names=names)
+
+    schema = StructType.fromDDL(
+        "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
+    )
+    for place in places:
+        schema.add(texts.schema[place])
+    made = with_lists(moved, lists, "spans", "left").mapInArrow(cut, schema)
+    return made.select(
+        "doc_id", "n_bytes", "spans", "kept", *[F.col(p).alias(c) for p, c in zip(places, carried)]
+    )
 
-    schema = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
-    return with_lists(moved, lists, "spans", "left").mapInArrow(cut, schema)
+
+def as_text(kept: Column) -> Column:
+    """The rest as text. A cut may fall into a character; what is left of one goes.
+
+    Lone parts of characters become replacement characters where they are made
+    valid; those that the text had before stand for the same loss and go too.
+    """
+    return F.replace(F.make_valid_utf8(kept.cast("string")), F.lit("\ufffd"), F.lit(""))
