@@ -1,3 +1,162 @@
-"""What the operators must return, in SQL over the given tables, where SQL can say it."""
+"""What the operators must return, in SQL over the given tables, where SQL can say it.
 
-SQL: dict[str, str] = {}
+Tokens, trained networks and approximate searches are not here; their queries
+are tested against brute force.
+"""
+
+from __future__ import annotations
+
+WORD = r"[^\x20\x09-\x0D]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+def _escaped(text: str) -> str:
+    return f"replace(replace(replace({text}, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')"
+
+
+CHAT = f"""
+WITH m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum(length('<|im_start|>' || replace({_escaped('role')}, chr(10), '&#10;') || chr(10) || {_escaped('text')}
+    || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM m GROUP BY conv_id
+"""
+
+# 20 bits at a time: five hex digits are four digits of base 32.
+_DIGITS = " || ".join(
+    f"substr('{BASE32}', CAST((CAST('0x' || substr(hexed, {5 * part + 1}, 5) AS BIGINT) >> {shift}) & 31 AS INTEGER) + 1, 1)"
+    for part in range(8)
+    for shift in (15, 10, 5, 0)
+)
+ARCHIVES = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hexed,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+  FROM pages
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_DIGITS} AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p
+"""
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words
+),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b USING (shingle)
+  WHERE a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+reached AS (
+  SELECT a, b FROM links
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+),
+least_id AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id,
+  doc_id <= coalesce(b, doc_id) AS kept
+FROM sets LEFT JOIN least_id ON doc_id = a
+"""
+
+REPEATS = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hexed FROM documents),
+strings AS (
+  SELECT doc_id, i, md5(substr(hexed, 2 * i + 1, 400)) AS digest
+  FROM (SELECT doc_id, hexed, unnest(range(0, strlen(hexed) // 2 - 199)) AS i FROM t)
+),
+again AS (SELECT digest FROM strings GROUP BY digest HAVING count(*) > 1),
+starts AS (SELECT doc_id, i FROM strings SEMI JOIN again USING (digest)),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS opens
+  FROM starts
+),
+numbered AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+spans AS (SELECT doc_id, span, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY doc_id, span),
+gaps AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans
+),
+parts AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+    string_agg(substr(hexed, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM gaps JOIN t USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(strlen(hexed) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(hexed, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM t LEFT JOIN parts USING (doc_id)
+"""
+
+MIXING = f"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
+    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '-')) AS k
+  FROM documents
+),
+blocked AS (SELECT *, CAST('0x' || substr(k, 1, 8) AS BIGINT) % 256 AS block FROM sized),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+  FROM sized GROUP BY source
+),
+weighed AS (
+  SELECT *, CAST([5, 2, 1][place % 3 + 1] AS DOUBLE) AS weight, CAST(2 * source_size AS DOUBLE) AS most FROM sources
+),
+levels AS (
+  SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE
+    - coalesce(sum(most) OVER (ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY most / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed
+),
+targets AS (SELECT *, least(most, weight * max(level) OVER ()) AS target FROM levels),
+parted AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM targets
+),
+ordered AS (
+  SELECT b.doc_id, b.size, p.source_size, p.target, p.passes, p.target - p.passes * p.source_size AS rest,
+    coalesce(sum(b.size) OVER (PARTITION BY p.place ORDER BY b.block, b.k, b.doc_id, b.size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM blocked b JOIN parted p ON b.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (passes + CASE WHEN rest > 0 AND before + size / 2::DOUBLE <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM ordered
+"""
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+SQL: dict[str, str] = {
+    "op2_chat": CHAT,
+    "op4_warc": ARCHIVES,
+    "op5_near_duplicates": NEAR_DUPLICATES,
+    "op6_repeats": REPEATS,
+    "op8_mixing": MIXING,
+    "op9_top_k": TOP_K,
+}
