@@ -76,7 +76,7 @@ class WordTokens(dict):
         merges = self.tokenizer.model
         rest = []
         for piece in new:
-            if self.splits and piece.isascii() and PIECE.fullmatch(piece):
+            if self.splits and piece.isascii() and piece.isprintable() and PIECE.fullmatch(piece):
                 ids = [token.id for token in merges.tokenize(piece)]
                 self[piece] = struct.pack(f"<{len(ids)}I", *ids)
             else:
