@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flarebook.llm import language, mixing, near_dup, packing, repeats
@@ -21,44 +21,52 @@ from flarebook.llm.tables import scratch, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """Names like these that are no columns of the table."""
+    taken = {c.lower() for c in docs.columns}
+    prefix = "own_"
+    while any(prefix + name in taken for name in names):
+        prefix += "_"
+    return [prefix + name for name in names]
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language; those without letters go. Learns from the table's own labels."""
     labelled = language.predict(docs, language.train(docs), tuple(docs.columns))
-    first = labelled.columns.index("score") + 1
-    return (
-        labelled.toDF("own_id", "own_held_out", "predicted", "own_score", *labelled.columns[first:])
-        .filter(F.col("predicted") != language.UNKNOWN)
-        .select(*docs.columns)
-    )
+    names = unused(docs, "id", "held_out", "language", "score")
+    return labelled.toDF(*names, *docs.columns).filter(F.col(names[2]) != language.UNKNOWN).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, that with the smallest id; of rows that repeat it, one."""
     kept = near_dup.near_duplicates(docs).filter("kept")
-    ids = kept.groupBy(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")).agg(
-        F.count(F.lit(1)).alias("rows")
+    own_id, own_key, rows = unused(docs, "id", "key", "rows")
+    ids = kept.groupBy(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key)).agg(
+        F.count(F.lit(1)).alias(rows)
     )
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_key"))
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_key))
 
-    def where(condition: str) -> DataFrame:
+    def where(condition: Column) -> DataFrame:
         return docs.join(ids.filter(condition), same, "left_semi")
 
-    return where("rows = 1").unionByName(where("rows > 1").dropDuplicates(["doc_id", "text"]))
+    return where(F.col(rows) == 1).unionByName(where(F.col(rows) > 1).dropDuplicates(["doc_id", "text"]))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes of passages that occur anywhere else."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    rest = repeats.remove_repeats(docs, carried=others).withColumn("text", repeats.as_text(F.col("kept")))
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    names = unused(docs, "bytes", "spans", "kept")
+    rest = repeats.remove_repeats(docs, carried=tuple(others)).toDF("doc_id", *names, *others)
+    rest = rest.withColumn("text", repeats.as_text(F.col(names[2])))
     return rest.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document, none to two, as the mix takes."""
-    decided = mixing.mix(docs).groupBy("doc_id").agg(F.max(F.size("shards")).alias("copies"))
-    decided = decided.filter("copies > 0").select(F.col("doc_id").alias("mixed_id"), "copies")
-    taken = docs.join(decided, F.col("doc_id").eqNullSafe(F.col("mixed_id")))
-    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    own_id, copies, copy = unused(docs, "id", "copies", "copy")
+    decided = mixing.mix(docs).groupBy(F.col("doc_id").alias(own_id)).agg(F.max(F.size("shards")).alias(copies))
+    taken = docs.join(decided.filter(F.col(copies) > 0), F.col("doc_id").eqNullSafe(F.col(own_id)))
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -267,6 +267,8 @@ def sorted_runs(texts: DataFrame, wanted: DataFrame, length: int, parts: int) ->
             known = zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), utf8(batch.column("text")))
             for (doc, key, text), items in zip(known, batch.column("items").to_pylist()):
                 for item in items:
+                    if item["doc_id"] != doc:
+                        continue
                     at, least, most = item["anchor"], item["least"], item["most"]
                     suffix = bytes(text[at : at + length - least])
                     before = bytes(text[at - most : at][::-1])
@@ -283,17 +285,16 @@ def sorted_runs(texts: DataFrame, wanted: DataFrame, length: int, parts: int) ->
         coded = [front_coded(sorted(rows)) for rows in held.values()]
         return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.int64()), pa.array(coded)], names=["part", "run"])
 
-    items = wanted.groupBy("doc_id", "key").agg(
-        F.collect_list(F.struct("anchor", "least", "most", "whole")).alias("items")
+    items = wanted.groupBy("key").agg(
+        F.collect_list(F.struct("doc_id", "anchor", "least", "most", "whole")).alias("items")
     )
     narrow = texts.select("doc_id", "key", "text")
     return with_lists(narrow, items, "items").mapInArrow(runs, "part long, run binary")
 
 
 def with_lists(texts: DataFrame, lists: DataFrame, name: str, how: str = "inner") -> DataFrame:
-    renamed = lists.select(F.col("doc_id").alias("of_doc"), F.col("key").alias("of_key"), name)
-    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("key") == F.col("of_key"))
-    return texts.join(renamed, same, how).drop("of_doc", "of_key")
+    """Joined on the key alone, by which the texts are laid out. Entries name their document, for keys that collide."""
+    return texts.join(lists.select(F.col("key").alias("of_key"), name), F.col("key") == F.col("of_key"), how).drop("of_key")
 
 
 def merged(runs: DataFrame, length: int) -> DataFrame:
@@ -357,7 +358,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ..
         (F.col("anchor") - F.col("least") + length).alias("end"),
     )
     lists = (
-        whole.unionByName(resolved).groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        whole.unionByName(resolved).groupBy("key").agg(F.collect_list(F.struct("doc_id", "start", "end")).alias("spans"))
     )
 
     places = [f"carried_{i}" for i in range(len(carried))]
@@ -367,8 +368,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ..
         names = ["doc_id", "n_bytes", "spans", "kept", *places]
         for batch in batches:
             sizes, spans, kept = [], [], []
-            for text, given in zip(utf8(batch.column("text")), batch.column("spans").to_pylist()):
-                gone = joined([(s["start"], s["end"]) for s in given or []])
+            known = zip(batch.column("doc_id").to_pylist(), batch.column("spans").to_pylist())
+            for text, (doc, given) in zip(utf8(batch.column("text")), known):
+                gone = joined([(s["start"], s["end"]) for s in given or [] if s["doc_id"] == doc])
                 edges = [0, *(edge for span in gone for edge in span), len(text)]
                 sizes.append(len(text))
                 spans.append([{"start": start, "end": end} for start, end in gone])
