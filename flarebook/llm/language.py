@@ -29,7 +29,7 @@ UNKNOWN = "und"
 UNITS = 16
 LONGEST_SEGMENT = 64  # bytes; a longer run is read in segments of this length
 RUN = re.compile(rb"[a-z\x80-\xff]+|[^a-z\x80-\xff\s]+")
-KNOWN_RUNS = 1_000_000
+KNOWN_RUNS = 400_000
 TEXT_AT_ONCE = 4_000_000  # bytes whose new runs go through the network together
 HELD_OUT = 2  # of the remainders by 4
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from flarebook.llm.tables import utf8, word_chunks
 
 END_OF_TEXT = 1
-KNOWN_PIECES = 1_000_000
+KNOWN_PIECES = 600_000
 
 # How the tokenizer splits normalized text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
