@@ -30,7 +30,8 @@ UNITS = 16
 LONGEST_SEGMENT = 64  # bytes; a longer run is read in segments of this length
 RUN = re.compile(rb"[a-z\x80-\xff]+|[^a-z\x80-\xff\s]+")
 KNOWN_RUNS = 400_000
-TEXT_AT_ONCE = 4_000_000  # bytes whose new runs go through the network together
+RUNS_AT_ONCE = 2048  # of one length, in one step of the network
+TEXT_AT_ONCE = 2_000_000  # bytes whose new runs go through the network together
 HELD_OUT = 2  # of the remainders by 4
 
 #: Bounds of the sample the network is fitted on.
@@ -67,8 +68,8 @@ class Network:
         weights["bias"] = np.zeros(len(languages), np.float32)
         return cls(languages, weights)
 
-    def states(self, side: str, steps: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
-        """Hidden state at each step (step, word, unit) and what the way back needs."""
+    def states(self, side: str, steps: np.ndarray, keep: bool) -> tuple[np.ndarray, list[tuple]]:
+        """Hidden state at each step (step, word, unit) and, to ``keep``, what the way back needs."""
         w = self.weights
         units = w[f"{side}_new"].shape[0]
         inputs = w[f"{side}_in"]
@@ -80,16 +81,17 @@ class Network:
             update, reset = gates[:, :units], gates[:, units:]
             recalled = hidden @ w[f"{side}_new"]
             new = np.tanh(given[:, 2 * units :] + reset * recalled)
-            kept.append((hidden, update, reset, recalled, new))
+            if keep:
+                kept.append((hidden, update, reset, recalled, new))
             hidden = new + update * (hidden - new)
             out[t] = hidden
         return out, kept
 
-    def positions(self, words: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """Language distribution of each position (step, word, language)."""
+    def positions(self, words: np.ndarray, keep: bool = False) -> tuple[np.ndarray, tuple]:
+        """Language distribution of each position (step, word, language), and what the way back needs."""
         steps = np.ascontiguousarray(words.T)
-        forth, kept_forth = self.states("forth", steps)
-        back, kept_back = self.states("back", steps[::-1])
+        forth, kept_forth = self.states("forth", steps, keep)
+        back, kept_back = self.states("back", steps[::-1], keep)
         back = back[::-1]
         w = self.weights
         scores = forth @ w["forth_out"] + back @ w["back_out"] + w["bias"]
@@ -100,7 +102,7 @@ class Network:
 
     def gradients(self, words: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean cross entropy over positions, by backpropagation through time."""
-        chances, (steps, forth, back, kept_forth, kept_back) = self.positions(words)
+        chances, (steps, forth, back, kept_forth, kept_back) = self.positions(words, keep=True)
         wrong = chances.copy()
         wrong[:, np.arange(len(labels)), labels] -= 1
         wrong /= wrong.shape[0] * wrong.shape[1]
@@ -246,11 +248,10 @@ class RunVotes(dict):
                 owner.append(i)
         owners = np.array(owner)
         for places, matrix in by_length(pieces):
-            for at in range(0, len(places), 8192):
-                part = matrix[at : at + 8192]
-                chances = self.network.positions(part)[0].sum(axis=0)
-                np.add.at(rows[:, :-2], owners[places[at : at + 8192]], chances)
-                np.add.at(rows[:, -2], owners[places[at : at + 8192]], part.shape[1])
+            for at in range(0, len(places), RUNS_AT_ONCE):
+                part, owned = matrix[at : at + RUNS_AT_ONCE], owners[places[at : at + RUNS_AT_ONCE]]
+                np.add.at(rows[:, :-2], owned, self.network.positions(part)[0].sum(axis=0))
+                np.add.at(rows[:, -2], owned, part.shape[1])
 
 
 _known: dict[str, RunVotes] = {}

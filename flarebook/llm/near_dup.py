@@ -30,7 +30,7 @@ SIMILAR = (85, 100)
 RETAINED = 64  # values in the inverted lists
 ESTIMATED = 256  # values in the sketch of a union
 MISSED = 1e-9  # chance that sampling hides a pair that is just similar enough
-BLOCK_CLASSES = 256
+BLOCK_CLASSES = 128
 
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)

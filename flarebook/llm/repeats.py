@@ -34,6 +34,7 @@ from flarebook.llm.tables import scratch, utf8
 LENGTH = 200
 PIECE = 32
 CHUNK = 1 << 20  # strings looked at together
+RUN_BYTES = 24_000_000  # of suffixes that a task sorts at once
 BYTES = np.arange(1, 257, dtype=np.uint64)
 
 
@@ -216,6 +217,13 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(start, end) for start, end in out]
 
 
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, so that not all of a large one exists as Python values."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 500):
+            yield batch.slice(start, 500)
+
+
 def keyed(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id``, ``text``, ``carried_<i>`` and ``key``. Rows with the same id and text share a key, and their result."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -263,7 +271,7 @@ def sorted_runs(texts: DataFrame, wanted: DataFrame, length: int, parts: int) ->
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[bytes, bytes]]] = {}
         size = 0
-        for batch in batches:
+        for batch in small(batches):
             known = zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), utf8(batch.column("text")))
             for (doc, key, text), items in zip(known, batch.column("items").to_pylist()):
                 for item in items:
@@ -275,7 +283,7 @@ def sorted_runs(texts: DataFrame, wanted: DataFrame, length: int, parts: int) ->
                     fixed = struct.pack(CONTEXT, doc or 0, key, at, doc is None, least, most, item["whole"])
                     held.setdefault(zlib.crc32(suffix[:PIECE]) % parts, []).append((suffix, fixed + before))
                     size += len(suffix) + len(before) + 200
-                if size >= 64_000_000:
+                if size >= RUN_BYTES:
                     yield out(held)
                     held, size = {}, 0
         if held:
@@ -366,7 +374,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ..
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         names = ["doc_id", "n_bytes", "spans", "kept", *places]
-        for batch in batches:
+        for batch in small(batches):
             sizes, spans, kept = [], [], []
             known = zip(batch.column("doc_id").to_pylist(), batch.column("spans").to_pylist())
             for text, (doc, given) in zip(utf8(batch.column("text")), known):
