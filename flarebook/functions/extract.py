@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from flarebook.functions.notice_text import BLANK, BLANK_CHARACTERS
 
-# Fixed values of the notice format.
-NUMBER = r"[-+]?\d+(?:\.\d+)?"
-DEGREES = rf"({NUMBER}){BLANK}*d\b"
-LEADING = rf"^ *{BLANK}*({NUMBER})"
-LEADING_DIGITS = rf"^ *{BLANK}*([-+]?\d+)"
-PAIR = rf"({NUMBER}){BLANK}*,{BLANK}*({NUMBER})"
-DAY_NUMBER = rf"([-+]?\d+)(?:\.\d+)?{BLANK}*TJD"
-DAY_SECONDS = rf"({NUMBER}){BLANK}*SOD"
+# Fixed values of the notice format. Repeats are possessive, and a search begins
+# at a run of digits only once, so that the time grows in line with the text.
+NUMBER = r"[-+]?\d++(?:\.\d++)?"
+SOMEWHERE = r"(?:[-+]|(?<!\d))"
+FOUND_NUMBER = rf"{SOMEWHERE}\d++(?:\.\d++)?"
+DEGREES = rf"({FOUND_NUMBER}){BLANK}*+d\b"
+LEADING = rf"^{BLANK}*+({NUMBER})"
+LEADING_DIGITS = rf"^{BLANK}*+([-+]?\d++)"
+PAIR = rf"{FOUND_NUMBER}{BLANK}*+,{BLANK}*+{NUMBER}"
+DAY_NUMBER = rf"({SOMEWHERE}\d++)(?:\.\d++)?{BLANK}*+TJD"
+DAY_SECONDS = rf"({FOUND_NUMBER}){BLANK}*+SOD"
 DAY_ZERO = "1968-05-24"
 DAY_NUMBER_RANGE = (-718_575, 2_933_483)  # 0001-01-01 to 9999-12-31
 MICROS_RANGE = (-62_135_596_800_000_000, 253_402_300_799_999_999)
@@ -41,16 +44,27 @@ def leading_number(value: Column) -> Column:
     return to_double(F.regexp_extract(value, LEADING, 1))
 
 
-def leading_integer(value: Column, kind: str = "bigint") -> Column:
-    """Whole part of the leading number, exact for all digits of the type."""
-    return F.regexp_extract(value, LEADING_DIGITS, 1).try_cast(kind)
+def leading_digits(value: Column) -> Column:
+    """Whole part of the leading number as text, whatever its length: no plus
+    sign, no leading zeros, no minus zero; null without a number."""
+    found = F.regexp_extract(value, LEADING_DIGITS, 1)
+    bare = F.ltrim(F.ltrim(found, F.lit("+-")), F.lit("0"))
+    sign = F.when(F.startswith(found, F.lit("-")), "-").otherwise("")
+    return F.when(found != "", F.when(bare == "", "0").otherwise(F.concat(sign, bare)))
 
 
-def coordinate_pair(value: Column) -> tuple[Column, Column]:
-    return (
-        to_double(F.regexp_extract(value, PAIR, 1)),
-        to_double(F.regexp_extract(value, PAIR, 2)),
-    )
+def leading_integer(digits: Column, kind: str = "bigint") -> Column:
+    """Leading digits as a number; null beyond the type."""
+    return digits.try_cast(kind)
+
+
+def coordinate_pair(value: Column) -> Column:
+    """The text of the first pair of numbers, found in one search."""
+    return F.regexp_extract(value, PAIR, 0)
+
+
+def pair_member(pair: Column, place: int) -> Column:
+    return to_double(F.btrim(F.get(F.split(pair, ","), F.lit(place)), F.lit(BLANK_CHARACTERS)))
 
 
 def position_pair(value: Column) -> tuple[Column, Column]:
@@ -89,10 +103,10 @@ def day_timestamp(days: Column, seconds: Column) -> Column:
 def calendar_parts(value: Column) -> Column:
     """Year, month name, day and clock of ``Wed 13 Aug 25 04:12:33 UT``.
 
-    One match gives all four; text of another form is one part as it is.
+    Null for text of another form, even if it has the parts.
     """
-    clean = F.btrim(F.replace(value, F.lit(ZONE_LABEL), F.lit("")), F.lit(BLANK_CHARACTERS))
-    return F.split(F.regexp_replace(F.lower(clean), CALENDAR, "$3/$2/$1/$4"), "/")
+    clean = F.lower(F.btrim(F.replace(value, F.lit(ZONE_LABEL), F.lit("")), F.lit(BLANK_CHARACTERS)))
+    return F.when(F.rlike(clean, F.lit(CALENDAR)), F.split(F.regexp_replace(clean, CALENDAR, "$3/$2/$1/$4"), "/"))
 
 
 def calendar_timestamp(parts: Column) -> Column:
@@ -102,4 +116,4 @@ def calendar_timestamp(parts: Column) -> Column:
     month_number = ((F.instr(F.lit(MONTHS), month) + 2) / 3).cast("int")
     century = F.when(F.length(year) == 4, "").when(year >= "69", "19").otherwise("20")
     iso = F.concat(century, year, F.lit("-"), month_number.cast("string"), F.lit("-"), day, F.lit(" "), clock)
-    return F.when((F.size(parts) == 4) & (year != "0000"), iso.try_cast("timestamp"))
+    return F.when(year != "0000", iso.try_cast("timestamp"))

@@ -25,10 +25,7 @@ BLANK_CHARACTERS = (
     "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# Listed one by one, because Java looks single characters up in a bit set but
-# tests ranges one after the other.
-UPPER_CASE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-FIELD_NAME = f"[{UPPER_CASE}][{UPPER_CASE}0123456789_]*"
+FIELD_NAME = "[A-Z][A-Z0-9_]*+"
 NO_BREAK_SPACE = "\xa0"
 
 REPEATED_FIELD = "COMMENTS"
@@ -70,12 +67,13 @@ def entry_value(name: Column | str) -> Column:
 
 
 def one_line(value: Column) -> Column:
-    """Wrapped lines joined by one space each, the ends stripped."""
-    joined = F.when(
-        F.rlike(value, F.lit(LINE_END)),
-        F.regexp_replace(value, f"{BLANK}*{LINE_END}{BLANK}*", " "),
-    ).otherwise(value)
-    return F.btrim(joined, F.lit(BLANK_CHARACTERS))
+    """Wrapped lines joined by one space each, the ends stripped.
+
+    Each line is stripped by itself, so that long runs of blanks are read once.
+    """
+    lines = F.transform(F.split(value, LINE_END), lambda line: F.btrim(line, F.lit(BLANK_CHARACTERS)))
+    joined = F.array_join(F.filter(lines, lambda line: line != ""), " ")
+    return F.when(F.rlike(value, F.lit(LINE_END)), joined).otherwise(F.btrim(value, F.lit(BLANK_CHARACTERS)))
 
 
 def text_field(name: str) -> Column:

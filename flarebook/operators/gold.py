@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flarebook.functions.keys import notice_key, surrogate_key
+from flarebook.functions.keys import revision_order, surrogate_key
 from flarebook.schemas import FACT_COLUMNS, POSITION, SKY_CONTEXT
 
 TIMING = ("burst_time", "notice_time")
@@ -27,9 +27,13 @@ def sun_moon_dimension(silver: DataFrame) -> DataFrame:
 
 def spatial_dimension(silver: DataFrame) -> DataFrame:
     """One row per position. Of several sky contexts the earliest known one is
-    kept, and among contexts of one instant the smallest."""
+    kept, and among contexts of one instant the smallest. A context without any
+    value counts as unknown: it only stays if there is no other."""
     context = F.struct(
-        F.col("notice_time").isNull().alias("undated"), "notice_time", *SKY_CONTEXT
+        F.coalesce(*[F.col(c) for c in SKY_CONTEXT]).isNull().alias("unknown"),
+        F.col("notice_time").isNull().alias("undated"),
+        "notice_time",
+        *SKY_CONTEXT,
     )
     members = silver.groupBy(*POSITION).agg(F.min(context).alias("context"))
     flat = members.select(*POSITION, "context.*")
@@ -92,11 +96,9 @@ def latest_keys(silver: DataFrame) -> DataFrame:
 
     A missing record number comes last, hence only counts if there is no other.
     """
-    last = silver.groupBy("trigger_num").agg(F.max("record_num").alias("record_num"))
-    return last.select(
-        notice_key(F.col("trigger_num"), F.col("record_num")).alias("notice_key"),
-        F.lit(True).alias("latest"),
-    )
+    order = revision_order(F.col("notice_key"), F.col("trigger_num"))
+    last = silver.groupBy("trigger_num").agg(F.max(F.struct(*order, "notice_key")).alias("last"))
+    return last.select("last.notice_key", F.lit(True).alias("latest"))
 
 
 def fact_notices(silver: DataFrame) -> DataFrame:
@@ -126,3 +128,12 @@ GOLD_TABLES = (
     ("dim_event_timing", "timing_key", timing_dimension),
     ("fact_notices", "notice_key", fact_notices),
 )
+
+# What a new notice can change in each table: the groups it belongs to. In the
+# fact that is its trigger, since the flag may move from one revision to another.
+GOLD_SCOPES = {
+    "dim_sun_moon_coords": SKY_CONTEXT,
+    "dim_spatial_coords": POSITION,
+    "dim_event_timing": TIMING,
+    "fact_notices": ("trigger_num",),
+}

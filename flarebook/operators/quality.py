@@ -11,7 +11,11 @@ OFFSETS_PER_RANGE = 1_000_000
 
 
 def reconcile(bronze: DataFrame, clean: DataFrame, quarantined: DataFrame) -> DataFrame:
-    """Rows per broker partition and offset range: none lost, none added."""
+    """Rows per broker partition and offset range: none lost, none added.
+
+    ``missing_offsets`` counts those between the first and the last one of a
+    range that no Bronze row has: what the broker lost, or never used.
+    """
     layers = {"bronze_rows": bronze, "cleaned_rows": clean, "quarantine_rows": quarantined}
     tagged = [f.select("topic", "partition", "offset", F.lit(n).alias("layer")) for n, f in layers.items()]
     counts = (
@@ -20,7 +24,13 @@ def reconcile(bronze: DataFrame, clean: DataFrame, quarantined: DataFrame) -> Da
         .agg(*[F.count_if(F.col("layer") == n).alias(n) for n in layers])
     )
     balanced = F.col("bronze_rows") == F.col("cleaned_rows") + F.col("quarantine_rows")
-    return counts.withColumn("is_balanced", balanced)
+    # Distinct offsets are groups of their own first, which combine before the shuffle.
+    used = bronze.select("topic", "partition", "offset").distinct()
+    gaps = used.groupBy("topic", "partition", F.floor(F.col("offset") / OFFSETS_PER_RANGE).alias("offset_range")).agg(
+        (F.max("offset") - F.min("offset") + 1 - F.count("*")).alias("missing_offsets")
+    )
+    keys = ["topic", "partition", "offset_range"]
+    return counts.withColumn("is_balanced", balanced).join(gaps, keys, "left")
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, relation: str) -> DataFrame:

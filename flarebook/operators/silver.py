@@ -43,26 +43,22 @@ TYPED_FIELDS = (
 )
 
 
-
-
 def _text(name: str) -> Column:
     return t.joined_entries(name) if name == t.REPEATED_FIELD else t.text_field(name)
 
 
-# What is read from one field each, over a frame that has its entries. The last
-# three are no Silver columns but parts of some.
+# What is read from one field each, over a frame that has its entries. Names
+# that are no Silver columns are parts of some.
 FOUND: dict[str, Callable[[], Column]] = {
-    "trigger_num": lambda: x.leading_integer(t.entry_value("TRIGGER_NUM")),
-    "record_num": lambda: x.leading_integer(t.entry_value("RECORD_NUM"), "int"),
+    "trigger_digits": lambda: x.leading_digits(t.entry_value("TRIGGER_NUM")),
+    "record_digits": lambda: x.leading_digits(t.entry_value("RECORD_NUM")),
     "ra_deg": lambda: x.first_degrees(t.entry_value("GRB_RA")),
     "dec_deg": lambda: x.first_degrees(t.entry_value("GRB_DEC")),
     "error_radius_deg": lambda: x.leading_number(t.entry_value("GRB_ERROR")),
     "phi_deg": lambda: x.leading_number(t.entry_value("GRB_PHI")),
     "theta_deg": lambda: x.leading_number(t.entry_value("GRB_THETA")),
-    "galactic_lon_deg": lambda: x.coordinate_pair(t.entry_value("GAL_COORDS"))[0],
-    "galactic_lat_deg": lambda: x.coordinate_pair(t.entry_value("GAL_COORDS"))[1],
-    "ecliptic_lon_deg": lambda: x.coordinate_pair(t.entry_value("ECL_COORDS"))[0],
-    "ecliptic_lat_deg": lambda: x.coordinate_pair(t.entry_value("ECL_COORDS"))[1],
+    "galactic_pair": lambda: x.coordinate_pair(t.entry_value("GAL_COORDS")),
+    "ecliptic_pair": lambda: x.coordinate_pair(t.entry_value("ECL_COORDS")),
     "sun_ra_deg": lambda: x.position_pair(t.entry_value("SUN_POSTN"))[0],
     "sun_dec_deg": lambda: x.position_pair(t.entry_value("SUN_POSTN"))[1],
     "sun_dist_deg": lambda: x.leading_number(t.entry_value("SUN_DIST")),
@@ -80,11 +76,21 @@ FOUND: dict[str, Callable[[], Column]] = {
 # What is put together from found values. Found values in several places are a
 # projection of their own, so none of them is searched for twice.
 COMBINED: dict[str, tuple[tuple[str, ...], Callable[..., Column]]] = {
-    "notice_key": (("trigger_num", "record_num"), notice_key),
+    "trigger_num": (("trigger_digits",), x.leading_integer),
+    "record_num": (("record_digits",), lambda digits: x.leading_integer(digits, "int")),
+    "notice_key": (
+        ("trigger_digits", "record_digits"),
+        lambda trigger, record: notice_key(x.leading_integer(trigger), record),
+    ),
+    **{
+        f"{system}_{name}_deg": ((f"{system}_pair",), lambda pair, place=place: x.pair_member(pair, place))
+        for system in ("galactic", "ecliptic")
+        for place, name in enumerate(("lon", "lat"))
+    },
     "notice_time": (("notice_date_parts",), x.calendar_timestamp),
     "burst_time": (("burst_days", "burst_seconds"), x.day_timestamp),
     "burst_date": (("burst_days",), x.day_date),
-    "is_parsed": (("trigger_num",), Column.isNotNull),
+    "is_parsed": (("trigger_digits",), lambda digits: x.leading_integer(digits).isNotNull()),
 }
 
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flarebook.operators.gold import GOLD_TABLES
-from flarebook.workspace import new_folder
+from flarebook.operators.gold import GOLD_SCOPES, GOLD_TABLES
+from flarebook.workspace import children, remove
 
 # Formats whose tables take MERGE INTO.
 MERGE_FORMATS = frozenset({"delta", "iceberg"})
 
+VERSION = "version-"
+STAGED = "staged-"
+
 
 def create_schemas(spark: SparkSession, names: list[str], location: str | None = None) -> None:
     for name in names:
@@ -31,12 +36,10 @@ def table_location(spark: SparkSession, table: str) -> str:
     return _described(spark, table, "Location")
 
 
-def merge_statement(target: str, source: str, key: str, columns: list[str]) -> str:
-    assignments = ", ".join(f"t.{c} = s.{c}" for c in columns)
-    return (
-        f"MERGE INTO {target} AS t USING {source} AS s ON t.{key} = s.{key} "
-        f"WHEN MATCHED THEN UPDATE SET {assignments} WHEN NOT MATCHED THEN INSERT *"
-    )
+def merge(updates: DataFrame, table: str, key: str) -> None:
+    """For formats that change rows in place."""
+    same = F.col(f"new_rows.{key}") == F.col(f"{table}.{key}")
+    updates.alias("new_rows").mergeInto(table, same).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
 def merged(current: DataFrame, updates: DataFrame, key: str) -> DataFrame:
@@ -45,36 +48,76 @@ def merged(current: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(updates)
 
 
-def upsert(updates: DataFrame, table: str, key: str, file_format: str = "parquet") -> None:
-    """Merge ``updates``, unique by ``key``, into ``table``.
+def _next_version(spark: SparkSession, location: str) -> str:
+    numbers = [int(name.removeprefix(VERSION)) for name in children(spark, location) if name.startswith(VERSION)]
+    return f"{location}/{VERSION}{max(numbers, default=0) + 1:010d}"
+
+
+def _tidy(spark: SparkSession, location: str, current: str, kept: int) -> None:
+    """Remove all but the current version and the ``kept`` ones before it."""
+    names = [name for name in children(spark, location) if name.startswith(VERSION)]
+    here = current.rstrip("/").rsplit("/", 1)[-1]
+    older = [name for name in names if name < here]
+    for name in (set(names) - {here}) - set(older[len(older) - kept :] if kept else []):
+        remove(spark, f"{location}/{name}")
+
+
+def upsert(
+    updates: DataFrame, table: str, key: str, location: str, file_format: str = "parquet", old_versions: int = 1
+) -> None:
+    """Merge ``updates``, unique by ``key``, into ``table``, whose files lie in ``location``.
 
     A plain file table cannot be changed in place. Its next version is written
     to a folder of its own and the table is pointed there once it is complete,
-    so a job that dies half-way leaves the table as it was.
+    so a job that dies half-way leaves the table as it was. ``old_versions``
+    are kept for readers that have begun; what else is left is removed.
     """
     spark = updates.sparkSession
-    name = table.rsplit(".", 1)[-1]
+    path = _next_version(spark, location)
     if not spark.catalog.tableExists(table):
-        path = new_folder(spark, name)
         updates.write.format(file_format).option("path", path).saveAsTable(table)
         return
     kind = provider(spark, table)
     if kind in MERGE_FORMATS:
-        view = f"updates_of_{name}"
-        updates.createOrReplaceTempView(view)
-        spark.sql(merge_statement(table, view, key, updates.columns))
+        merge(updates, table, key)
         return
     # The updates are read twice below, so they are computed once and stored.
-    staged = new_folder(spark, f"{name}-updates")
-    updates.write.format(kind).save(staged)
-    updates = spark.read.schema(updates.schema).format(kind).load(staged)
-    path = new_folder(spark, name)
-    merged(spark.read.table(table), updates, key).write.format(kind).save(path)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-    spark.catalog.refreshTable(table)
-
-
-def build_gold(silver: DataFrame, schema: str, file_format: str = "parquet") -> None:
-    """Bring all Gold tables up to date with Silver; a second run changes nothing."""
+    staged = f"{location}/{STAGED}{uuid.uuid4().hex}"
+    try:
+        updates.write.format(kind).save(staged)
+        stored = spark.read.schema(updates.schema).format(kind).load(staged)
+        merged(spark.read.table(table), stored, key).write.format(kind).save(path)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    finally:
+        remove(spark, staged)
+    _tidy(spark, location, path, old_versions)
+
+
+def affected(silver: DataFrame, changed: DataFrame, scope: tuple[str, ...]) -> DataFrame:
+    """All notices of the groups that changed ones belong to. Null is a value."""
+    names = [f"changed_{name}" for name in scope]
+    groups = changed.select(*scope).distinct().toDF(*names)
+    same = [F.col(name).eqNullSafe(F.col(new)) for name, new in zip(scope, names)]
+    return silver.join(groups, same, "left_semi")
+
+
+def build_gold(
+    silver: DataFrame,
+    schema: str,
+    root: str,
+    file_format: str = "parquet",
+    changed: DataFrame | None = None,
+) -> None:
+    """Bring all Gold tables up to date with Silver; a second run changes nothing.
+
+    With ``changed`` notices only, just their triggers, positions and times are
+    built again, each from all of its notices. A table that is not there yet is
+    built in full.
+    """
+    spark = silver.sparkSession
     for name, key, builder in GOLD_TABLES:
-        upsert(builder(silver), f"{schema}.{name}", key, file_format)
+        table = f"{schema}.{name}"
+        whole = changed is None or not spark.catalog.tableExists(table)
+        source = silver if whole else affected(silver, changed, GOLD_SCOPES[name])
+        upsert(builder(source), table, key, f"{root}/{name}", file_format)

@@ -6,13 +6,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flarebook.operators.gold import GOLD_TABLES
+from flarebook.operators.silver import cleaned
 from flarebook.operators.upsert import build_gold, create_schemas
-from flarebook.session import configure_session, fit_shuffles
+from flarebook.schemas import SILVER
+from flarebook.session import configure_session
 from flarebook.streaming import jobs
+from flarebook.workspace import exists
 
 RAW = "notices_raw"
 PARSED = "notices"
-CLEANED = "notices_cleaned"
 
 
 @dataclass(frozen=True)
@@ -41,7 +44,7 @@ class Layout:
         return f"{self.schema(layer)}.{name}"
 
     def path(self, layer: str, name: str) -> str:
-        return f"{self.root}/{layer}/{name}"
+        return f"{self.root}/{layer}/{name}".rstrip("/")
 
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
@@ -76,9 +79,29 @@ def parse(spark: SparkSession, layout: Layout) -> None:
 
 
 def model(spark: SparkSession, layout: Layout) -> None:
-    """Bring Gold up to date with Silver."""
+    """Bring Gold up to date with what is new in Silver.
+
+    The stream over Silver only tells which notices are new. A batch run again
+    after a lost job builds the same groups from all of Silver once more.
+    """
     configure_session(spark)
-    fit_shuffles(spark, layout.silver_path)
-    build_gold(
-        spark.read.table(layout.table("silver", CLEANED)), layout.schema("gold"), layout.file_format
+
+    def bring_up(silver: DataFrame, changed: DataFrame | None) -> None:
+        build_gold(cleaned(silver), layout.schema("gold"), layout.path("gold", ""), layout.file_format, changed)
+
+    def everything(session: SparkSession) -> DataFrame:
+        return jobs.read_silver(session, layout.silver_path, layout.file_format)
+
+    if not exists(spark, layout.silver_path):
+        bring_up(spark.createDataFrame([], SILVER), None)
+        return
+    if not all(spark.catalog.tableExists(layout.table("gold", name)) for name, _, _ in GOLD_TABLES):
+        bring_up(everything(spark), None)
+    jobs.each_batch(
+        jobs.silver_stream(spark, layout.silver_path, layout.file_format),
+        layout.checkpoint(f"gold-{layout.parser_version}"),
+        lambda batch: bring_up(everything(batch.sparkSession), cleaned(batch)),
     )
+    # The stream has a session of its own; this one may remember the last version.
+    for name, _, _ in GOLD_TABLES:
+        spark.catalog.refreshTable(layout.table("gold", name))

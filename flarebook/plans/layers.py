@@ -12,13 +12,13 @@ from pyspark.sql.types import StructType
 from flarebook.operators.bronze import to_bronze
 from flarebook.operators.gold import GOLD_TABLES
 from flarebook.operators.silver import cleaned, quarantine
-from flarebook.session import configure_session, fit_shuffles
+from flarebook.session import configure_session
 from flarebook.sources.records import replay_batch
 from flarebook.sources.sample import write_replay
 from flarebook.streaming.jobs import read_silver, rebuild_silver
-from flarebook.workspace import new_folder
+from flarebook.workspace import changed_at, new_folder
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple, str] = {}
 _SCHEMAS: dict[str, StructType] = {}
 
 
@@ -29,7 +29,8 @@ class Layers:
 
     def _stored(self, layer: str, write) -> str:
         """Path of a layer; it only counts as stored once its job is complete."""
-        key = (self.spark.sparkContext.applicationId, self.tables, layer)
+        changed = changed_at(self.spark, f"{self.tables}/events.parquet")
+        key = (self.spark.sparkContext.applicationId, self.tables, changed, layer)
         if key not in _STORED:
             path = new_folder(self.spark, layer)
             write(path)
@@ -49,13 +50,9 @@ class Layers:
         return to_bronze(self.records())
 
     def silver(self) -> DataFrame:
-        path = self._stored("silver", self._write_silver)
+        path = self._stored("silver", lambda path: rebuild_silver(self.bronze(), path))
         return read_silver(self.spark, path)
 
-    def _write_silver(self, path: str) -> None:
-        rebuild_silver(self.bronze(), path)
-        fit_shuffles(self.spark, path)
-
     def cleaned(self) -> DataFrame:
         return cleaned(self.silver())
 

@@ -7,6 +7,7 @@ result reads the same in any session and engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +28,18 @@ from flarebook.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# What tells the rows of a Gold table apart, and what may change in them.
+KEY_COLUMNS = {
+    "dim_sun_moon_coords": ("sun_moon_key",),
+    "dim_spatial_coords": ("spatial_key", "sun_moon_key"),
+    "dim_event_timing": ("timing_key", "burst_date", "notice_latency_seconds"),
+    "fact_notices": ("notice_key", "timing_key", "spatial_key", "comments", "loc_url", "is_latest_revision"),
+}
+
 # The sample starts on 2024-01-01 and covers 30 days.
 SAMPLE_NOW = "2024-02-10 00:00:00"
 SAMPLE_MIDDLE = "2024-01-16 00:00:00"
+REPLAY_FILES_PER_BATCH = 4
 
 
 def time_text(column: str) -> Column:
@@ -72,21 +82,26 @@ def _raw(**fields: Column) -> Query:
     )
 
 
-def _late(build: Callable[[], Query]) -> Query:
+def _deferred(build: Callable[[], Query]) -> Query:
     """Column expressions need a session, so they are made when a query runs."""
     return lambda spark, tables: build()(spark, tables)
 
 
+def as_sent(frame: DataFrame, layers: Layers, payload: str) -> DataFrame:
+    """The payload column replaced by whether all its bytes are those of the record."""
+    place = ["topic", "partition", "offset"]
+    sent = layers.records().select(*place, F.sha2("value", 256).alias("sent_digest"))
+    same = F.sha2(F.encode(payload, "UTF-8"), 256) == F.col("sent_digest")
+    return frame.join(sent, place).withColumn("as_sent", same).drop("sent_digest", payload)
+
+
 def bronze_envelope(layers: Layers) -> DataFrame:
-    bronze = layers.bronze()
-    return bronze.select(
-        "topic",
-        "partition",
-        "offset",
-        "kafka_timestamp",
-        "message_key",
-        F.startswith("payload", F.lit("TITLE:")).alias("has_title"),
-    )
+    bronze = layers.bronze().withColumn("has_title", F.startswith("payload", F.lit("TITLE:")))
+    return as_sent(bronze.drop("ingested_at"), layers, "payload")
+
+
+def _notices(silver: DataFrame, layers: Layers) -> DataFrame:
+    return as_sent(silver.drop("ingested_at"), layers, "raw_payload")
 
 
 def _ingested(layers: Layers, max_files: int | None = None) -> str:
@@ -104,10 +119,9 @@ def _routed(layers: Layers) -> tuple[str, str, str]:
 
 
 def bronze_replay(layers: Layers) -> DataFrame:
-    """The replay source as a stream, in a handful of batches at any size."""
-    max_files = max(1, layers.records().rdd.getNumPartitions() // 4)
-    bronze = jobs.read_bronze(layers.spark, _ingested(layers, max_files))
-    return bronze.select("topic", "partition", "offset", "kafka_timestamp")
+    """The replay source as a stream, a few files at a time."""
+    bronze = jobs.read_bronze(layers.spark, _ingested(layers, REPLAY_FILES_PER_BATCH))
+    return as_sent(bronze.drop("ingested_at"), layers, "payload")
 
 
 def bronze_ingest(layers: Layers) -> DataFrame:
@@ -122,7 +136,7 @@ def bronze_ingest(layers: Layers) -> DataFrame:
 
 def silver_stream(layers: Layers) -> DataFrame:
     _, silver, _ = _routed(layers)
-    return jobs.read_silver(layers.spark, silver).select("offset", "notice_key", "burst_time", "is_parsed")
+    return _notices(jobs.read_silver(layers.spark, silver), layers)
 
 
 def stream_rerun_noop(layers: Layers) -> DataFrame:
@@ -154,49 +168,70 @@ def replay_dedupe(layers: Layers) -> DataFrame:
     return gold.fact_notices(silver.unionByName(again)).drop("ingested_at")
 
 
-def _upserted(layers: Layers, *versions: DataFrame) -> dict[str, DataFrame]:
-    """Gold after one run per version of Silver. The tables live in a schema of
-    their own, which is dropped again; the files stay for the result."""
+def _upserted(layers: Layers, *runs: tuple[DataFrame, DataFrame | None]) -> dict[str, DataFrame]:
+    """Gold after runs over a state of Silver and what is new in it. The tables
+    live in a schema of their own, which is dropped again; the files stay for
+    the result."""
     spark = layers.spark
-    schema = "gold_" + new_folder(spark, "run").rsplit("-", 1)[-1]
-    create_schemas(spark, [schema], new_folder(spark, "schemas"))
-    for silver in versions:
-        build_gold(silver, schema)
+    root = new_folder(spark, "gold")
+    schema = "gold_" + root.rsplit("-", 1)[-1]
+    create_schemas(spark, [schema], f"{root}/schemas")
     frames = {}
-    for name, _, _ in gold.GOLD_TABLES:
-        path = table_location(spark, f"{schema}.{name}")
-        frames[name] = spark.read.schema(spark.read.table(f"{schema}.{name}").schema).parquet(path)
-        spark.sql(f"DROP TABLE {schema}.{name}")
-    spark.sql(f"DROP SCHEMA {schema}")
+    try:
+        for silver, changed in runs:
+            build_gold(silver, schema, root, changed=changed)
+        for name, _, _ in gold.GOLD_TABLES:
+            path = table_location(spark, f"{schema}.{name}")
+            frames[name] = spark.read.schema(spark.read.table(f"{schema}.{name}").schema).parquet(path)
+    finally:
+        spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
     return frames
 
 
+def _table_digests(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows, keys and all keys and values of each table as one sum of hashes."""
+    parts = []
+    for name, key, _ in gold.GOLD_TABLES:
+        frame = portable(tables[name].drop("ingested_at"))
+        shown = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in KEY_COLUMNS[name]]
+        # 52 bits of each row's hash, so that the sums are exact in any engine.
+        bits = F.conv(F.substring(F.md5(F.concat_ws("|", *shown)), 1, 13), 16, 10).cast("decimal(38,0)")
+        parts.append(
+            frame.agg(
+                F.lit(name).alias("table_name"),
+                F.count("*").alias("table_rows"),
+                F.count_distinct(key).alias("table_keys"),
+                F.sum(bits).cast("string").alias("digest"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _early(layers: Layers) -> DataFrame:
     return layers.cleaned().where(F.col("kafka_timestamp") < F.lit(SAMPLE_MIDDLE).cast("timestamp"))
 
 
+def _late(layers: Layers) -> DataFrame:
+    return layers.cleaned().where(F.col("kafka_timestamp") >= F.lit(SAMPLE_MIDDLE).cast("timestamp"))
+
+
 def gold_upsert_first(layers: Layers) -> DataFrame:
-    return _upserted(layers, _early(layers))["fact_notices"].drop("ingested_at")
+    return _upserted(layers, (_early(layers), None))["fact_notices"].drop("ingested_at")
 
 
 def gold_upsert(layers: Layers) -> DataFrame:
-    return _upserted(layers, _early(layers), layers.cleaned())["fact_notices"].drop("ingested_at")
+    """The second run knows the late notices as new: it keeps, changes and adds rows."""
+    tables = _upserted(layers, (_early(layers), None), (layers.cleaned(), _late(layers)))
+    return tables["fact_notices"].drop("ingested_at")
+
+
+def gold_upsert_tables(layers: Layers) -> DataFrame:
+    return _table_digests(_upserted(layers, (_early(layers), None), (layers.cleaned(), _late(layers))))
 
 
 def gold_upsert_idempotent(layers: Layers) -> DataFrame:
-    tables = _upserted(layers, layers.cleaned(), layers.cleaned())
-    counts = [
-        frame.agg(
-            F.lit(name).alias("table_name"),
-            F.count("*").alias("table_rows"),
-            F.count_distinct(key).alias("table_keys"),
-        )
-        for name, key, frame in ((n, k, tables[n]) for n, k, _ in gold.GOLD_TABLES)
-    ]
-    out = counts[0]
-    for frame in counts[1:]:
-        out = out.unionByName(frame)
-    return out
+    every = layers.cleaned()
+    return _table_digests(_upserted(layers, (every, None), (every, None), (every, _late(layers))))
 
 
 def surrogate_keys(layers: Layers) -> DataFrame:
@@ -226,7 +261,7 @@ def recent_bursts(layers: Layers) -> DataFrame:
 
 
 def _extracted(**columns: Callable[[], Column]) -> Query:
-    return _late(lambda: _raw(**{name: make() for name, make in columns.items()}))
+    return _deferred(lambda: _raw(**{name: make() for name, make in columns.items()}))
 
 
 def queries() -> dict[str, Query]:
@@ -236,14 +271,15 @@ def queries() -> dict[str, Query]:
         "bronze_replay": bronze_replay,
         "bronze_ingest": bronze_ingest,
         "silver_stream": silver_stream,
-        "silver_cleaned": lambda s: s.cleaned().drop("ingested_at", "raw_payload"),
-        "silver_quarantine": lambda s: s.quarantine().drop("ingested_at", "raw_payload"),
-        "silver_parse": lambda s: parse_notices(s.bronze()).drop("ingested_at", "raw_payload"),
+        "silver_cleaned": lambda s: _notices(s.cleaned(), s),
+        "silver_quarantine": lambda s: _notices(s.quarantine(), s),
+        "silver_parse": lambda s: _notices(parse_notices(s.bronze()), s),
         "stream_rerun_noop": stream_rerun_noop,
         "rebuild_equals_stream": rebuild_equals_stream,
         "parse_udf_equals_native": parse_udf_equals_native,
         "gold_upsert_first": gold_upsert_first,
         "gold_upsert": gold_upsert,
+        "gold_upsert_tables": gold_upsert_tables,
         "gold_upsert_idempotent": gold_upsert_idempotent,
         "replay_dedupe": replay_dedupe,
         # Functions
@@ -268,7 +304,7 @@ def queries() -> dict[str, Query]:
         "dq_rescued_keys": lambda s: quality.unknown_field_counts(s.silver()),
         # Reports
         "q_recent_bursts": recent_bursts,
-        "q_latency_percentiles": lambda s: reports.latency_percentiles(s.timing()),
+        "q_latency_percentiles": lambda s: reports.latency_rank_errors(s.timing()),
         "q_latency_percentiles_exact": lambda s: reports.latency_percentiles_exact(s.timing()),
         "q_followup_candidates": lambda s: reports.followup_candidates(s.fact(), s.spatial(), s.sun_moon()),
         "q_localisation_drift": localisation_drift,
@@ -277,7 +313,7 @@ def queries() -> dict[str, Query]:
     }
     parsing = {
         "parse_nbsp": _extracted(title=lambda: t.text_field("TITLE")),
-        "parse_lines": _late(lambda: _raw(fields=F.size(F.col(t.NAMES)) - 1)),
+        "parse_lines": _deferred(lambda: _raw(fields=F.size(F.col(t.NAMES)) - 1)),
         "parse_first_colon": _extracted(
             loc_url=lambda: t.text_field("LOC_URL"), grb_time=lambda: t.text_field("GRB_TIME")
         ),
@@ -285,9 +321,7 @@ def queries() -> dict[str, Query]:
             grb_ra=lambda: t.text_field("GRB_RA"), notice_type=lambda: t.text_field("NOTICE_TYPE")
         ),
         "parse_malformed": _layer_query(
-            lambda s: t.with_entries(s.quarantine().withColumnRenamed("raw_payload", "payload")).select(
-                "offset", (F.size(F.col(t.NAMES)) == 1).alias("has_no_field")
-            )
+            lambda s: t.with_entries(s.bronze()).select("offset", (F.size(F.col(t.NAMES)) == 1).alias("has_no_field"))
         ),
         "parse_comments": _extracted(comments=t.joined_entries),
         "parse_last_wins": _extracted(

@@ -19,21 +19,3 @@ def configure_session(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
-
-
-INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-BYTES_PER_PARTITION = 64 * 1024 * 1024
-MOST_PARTITIONS = 100_000
-
-
-def fit_shuffles(spark: SparkSession, folder: str) -> None:
-    """Start shuffles over ``folder`` with partitions that fit into memory.
-
-    Only ever raises the number: what turns out small is merged at run time.
-    """
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    wanted = min(files.getContentSummary(path).getLength() // BYTES_PER_PARTITION, MOST_PARTITIONS)
-    current = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
-    if wanted > int(current):
-        spark.conf.set(INITIAL_PARTITIONS, str(wanted))

@@ -21,6 +21,9 @@ class FeedConfig:
     starting_offsets: str = "earliest"
     # Suits a live feed; None drains a large backlog without a cap per batch.
     max_offsets_per_trigger: int | None = 5_000
+    # A broker keeps a bounded history. A lost range does not stop the job, unless
+    # asked for; ``quality.reconcile`` counts the offsets that are missing.
+    fail_on_data_loss: bool = False
     extra_options: dict[str, str] = field(default_factory=dict)
 
     def options(self) -> dict[str, str]:
@@ -28,8 +31,7 @@ class FeedConfig:
             "kafka.bootstrap.servers": self.bootstrap_servers,
             "subscribe": self.topic,
             "startingOffsets": self.starting_offsets,
-            # A broker keeps a bounded history; a lost range must not stop the job.
-            "failOnDataLoss": "false",
+            "failOnDataLoss": str(self.fail_on_data_loss).lower(),
         }
         if self.max_offsets_per_trigger is not None:
             options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
@@ -41,14 +43,24 @@ def kafka_stream(spark: SparkSession, feed: FeedConfig) -> DataFrame:
 
 
 def replay_stream(
-    spark: SparkSession, folder: str, max_files_per_trigger: int | None = None, latest_first: bool = False
+    spark: SparkSession,
+    folder: str,
+    max_files_per_trigger: int | None = None,
+    latest_first: bool = False,
+    ignore_missing: bool = True,
+    since: str | None = None,
 ) -> DataFrame:
-    """Stored records as a stream, with the limits a broker source would have."""
-    reader = spark.readStream.schema(ENVELOPE).option("ignoreMissingFiles", "true")
+    """Stored records as a stream, with the limits a broker source would have.
+
+    ``since``, a time as text, leaves out the records before it, as a
+    subscription does that starts at the latest ones.
+    """
+    reader = spark.readStream.schema(ENVELOPE).option("ignoreMissingFiles", str(ignore_missing).lower())
     reader = reader.option("latestFirst", str(latest_first).lower())
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(folder)
+    records = reader.parquet(folder)
+    return records if since is None else records.where(F.col("timestamp") >= F.lit(since).cast("timestamp"))
 
 
 def replay_batch(spark: SparkSession, folder: str) -> DataFrame:

@@ -41,8 +41,15 @@ def notice_text(e: Column, user: Column, kind: Column, t: Column, value: Column,
     micros = F.unix_micros(t)
     day_micros = micros % 86_400_000_000
     notice_time = F.timestamp_seconds(F.floor(micros / 1_000_000) + e % 900)
-    ra = _spread(e, 7919, 360_000)
-    dec = _spread(e, 104_729, 180_001) - 90_000
+    # Pairs of notices have one position; the first of them knows no Sun or Moon.
+    place = F.when(e % 61 == 1, e - 1).otherwise(e)
+    has_sky = has_context & (e % 61 != 0)
+    error = F.when(e % 61 < 2, F.lit(100)).otherwise(F.round(value * 100).cast("bigint"))
+    ra = _spread(place, 7919, 360_000)
+    dec = _spread(place, 104_729, 180_001) - 90_000
+    # Numbers beyond 32 bits, and some with zeros or a sign in front.
+    record = e % 40 + F.when(e % 53 == 0, 3_000_000_000).otherwise(0)
+    record_text = F.concat(F.when(e % 59 == 0, "+00").otherwise(""), record.cast("string"))
 
     line_break = (
         F.when(user % 32 == 0, "\r\n")
@@ -61,41 +68,42 @@ def notice_text(e: Column, user: Column, kind: Column, t: Column, value: Column,
         _line(
             "NOTICE_DATE",
             F.concat(
-                F.when(e % 11 == 0, F.date_format(notice_time, "E dd MMM yyyy HH:mm:ss")).otherwise(
-                    F.date_format(notice_time, "E dd MMM yy HH:mm:ss")
-                ),
+                # A date in another notation is not read.
+                F.when(e % 43 == 0, F.date_format(notice_time, "yyyy/MMM/dd/HH:mm:ss"))
+                .when(e % 11 == 0, F.date_format(notice_time, "E dd MMM yyyy HH:mm:ss"))
+                .otherwise(F.date_format(notice_time, "E dd MMM yy HH:mm:ss")),
                 F.lit(" UT"),
             ),
         ),
         _line("NOTICE_TYPE", F.when(e % 7 == 0, "Final").otherwise("Final Position")),
         F.when(e % 7 == 0, F.concat(indent, F.lit("Position"))),
-        F.when(e % 97 != 0, _line("RECORD_NUM", (e % 40).cast("string"))),
+        F.when(e % 97 != 0, _line("RECORD_NUM", record_text)),
         F.when(kind != DEAD_END, _line("TRIGGER_NUM", (user + 700_000_000).cast("string"))),
         F.when(
             has_position,
-            _line("GRB_RA", F.concat(_fixed(ra, 3), F.lit("d {+14h 18m 04s} (J2000),"))),
+            _line("GRB_RA", F.concat(_fixed(ra, 3), F.lit("d {at the epoch} (J2000),"))),
         ),
         F.when(has_position & (kind == "click"), F.lit("   ")),
         F.when(
             has_position,
-            F.concat(indent, _fixed((ra + 339) % 360_000, 3), F.lit("d {+14h 19m 25s} (current),")),
+            F.concat(indent, _fixed((ra + 339) % 360_000, 3), F.lit("d {at this date} (current),")),
         ),
         F.when(
             has_position,
-            F.concat(indent, _fixed((ra + 359_352) % 360_000, 3), F.lit("d {+14h 15m 28s} (1950)")),
+            F.concat(indent, _fixed((ra + 359_352) % 360_000, 3), F.lit("d {older epoch} (1950)")),
         ),
         F.when(
             has_position,
-            _line("GRB_DEC", F.concat(_fixed(dec, 3), F.lit("d {-11d 18' 00\"} (J2000),"))),
+            _line("GRB_DEC", F.concat(_fixed(dec, 3), F.lit("d {at the epoch} (J2000),"))),
         ),
-        F.when(has_position, F.concat(indent, _fixed(-dec, 3), F.lit("d {-11d 26' 13\"} (current)"))),
+        F.when(has_position, F.concat(indent, _fixed(-dec, 3), F.lit("d {at this date} (current)"))),
         F.when(
             has_position,
             _line(
                 "GRB_ERROR",
                 F.concat(
-                    _fixed(F.round(value * 100).cast("bigint"), 2),
-                    F.lit(" [deg radius, statistical only]"),
+                    _fixed(error, 2),
+                    F.lit(" [deg] radius of the error circle"),
                 ),
             ),
         ),
@@ -125,7 +133,7 @@ def notice_text(e: Column, user: Column, kind: Column, t: Column, value: Column,
         F.when(has_context, _line("GRB_THETA", F.concat(_fixed(_spread(e, 29, 18_000), 2), F.lit(" [deg]")))),
         F.when(kind == "signup", _line("E_RANGE", F.lit("8-20 [keV]"))),
         _line("E_RANGE", F.concat(F.lit("47-"), (e % 100 + 200).cast("string"), F.lit(" [keV]"))),
-        _line("LOC_ALGORITHM", F.lit("3 (version number of)")),
+        _line("LOC_ALGORITHM", F.lit("3 (the third scheme)")),
         _line(
             "LC_URL",
             F.when(kind == "click", "").otherwise(
@@ -134,47 +142,47 @@ def notice_text(e: Column, user: Column, kind: Column, t: Column, value: Column,
         ),
         _line("LOC_URL", F.concat(F.lit("http://data.example.org:80/loc/a:b/"), e.cast("string"))),
         F.when(
-            has_context,
+            has_sky,
             _line(
                 "SUN_POSTN",
                 F.concat(
                     _fixed(_spread(e, 31, 36_000), 2),
-                    F.lit("d {+09h 32m 50s}  "),
+                    F.lit("d {of the Sun}  "),
                     _fixed(_spread(e, 17, 4_700) - 2_350, 2),
-                    F.lit("d {+14d 19' 12\"}"),
+                    F.lit("d {of the Sun}"),
                 ),
             ),
         ),
         F.when(
-            has_context,
+            has_sky,
             _line(
                 "SUN_DIST",
-                F.concat(_fixed(_spread(e, 13, 18_000), 2), F.lit(" [deg]   Sun_angle= -4.7 [hr] (West of Sun)")),
+                F.concat(_fixed(_spread(e, 13, 18_000), 2), F.lit(" [deg]   on the sky, 3.5 [hr] behind")),
             ),
         ),
         F.when(
-            has_context,
+            has_sky,
             _line(
                 "MOON_POSTN",
                 F.concat(
                     _fixed(_spread(e, 37, 36_000), 2),
-                    F.lit("d {+22h 03m 38s}  "),
+                    F.lit("d {of the Moon}  "),
                     _fixed(_spread(e, 19, 5_700) - 2_850, 2),
-                    F.lit("d {-12d 02' 24\"}"),
+                    F.lit("d {of the Moon}"),
                 ),
             ),
         ),
-        F.when(has_context, _line("MOON_DIST", F.concat(_fixed(_spread(e, 11, 18_000), 2), F.lit(" [deg]")))),
-        F.when(has_context, _line("MOON_ILLUM", F.concat((e % 101).cast("string"), F.lit(" [%]")))),
+        F.when(has_sky, _line("MOON_DIST", F.concat(_fixed(_spread(e, 11, 18_000), 2), F.lit(" [deg]")))),
+        F.when(has_sky, _line("MOON_ILLUM", F.concat((e % 101).cast("string"), F.lit(" [%]")))),
         F.when(
             has_context & has_position,
             _line(
                 "GAL_COORDS",
                 F.concat(
-                    _fixed(_spread(e, 41, 36_000), 2),
+                    _fixed(_spread(place, 41, 36_000), 2),
                     F.lit(",  "),
-                    _fixed(_spread(e, 43, 18_001) - 9_000, 2),
-                    F.lit(" [deg] galactic lon,lat of the burst (or transient)"),
+                    _fixed(_spread(place, 43, 18_001) - 9_000, 2),
+                    F.lit(" [deg] from the galactic plane"),
                 ),
             ),
         ),
@@ -183,10 +191,10 @@ def notice_text(e: Column, user: Column, kind: Column, t: Column, value: Column,
             _line(
                 "ECL_COORDS",
                 F.concat(
-                    _fixed(_spread(e, 47, 36_000), 2),
+                    _fixed(_spread(place, 47, 36_000), 2),
                     F.lit(",   "),
-                    _fixed(_spread(e, 53, 18_001) - 9_000, 2),
-                    F.lit(" [deg] ecliptic lon,lat of the burst (or transient)"),
+                    _fixed(_spread(place, 53, 18_001) - 9_000, 2),
+                    F.lit(" [deg] from the ecliptic"),
                 ),
             ),
         ),
@@ -223,10 +231,8 @@ def envelope_from_events(events: DataFrame) -> DataFrame:
 
 
 def write_replay(spark: SparkSession, events: DataFrame, path: str) -> None:
-    """Store the derived records; a few input splits are spread over all cores."""
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
-        events = events.repartition(cores)  # evenly, whatever the ids
+    """Store the derived records, spread evenly over as many tasks as a shuffle has."""
+    events = events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     # Text is far larger than the event it comes from, so long tasks roll files.
     (
         envelope_from_events(events)

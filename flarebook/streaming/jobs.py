@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from flarebook.operators.bronze import to_bronze
 from flarebook.operators.silver import parse_notices
 from flarebook.schemas import BRONZE, SILVER, SILVER_COLUMNS
+from flarebook.workspace import exists
 
 
 def drain(
@@ -67,15 +70,44 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BRONZE).option("mergeSchema", "true").parquet(path)
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SILVER).parquet(path).select(*SILVER_COLUMNS)
+def read_silver(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
+    reader = spark.read.format(file_format)
+    # Only plain files need to be told; the other formats know their schema.
+    reader = reader.schema(SILVER) if file_format == "parquet" else reader
+    return reader.load(path).select(*SILVER_COLUMNS)
+
+
+def silver_stream(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
+    reader = spark.readStream.format(file_format)
+    reader = reader.schema(SILVER) if file_format == "parquet" else reader
+    return reader.load(path).select(*SILVER_COLUMNS)
+
+
+def each_batch(frame: DataFrame, checkpoint: str, work: Callable[[DataFrame], None]) -> StreamingQuery:
+    """Hand everything that has arrived to ``work``, which must bear a repetition."""
+    query = (
+        frame.writeStream.foreachBatch(lambda batch, _: work(batch))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
 
 
 def create_silver_views(spark: SparkSession, path: str, schema: str, file_format: str = "parquet") -> None:
     """Names for the two tables; a filter on the folder column prunes the other.
 
     The folder column reads back as text, since Spark takes no flags from paths.
+    Before the first notice there are no files to learn columns from, and the
+    names stand for empty tables.
     """
+    if not exists(spark, path) or read_silver(spark, path, file_format).isEmpty():
+        kinds = spark.createDataFrame([], SILVER).select(*SILVER_COLUMNS).dtypes
+        nothing = ", ".join(f"CAST(NULL AS {kind}) AS `{name}`" for name, kind in kinds)
+        for name in ("notices_cleaned", "notices_quarantine"):
+            spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name} AS SELECT {nothing} WHERE false")
+        return
     columns = ", ".join(
         f"CAST({c} AS BOOLEAN) AS {c}" if c == "is_parsed" else f"`{c}`" for c in SILVER_COLUMNS
     )

@@ -2,32 +2,50 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
-
-_local_dirs: dict[str, str] = {}
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only a local master may fall back to a folder of its own machine.
+    Where it names none, that of the tables, which all executors reach as well.
     """
-    configured = spark.conf.get(SHARED_DIR, None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {SHARED_DIR} to a folder all executors share")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="flarebook-")
-    return _local_dirs[context.applicationId]
-
-
-def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A path nothing else writes to."""
-    return f"{shared_dir(spark)}/flarebook/{purpose}-{uuid.uuid4().hex}"
+    return (spark.conf.get(SHARED_DIR, None) or spark.conf.get(WAREHOUSE_DIR)).rstrip("/")
+
+
+def new_folder(spark: SparkSession, purpose: str, root: str | None = None) -> str:
+    """A path nothing else writes to, below ``root`` or the shared folder."""
+    return f"{root or shared_dir(spark)}/flarebook/{purpose}-{uuid.uuid4().hex}"
+
+
+def _files(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _files(spark, path)
+    return files.exists(place)
+
+
+def changed_at(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed."""
+    files, place = _files(spark, path)
+    return files.getFileStatus(place).getModificationTime()
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder, in order."""
+    files, place = _files(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _files(spark, path)
+    files.delete(place, True)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flarebook.functions.geometry import angular_separation
+from flarebook.functions.keys import revision_order
 from flarebook.operators import gold, quality
 from flarebook.operators.silver import cleaned, parse_notices
 from flarebook.plans import reports
@@ -65,6 +66,34 @@ def test_one_latest_revision_per_trigger(spark):
     assert flags == {"1-1": False, "1-10": True, "1-9": False, "1": False, "2": True}
 
 
+def test_long_record_numbers_stay_apart_and_in_order(spark):
+    numbers = ["3000000001", "3000000002", "12345678901234567890123456789012345678901", "-3", "-20", "-0", "+0007", "9"]
+    clean = silver(spark, *[revision(1, n) for n in numbers], revision(1, None))
+    fact = {r.notice_key: r for r in gold.fact_notices(clean).collect()}
+    assert set(fact) == {
+        "1", "1-3000000001", "1-3000000002", "1-12345678901234567890123456789012345678901", "1--3", "1--20", "1-0",
+        "1-7", "1-9",
+    }
+    assert [k for k, r in fact.items() if r.is_latest_revision] == ["1-12345678901234567890123456789012345678901"]
+    assert fact["1-3000000001"].record_num is None and fact["1-7"].record_num == 7
+    order = revision_order(F.col("notice_key"), F.col("trigger_num"))
+    ordered = clean.select("notice_key", F.struct(*order).alias("place")).orderBy("place").collect()
+    assert [r.notice_key for r in ordered] == [
+        "1", "1--20", "1--3", "1-0", "1-7", "1-9", "1-3000000001", "1-3000000002",
+        "1-12345678901234567890123456789012345678901",
+    ]
+
+
+def test_known_sky_context_wins_over_an_unknown_one(spark):
+    def at(minute, *lines):
+        return revision(1, minute, "GRB_RA: 5d", *lines, f"NOTICE_DATE: Tue 05 Mar 24 10:{minute}:00 UT", "GRB_ERROR: 1")
+
+    clean = silver(spark, at(10), at(20, "MOON_DIST: 90"))
+    spatial, sun_moon = gold.spatial_dimension(clean), gold.sun_moon_dimension(clean)
+    found = reports.followup_candidates(gold.fact_notices(clean), spatial, sun_moon).collect()
+    assert [r.moon_dist_deg for r in found] == [90.0]
+
+
 def test_newest_copy_of_a_revision_wins(spark):
     texts = [revision(1, 1, f"COMMENTS: {n}") for n in range(3)]
     fact = gold.fact_notices(silver(spark, *texts, at=[5, 9, 7]))

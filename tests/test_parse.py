@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ def test_full_notice(spark):
         "title": "ALERT NOTICE",
         "notice_type": "Final Position",
         "e_range": "50-300 [keV]",
-        "loc_algorithm": "3 (version number of)",
+        "loc_algorithm": "3 (the third scheme)",
         "lc_url": "http://data.example.org/lc.gif",
         "loc_url": "http://data.example.org:80/a:b.png",
         "comments": "First remark. Second remark goes on.",
@@ -258,3 +259,59 @@ def test_extractors_are_plain_columns(spark):
     frame = spark.createDataFrame([("3.5 x",), (None,)], "v string")
     assert [r[0] for r in frame.select(x.leading_number(F.col("v"))).collect()] == [3.5, None]
     assert [r[0] for r in frame.select(t.one_line(F.col("v"))).collect()] == ["3.5 x", None]
+
+
+def _seconds(spark, text):
+    frame = bronze_frame(spark, [text])
+    best = 1e9
+    for _ in range(3):
+        start = time.perf_counter()
+        parse_notices(frame).collect()
+        best = min(best, time.perf_counter() - start)
+    return best
+
+
+LONG_RUNS = {
+    "wrapped title": "TITLE: a{blanks}\n  b{blanks}\n{blanks}c",
+    "blanks before text": "GRB_ERROR: {blanks}x\nRECORD_NUM: {blanks}x\nSUN_DIST:{blanks}x",
+    "digits": "GRB_RA: {digits}\nGAL_COORDS: {digits} {digits}\nGRB_DATE: {digits}\nGRB_TIME: {digits}\nSUN_POSTN: {digits}",
+    "blanks after numbers": "GRB_DEC: 1{blanks}x\nECL_COORDS: 1{blanks};\nGRB_DATE: 5{blanks}x\nGRB_TIME: 5{blanks}x",
+    "many numbers": "MOON_POSTN: {numbers}\nGRB_RA: {numbers}\nGAL_COORDS: {numbers}",
+    "date": "NOTICE_DATE: Wed{blanks}13{blanks}Aug",
+    "names": "COMMENTS: {letters}\n{letters}\n{letters}",
+}
+
+
+@pytest.mark.parametrize("kind", sorted(LONG_RUNS))
+def test_time_grows_in_line_with_length(spark, kind):
+    def text(n):
+        parts = {"blanks": " \t" * (n // 2), "digits": "7" * n, "numbers": "1.5 " * (n // 4), "letters": "A" * n}
+        return notice(*LONG_RUNS[kind].format(**parts).split("\n"))
+
+    _seconds(spark, text(1000))
+    short, long = _seconds(spark, text(32_000)), _seconds(spark, text(128_000))
+    assert short < 3 and long < 1 + 8 * short, (short, long)
+
+
+def test_patterns_find_the_first_number_as_before(spark):
+    def found(values, column):
+        frame = spark.createDataFrame([(v,) for v in values], "v string")
+        return [r[0] for r in frame.select(column(F.col("v"))).collect()]
+
+    assert found(["5-3d", "1.5.7d", "12d", "x+4 d", "1,2d", "12dx 8d", "1.d 2d"], x.first_degrees) == [
+        -3.0, 5.7, 12.0, 4.0, 2.0, 8.0, 2.0,
+    ]
+    assert found(["1.5.6 TJD", "-7 TJD", "12.9TJD"], x.day_number) == [5, -7, 12]
+    pair = [found(["a 1 , -2", "3.5,4", "1 2"], lambda v, i=i: x.pair_member(x.coordinate_pair(v), i)) for i in (0, 1)]
+    assert pair == [[1.0, 3.5, None], [-2.0, 4.0, None]]
+    assert found(["+007", "-0", " \t-12x", "x", "", "99999999999999999999"], x.leading_digits) == [
+        "7", "0", "-12", None, None, "99999999999999999999",
+    ]
+
+
+@pytest.mark.parametrize(
+    "value", ["2025/aug/13/04:12:33", "25/aug/13/04:12:33 UT", "13/aug/2025/1:2:3", "a/b/c/d", "Wed 13 Aug 25 25:00:00 UT"]
+)
+def test_dates_of_another_form_are_not_read(spark, value):
+    row = parse_notices(bronze_frame(spark, [notice(f"NOTICE_DATE: {value}")])).collect()[0]
+    assert row.notice_time is None and row.is_parsed

@@ -8,10 +8,12 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from flarebook import pipeline, session, workspace
+from flarebook import pipeline, workspace
 from flarebook.operators.bronze import to_bronze
 from flarebook.operators.silver import cleaned, parse_notices
-from flarebook.operators.upsert import build_gold, create_schemas, merge_statement, upsert
+from flarebook.operators import upsert as gold_upsert
+from flarebook.operators.gold import GOLD_TABLES
+from flarebook.operators.upsert import build_gold, create_schemas, table_location, upsert
 from flarebook.schemas import BRONZE, ENVELOPE
 from flarebook.sources.records import FeedConfig, documents, replay_batch, replay_stream
 from flarebook.sources.sample import write_replay
@@ -52,6 +54,7 @@ def test_feed_options():
     }
     backlog = FeedConfig("h", "t", starting_offsets="latest", max_offsets_per_trigger=None).options()
     assert backlog["startingOffsets"] == "latest" and "maxOffsetsPerTrigger" not in backlog
+    assert FeedConfig("h", "t", fail_on_data_loss=True).options()["failOnDataLoss"] == "true"
 
 
 def test_bronze_shape(spark, replay):
@@ -116,10 +119,23 @@ def test_documents_are_one_notice_each(spark, tmp_path):
 
 
 def test_upsert_creates_updates_and_inserts(spark, schema):
-    table = f"{schema}.t"
-    upsert(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), table, "k")
-    upsert(spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int"), table, "k")
-    assert sorted(map(tuple, spark.read.table(table).collect())) == [("a", 1), ("b", 3), ("c", 4)]
+    table, place = f"{schema}.t", folder(spark)
+    upsert(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), table, "k", place)
+    for _ in range(3):
+        upsert(spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int"), table, "k", place)
+        assert sorted(map(tuple, spark.read.table(table).collect())) == [("a", 1), ("b", 3), ("c", 4)]
+    # The current version and the one before it, and nothing that was staged.
+    assert workspace.children(spark, place) == ["version-0000000003", "version-0000000004"]
+
+
+def test_failed_update_leaves_the_table_and_no_files(spark, schema, monkeypatch):
+    table, place = f"{schema}.t", folder(spark)
+    upsert(spark.createDataFrame([("a", 1)], "k string, v int"), table, "k", place)
+    monkeypatch.setattr(gold_upsert, "merged", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        upsert(spark.createDataFrame([("b", 3)], "k string, v int"), table, "k", place)
+    assert [tuple(r) for r in spark.read.table(table).collect()] == [("a", 1)]
+    assert workspace.children(spark, place) == ["version-0000000001"]
 
 
 def test_gold_rerun_changes_nothing_and_new_revision_moves_the_flag(spark, schema):
@@ -129,31 +145,55 @@ def test_gold_rerun_changes_nothing_and_new_revision_moves_the_flag(spark, schem
     def facts():
         return sorted((r.notice_key, r.is_latest_revision) for r in spark.read.table(f"{schema}.fact_notices").collect())
 
-    old = [notice("RECORD_NUM: 1"), notice("RECORD_NUM: 2")]
+    old, place = [notice("RECORD_NUM: 1"), notice("RECORD_NUM: 2")], folder(spark)
     for _ in range(2):
-        build_gold(silver(*old), schema)
+        build_gold(silver(*old), schema, place)
         assert facts() == [("1-1", False), ("1-2", True)]
-    build_gold(silver(*old, notice("RECORD_NUM: 3")), schema)
+    build_gold(silver(*old, notice("RECORD_NUM: 3")), schema, place)
     assert facts() == [("1-1", False), ("1-2", False), ("1-3", True)]
     # What vanished from Silver stays in Gold.
-    build_gold(silver(notice("RECORD_NUM: 9", trigger="7")), schema)
+    build_gold(silver(notice("RECORD_NUM: 9", trigger="7")), schema, place)
     assert ("1-3", True) in facts() and ("7-9", True) in facts()
 
 
+def test_new_notices_only_touch_their_groups(spark, schema):
+    def silver(*payloads):
+        return cleaned(parse_notices(bronze_frame(spark, payloads)))
+
+    def facts():
+        return {r.notice_key: (r.is_latest_revision, r.comments) for r in spark.read.table(f"{schema}.fact_notices").collect()}
+
+    place = folder(spark)
+    old = [notice("RECORD_NUM: 1"), notice("RECORD_NUM: 2"), notice("RECORD_NUM: 5", "COMMENTS: old", trigger="8")]
+    build_gold(silver(*old), schema, place)
+    late = notice("RECORD_NUM: 3000000000", "COMMENTS: late")
+    # Trigger 8 reads differently now, but none of its notices is new.
+    every = [*old[:2], notice("RECORD_NUM: 5", "COMMENTS: other", trigger="8"), late]
+    for _ in range(2):
+        build_gold(silver(*every), schema, place, changed=silver(late))
+        assert facts() == {
+            "1-1": (False, None), "1-2": (False, None), "1-3000000000": (True, "late"), "8-5": (True, "old")
+        }
+
+
 def test_pipeline_over_named_tables(spark, replay):
     tag = uuid.uuid4().hex
     layout = pipeline.Layout(folder(spark), bronze=f"b_{tag}", silver=f"s_{tag}", gold=f"g_{tag}")
     assert pipeline.Layout("r", catalog="c").table("gold", "t") == "c.gold.t"
     layout.create(spark)
     facts = []
-    for _ in range(2):
+    for _ in range(3):
         pipeline.ingest(spark, replay_stream(spark, replay), layout)
         pipeline.parse(spark, layout)
         pipeline.model(spark, layout)
         assert spark.read.table(layout.table("bronze", "notices_raw")).count() == 1000
         facts.append(sorted(r.notice_key for r in spark.read.table(layout.table("gold", "fact_notices")).collect()))
     clean = spark.read.table(layout.table("silver", "notices_cleaned"))
-    assert facts[0] == facts[1] == sorted(r.notice_key for r in clean.select("notice_key").distinct().collect())
+    for name, _, _ in GOLD_TABLES:
+        assert f"{layout.root}/gold/{name}/version-" in table_location(spark, layout.table("gold", name))
+        # One full build, one catch-up with the stream; the third run has nothing to do.
+        assert workspace.children(spark, layout.path("gold", name)) == ["version-0000000001", "version-0000000002"]
+    assert facts[0] == facts[1] == facts[2] == sorted(r.notice_key for r in clean.select("notice_key").distinct().collect())
     rows = clean.count()
     for _ in range(2):
         pipeline.parse(spark, replace(layout, parser_version="2"))
@@ -164,37 +204,46 @@ def test_pipeline_over_named_tables(spark, replay):
         spark.sql(f"DROP SCHEMA {layout.schema(layer)} CASCADE")
 
 
-def test_shuffles_grow_with_the_folder(spark, replay, monkeypatch):
-    before = spark.conf.get(session.INITIAL_PARTITIONS, None)
-    session.fit_shuffles(spark, replay)
-    assert spark.conf.get(session.INITIAL_PARTITIONS, None) == before
-    monkeypatch.setattr(session, "BYTES_PER_PARTITION", 1000)
-    session.fit_shuffles(spark, replay)
-    assert int(spark.conf.get(session.INITIAL_PARTITIONS)) > 8
-    spark.conf.unset(session.INITIAL_PARTITIONS)
+@pytest.mark.parametrize("payloads", [[], [STRAY]])
+def test_pipeline_without_notices(spark, payloads):
+    tag, source = uuid.uuid4().hex, folder(spark)
+    layout = pipeline.Layout(folder(spark), bronze=f"b_{tag}", silver=f"s_{tag}", gold=f"g_{tag}")
+    layout.create(spark)
+
+    def run(texts):
+        rows = [(None, text.encode(), "t", 0, i, None, 0) for i, text in enumerate(texts)]
+        spark.createDataFrame(rows, ENVELOPE).write.mode("append").parquet(source)
+        pipeline.ingest(spark, replay_stream(spark, source), layout)
+        pipeline.parse(spark, layout)
+        pipeline.model(spark, layout)
+        count = lambda layer, name: spark.read.table(layout.table(layer, name)).count()
+        return count("silver", "notices_cleaned"), count("silver", "notices_quarantine"), count("gold", "fact_notices")
+
+    assert run(payloads) == (0, len(payloads), 0)
+    assert run([FULL]) == (1, len(payloads), 1)
+    for layer in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP SCHEMA {layout.schema(layer)} CASCADE")
 
 
-def test_merge_statement():
-    assert merge_statement("t", "s", "k", ["k", "v"]) == (
-        "MERGE INTO t AS t USING s AS s ON t.k = s.k"
-        " WHEN MATCHED THEN UPDATE SET t.k = s.k, t.v = s.v WHEN NOT MATCHED THEN INSERT *"
-    )
+def test_replay_from_the_latest_records(spark, replay):
+    path, middle = folder(spark), "2024-01-16 00:00:00"
+    jobs.ingest_bronze(replay_stream(spark, replay, since=middle), folder(spark), path)
+    rows = jobs.read_bronze(spark, path)
+    late = replay_batch(spark, replay).where(F.col("timestamp") >= F.lit(middle).cast("timestamp"))
+    assert 0 < rows.count() == late.count() < 1000
 
 
 class _Session:
     """Just enough of a session to see which folder is chosen."""
 
-    def __init__(self, master, configured=None):
-        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
-        self.sparkContext = type("Context", (), {"master": master, "applicationId": uuid.uuid4().hex})
+    def __init__(self, **conf):
+        self.conf = {"spark.sql.warehouse.dir": "hdfs://tables", **conf}
 
 
 def test_shared_folder_is_the_configured_one():
-    assert workspace.shared_dir(_Session("spark://host", "hdfs://x/y/")) == "hdfs://x/y"
-    local = _Session("local[2]")
-    assert workspace.shared_dir(local) == workspace.shared_dir(local)
-    with pytest.raises(ValueError):
-        workspace.shared_dir(_Session("yarn"))
+    assert workspace.shared_dir(_Session(**{"spark.checkpoint.dir": "hdfs://x/y/"})) == "hdfs://x/y"
+    assert workspace.shared_dir(_Session()) == "hdfs://tables"
+    assert workspace.new_folder(_Session(), "a", "hdfs://given").startswith("hdfs://given/flarebook/a-")
 
 
 def test_session_settings(spark):
