@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from flarebook.llm.tables import utf8, word_chunks
 
 END_OF_TEXT = 1
-KNOWN_PIECES = 600_000
+KNOWN_PIECES = 350_000
 
 # How the tokenizer splits normalized text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -36,13 +36,15 @@ class WordTokens(dict):
     For tokenizers whose tokens never span a blank, so that the ids of a text
     are those of its words. Where the tokenizer splits words by ``SPLIT`` after
     making them lower case, and a word has plain characters only, its pieces
-    are looked up; otherwise whole words are. It forgets all when ``most``
-    pieces are known; that bounds memory and changes no result.
+    are looked up; otherwise whole words are. When more than ``most`` pieces
+    are known, only those that are met again before that many new ones stay;
+    that bounds memory and changes no result.
     """
 
     def __init__(self, tokenizer, most: int = KNOWN_PIECES):
         super().__init__()
         self.tokenizer, self.most = tokenizer, most
+        self.older: dict[str, bytes] = {}
         shape = json.loads(tokenizer.to_str())
         steps = (shape["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         normal = [step["type"] for step in (shape["normalizer"] or {}).get("normalizers", [])]
@@ -64,27 +66,24 @@ class WordTokens(dict):
         return self._join(pieces)
 
     def _join(self, pieces: list[str]) -> bytes:
-        try:
-            return b"".join(map(self.__getitem__, pieces))
-        except KeyError:
-            pass
-        wanted = set(pieces)
-        new = [p for p in wanted if p not in self]
-        if len(self) + len(new) > self.most:
+        if len(self) > self.most:
+            self.older = dict(self)
             self.clear()
-            new = list(wanted)
-        merges = self.tokenizer.model
-        rest = []
-        for piece in new:
-            if self.splits and piece.isascii() and piece.isprintable() and PIECE.fullmatch(piece):
-                ids = [token.id for token in merges.tokenize(piece)]
-                self[piece] = struct.pack(f"<{len(ids)}I", *ids)
-            else:
-                rest.append(piece)
-        for piece, encoded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self[piece] = struct.pack(f"<{len(encoded.ids)}I", *encoded.ids)
         return b"".join(map(self.__getitem__, pieces))
 
+    def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece) or self._encoded(piece)
+        self[piece] = found
+        return found
+
+    def _encoded(self, piece: str) -> bytes:
+        if self.splits and piece.isascii() and piece.isprintable() and PIECE.fullmatch(piece):
+            # One word without special characters: only the merges are left to do.
+            ids = [token.id for token in self.tokenizer.model.tokenize(piece)]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
 
 @cache
 def _words(path: str) -> WordTokens:
