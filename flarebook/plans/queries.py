@@ -17,6 +17,7 @@ from flarebook.functions.geometry import angular_separation
 from flarebook.functions.keys import surrogate_key
 from flarebook.operators import gold, quality
 from flarebook.operators.arrow_cut import with_arrow_entries
+from flarebook.operators.arrow_parse import parse_in_python
 from flarebook.operators.silver import parse_notices
 from flarebook.operators.upsert import build_gold, create_schemas, table_location
 from flarebook.plans import reports
@@ -161,6 +162,11 @@ def parse_udf_equals_native(layers: Layers) -> DataFrame:
     )
 
 
+def parse_python_equals_native(layers: Layers) -> DataFrame:
+    bronze = layers.bronze().drop("ingested_at").withColumn("ingested_at", F.col("kafka_timestamp"))
+    return quality.differences(parse_in_python(bronze), parse_notices(bronze), ["topic", "partition"])
+
+
 def replay_dedupe(layers: Layers) -> DataFrame:
     """All notices delivered a second time leave the fact as it was."""
     silver = layers.cleaned()
@@ -277,6 +283,7 @@ def queries() -> dict[str, Query]:
         "stream_rerun_noop": stream_rerun_noop,
         "rebuild_equals_stream": rebuild_equals_stream,
         "parse_udf_equals_native": parse_udf_equals_native,
+        "parse_python_equals_native": parse_python_equals_native,
         "gold_upsert_first": gold_upsert_first,
         "gold_upsert": gold_upsert,
         "gold_upsert_tables": gold_upsert_tables,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from flarebook.functions import extract as x
 from flarebook.functions import notice_text as t
 from flarebook.operators.arrow_cut import with_arrow_entries
+from flarebook.operators.arrow_parse import parse_in_python
 from flarebook.operators.quality import differences
 from flarebook.operators.silver import parse_notices
 from flarebook.schemas import NOTICE_TYPES, SILVER
@@ -248,6 +249,15 @@ def test_arrow_cut_gives_the_same(spark):
     assert result.collect()[0].unmatched_rows == 0
 
 
+def test_python_parse_gives_the_same(spark):
+    odd = [notice(*LONG_RUNS[k].format(blanks=" ", digits="7" * 40, numbers="1.5 ", letters="A").split("\n")) for k in LONG_RUNS]
+    dates = [notice(f"NOTICE_DATE: {v}") for v in ("Wed 30 Feb 24 01:02:03 UT", "2025/aug/13/04:12:33", "Mon 1 Jan 0000 00:00:00")]
+    numbers = [notice(f"RECORD_NUM: {v}") for v in ("3000000001", "+007", "-0", "9" * 60)] + [notice(trigger="9" * 30)]
+    bronze = bronze_frame(spark, [FULL, STRAY, None, *odd, *dates, *numbers, *[notice(*lines) for lines, _ in TEXT_CASES]])
+    result = differences(parse_in_python(bronze), parse_notices(bronze), ["topic"])
+    assert result.collect()[0].unmatched_rows == 0
+
+
 def test_only_named_columns_are_built(spark):
     frame = parse_notices(bronze_frame(spark, [FULL]), ("is_parsed", "ra_deg"))
     assert frame.columns[:2] == ["is_parsed", "ra_deg"]
