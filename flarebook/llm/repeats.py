@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -252,14 +252,21 @@ def repeated_anchors(texts: DataFrame, length: int, folder: str) -> DataFrame:
     found = texts.select("doc_id", "key", "text").mapInArrow(
         find, "doc_id long, key long, anchor long, least long, most long, piece long, context long"
     )
-    same = Window.partitionBy("piece", "context")
-    around = Window.partitionBy("piece")
-    first = F.row_number().over(same.orderBy("doc_id", "key", "anchor")) == 1
-    judged = (
-        found.withColumn("first", first)
-        .withColumn("whole", F.count(F.lit(1)).over(same) > 1)
-        .withColumn("wanted", (F.min("context").over(around) < F.max("context").over(around)) & F.col("first"))
-        .filter(F.col("whole") | F.col("wanted"))
+    # Counted where they are found, so that copies are few rows in the shuffle.
+    contexts = found.groupBy("piece", "context").agg(
+        F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "key", "anchor", "least", "most")).alias("first")
+    )
+    pieces = contexts.groupBy("piece").agg(F.sum("times").alias("all_times"), F.count(F.lit(1)).alias("contexts"))
+    repeating = contexts.join(pieces.filter("all_times > 1"), "piece").select(
+        "piece", "context", "first", (F.col("times") > 1).alias("whole"), (F.col("contexts") > 1).alias("wanted")
+    )
+    # What occurs once is its own first; only copies are looked for again. A
+    # context that very many copies have is a key that the join can split.
+    alone = repeating.filter("not whole").select("first.*", "whole", "wanted")
+    copies = found.join(repeating.filter("whole"), ["piece", "context"])
+    is_first = F.struct("doc_id", "key", "anchor", "least", "most").eqNullSafe(F.col("first"))
+    judged = alone.unionByName(
+        copies.select("doc_id", "key", "anchor", "least", "most", "whole", (F.col("wanted") & is_first).alias("wanted"))
     )
     judged.select("doc_id", "key", "anchor", "least", "most", "whole", "wanted").write.parquet(folder)
     return texts.sparkSession.read.parquet(folder)
