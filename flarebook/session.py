@@ -12,9 +12,6 @@ SESSION_ZONE = "UTC"
 def configure_session(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", SESSION_ZONE)
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
-    # The JVM only compiles methods up to this size. A wide parse in one fused
-    # stage exceeds it and would be interpreted; unfused, Spark splits the code.
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     # Skewed joins (many notices with the same position) are split at run time.
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
