@@ -53,10 +53,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the bytes of passages that occur anywhere else."""
+    """All documents, without the characters that have a byte of a passage that occurs anywhere else."""
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     names = unused(docs, "bytes", "spans", "kept")
-    rest = repeats.remove_repeats(docs, carried=tuple(others)).toDF("doc_id", *names, *others)
+    rest = repeats.remove_repeats(docs, carried=tuple(others), whole_characters=True)
+    rest = rest.toDF("doc_id", *names, *others)
     rest = rest.withColumn("text", repeats.as_text(F.col(names[2])))
     return rest.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 

@@ -340,7 +340,24 @@ def merged(runs: DataFrame, length: int) -> DataFrame:
     return runs.groupBy("part").applyInArrow(merge, "doc_id long, key long, start long, end long")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ...] = ()) -> DataFrame:
+def around_cut(text: memoryview, cut: int) -> tuple[int, int]:
+    """Start and end of the character that a cut falls into; the cut itself if it falls between two."""
+    first = max(cut - 3, 0)
+    near = bytes(text[first : cut + 3])
+    for start in range(cut - first - 1, -1, -1):
+        if near[start] >= 0xC0:
+            end = start + 2 + (near[start] >= 0xE0) + (near[start] >= 0xF0)
+            rest = near[cut - first : end]
+            inside = cut - first < end <= len(near) and all(b & 0xC0 == 0x80 for b in rest)
+            return (first + start, first + end) if inside else (cut, cut)
+        if near[start] < 0x80:
+            break
+    return cut, cut
+
+
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, carried: tuple[str, ...] = (), whole_characters: bool = False
+) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``spans`` and ``kept`` of each row, and the ``carried`` columns unchanged.
 
     Reads ``doc_id`` and ``text``, a whole text as UTF-8 bytes; a null text is
@@ -349,7 +366,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ..
     repeated string go. ``spans`` are the maximal runs removed, struct(start,
     end) in bytes of the text; ``kept`` is the rest as binary. Strings never
     cross documents. A text shorter than ``length`` is kept, also where whole
-    rows repeat; longer rows that repeat go as a whole.
+    rows repeat; longer rows that repeat go as a whole. With
+    ``whole_characters`` spans also take the characters that they begin or end
+    within, so the rest of a text has only characters of it.
     """
     if not PIECE < length <= 30_000:
         raise ValueError("the length must lie between the piece's and 30,000")
@@ -379,6 +398,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ..
             known = zip(batch.column("doc_id").to_pylist(), batch.column("spans").to_pylist())
             for text, (doc, given) in zip(utf8(batch.column("text")), known):
                 gone = joined([(s["start"], s["end"]) for s in given or [] if s["doc_id"] == doc])
+                if whole_characters:
+                    gone = joined([(around_cut(text, start)[0], around_cut(text, end)[1]) for start, end in gone])
                 edges = [0, *(edge for span in gone for edge in span), len(text)]
                 sizes.append(len(text))
                 spans.append([{"start": start, "end": end} for start, end in gone])
@@ -398,9 +419,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ..
 
 
 def as_text(kept: Column) -> Column:
-    """The rest as text. A cut may fall into a character; what is left of one goes.
-
-    Lone parts of characters become replacement characters where they are made
-    valid; those that the text had before stand for the same loss and go too.
-    """
-    return F.replace(F.make_valid_utf8(kept.cast("string")), F.lit("\ufffd"), F.lit(""))
+    """The rest as text. Bytes that are no whole character go; valid text, also its replacement characters, stays."""
+    # Marked while bytes are made valid, as that brings replacement characters in.
+    marked = F.replace(F.replace(kept.cast("string"), F.lit("\x01"), F.lit("\x01a")), F.lit("\ufffd"), F.lit("\x01b"))
+    valid = F.replace(F.make_valid_utf8(marked), F.lit("\ufffd"), F.lit(""))
+    return F.replace(F.replace(valid, F.lit("\x01b"), F.lit("\ufffd")), F.lit("\x01a"), F.lit("\x01"))

@@ -93,3 +93,17 @@ def test_run_applies_all_stages(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     no_documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_replacement_characters_stay_and_cuts_leave_whole_characters(spark):
+    shared = "".join(f"shared {i} \ufffd " for i in range(30))
+    rows = [
+        (1, "x\ufffd\x01ab \x01 é" + shared + "è \ufffd end", "en", "a"),  # the cuts leave C3 and A8, together è
+        (2, "y ũ" + shared + "é rest", "en", "a"),
+        (3, "clean \ufffd text \ufffd\x01b", "en", "b"),
+        (4, None, "en", "b"),
+    ]
+    got = corpus_pipeline.drop_repeats(spark, documents(spark, rows), "").collect()
+    assert {r.doc_id: (r.text, r.n_chars) for r in got} == {
+        1: ("x\ufffd\x01ab \x01  \ufffd end", 14), 2: ("y  rest", 7), 3: ("clean \ufffd text \ufffd\x01b", 16), 4: ("", 0),
+    }
