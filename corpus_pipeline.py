@@ -1,6 +1,6 @@
 """From documents to packed training sequences, each stage a job of its own.
 
-The stages reject what has no language, keep one of each group of near
+The stages reject what has no letter, keep one of each group of near
 duplicates, take out repeated passages, mix the sources to their targets and
 pack the tokens. A stage's result is written as Parquet and is the next
 stage's table; all but the last keep the columns of documents, in any order
@@ -31,8 +31,16 @@ def unused(docs: DataFrame, *names: str) -> list[str]:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language; those without letters go. Learns from the table's own labels."""
-    labelled = language.predict(docs, language.train(docs), tuple(docs.columns))
+    """Documents whose text has a letter; null texts and those without one go. Learns from the table's own labels.
+
+    A text with a letter gets one of the learned languages and stays, whichever
+    it is and however sure the network is. Without any learned language there
+    is none to give, and the letters decide in the same way.
+    """
+    network = language.train(docs)
+    if not network.languages:
+        return language.with_letters(docs)
+    labelled = language.predict(docs, network, tuple(docs.columns))
     names = unused(docs, "id", "held_out", "language", "score")
     return labelled.toDF(*names, *docs.columns).filter(F.col(names[2]) != language.UNKNOWN).select(*docs.columns)
 
@@ -84,7 +92,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack_sequences),
 ]
 
-#: A trained network decides in the first stage, which SQL cannot express.
+#: A tokenizer makes the ids of the last stage, which SQL cannot express.
 ORACLE_SQL: str | None = None
 
 

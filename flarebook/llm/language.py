@@ -314,6 +314,17 @@ def train(
     return fit(words, labels, steps=steps)
 
 
+def with_letters(docs: DataFrame) -> DataFrame:
+    """Rows whose text has a letter, by the rule that ``predict`` has for ``und``. All columns stay."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = (bytes(text).decode("utf-8", "replace") for text in utf8(batch.column("text")))
+            yield batch.filter(pa.array([any(map(str.isalpha, text)) for text in texts], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def predict(docs: DataFrame, network: Network, carried: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred``, ``score`` of every whole text.
 

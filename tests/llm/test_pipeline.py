@@ -7,8 +7,11 @@ import struct
 
 import corpus_pipeline
 import public_tokenizers
+import pytest
+from flarebook.llm.language import held_out
 from flarebook.llm.tables import scratch
 from fixtures import LONG_TEXT, PASSAGE, ROWS, documents, no_documents
+from pyspark.sql import functions as F
 from test_native import by_hand, words
 from test_near_dup import brute_force as components
 from test_repeats import brute_force as rest_of
@@ -107,3 +110,12 @@ def test_replacement_characters_stay_and_cuts_leave_whole_characters(spark):
     assert {r.doc_id: (r.text, r.n_chars) for r in got} == {
         1: ("x\ufffd\x01ab \x01  \ufffd end", 14), 2: ("y  rest", 7), 3: ("clean \ufffd text \ufffd\x01b", 16), 4: ("", 0),
     }
+
+
+@pytest.mark.parametrize("labelled", ["none", "held out"])
+def test_documents_with_letters_stay_without_a_learned_language(spark, labelled):
+    docs = documents(spark, ROWS)
+    docs = docs.withColumn("lang", F.when(held_out() if labelled == "held out" else F.lit(False), F.col("lang")))
+    langs = corpus_pipeline.identify_language(spark, docs, "")
+    wanted = [(r.doc_id, r.text, r.lang, r.source) for r in docs.collect() if r.text and any(map(str.isalpha, r.text))]
+    assert langs.columns == docs.columns and content(langs) == sorted(wanted, key=str) and len(wanted) > 10
