@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -35,6 +36,9 @@ LENGTH = 200
 PIECE = 32
 CHUNK = 1 << 20  # strings looked at together
 RUN_BYTES = 24_000_000  # of suffixes that a task sorts at once
+ROWS_AT_ONCE = 200_000  # anchors or strings that a task sends on together
+HOT = 2000  # contexts around a piece that one merge holds
+SALTS = 256  # ways that the rows of one string around a hot piece are dealt
 BYTES = np.arange(1, 257, dtype=np.uint64)
 
 
@@ -47,14 +51,8 @@ def smallest_ahead(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:count], forward[width - 1 : width - 1 + count])
 
 
-def anchors(text: memoryview, length: int = LENGTH, piece: int = PIECE) -> tuple[np.ndarray, ...]:
-    """Anchors of all strings of ``length``: place, least and most bytes before it, hash of the piece, of the context.
-
-    An anchor serves the strings that begin ``least`` to ``most`` bytes before
-    it; its context is all their bytes. A text is looked at in chunks; the
-    strings around a cut may meet one anchor in two rows.
-    """
-    found: list[tuple[np.ndarray, ...]] = []
+def chunks_of_anchors(text: memoryview, length: int, piece: int = PIECE) -> Iterator[tuple[np.ndarray, ...]]:
+    """``anchors`` of each chunk of a text, in order of their places."""
     strings = len(text) - length + 1
     for start in range(0, max(strings, 0), CHUNK):
         count = min(CHUNK, strings - start)
@@ -71,12 +69,44 @@ def anchors(text: memoryview, length: int = LENGTH, piece: int = PIECE) -> tuple
         around = (sums[lasts + length] - sums[firsts]) * Powers.down[firsts]
         most, least = place - firsts, place - lasts
         context = mixed(around ^ (most * 65536 + least).astype(U) * U(0x9E3779B97F4A7C15))
-        found.append((place + start, least, most, pieces[place].view(np.int64), context.view(np.int64)))
+        yield place + start, least, most, pieces[place].view(np.int64), context.view(np.int64)
+
+
+def anchors(text: memoryview, length: int = LENGTH, piece: int = PIECE) -> tuple[np.ndarray, ...]:
+    """Anchors of all strings of ``length``: place, least and most bytes before it, hash of the piece, of the context.
+
+    An anchor serves the strings that begin ``least`` to ``most`` bytes before
+    it; its context is all their bytes. A text is looked at in chunks; the
+    strings around a cut may meet one anchor in two rows.
+    """
+    found = list(chunks_of_anchors(text, length, piece))
     if not found:
         return tuple(np.zeros(0, np.int64) for _ in range(5))
     return tuple(np.concatenate(column) for column in zip(*found))
 
 
+def touching(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans in order; those that touch are one."""
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], np.maximum.accumulate(ends[order])
+    first = np.flatnonzero(np.concatenate(([True], starts[1:] > ends[:-1]))) if len(starts) else order
+    return starts[first], ends[np.concatenate((first[1:], [len(ends)])) - 1] if len(first) else ends
+
+
+def without_copies(found: tuple[np.ndarray, ...], length: int) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """The first anchor of each context in a chunk, with how often it occurs there; spans of those that occur again."""
+    place, least, most, piece, context = found
+    order = np.lexsort((context, piece))
+    ahead, behind = order[:-1], order[1:]
+    new = np.concatenate(([True], (piece[behind] != piece[ahead]) | (context[behind] != context[ahead])))
+    heads = np.flatnonzero(new)
+    times = np.diff(np.concatenate((heads, [len(order)])))
+    again = order[np.repeat(times > 1, times)]
+    kept = order[heads]
+    rows = (place[kept], least[kept], most[kept], piece[kept], context[kept], times)
+    return rows, touching(place[again] - most[again], place[again] - least[again] + length)
+
+
 def shared_from(a: bytes, b: bytes, start: int) -> int:
     """The length of the common prefix, of which ``start`` bytes are known."""
     end = min(len(a), len(b))
@@ -206,15 +236,35 @@ def repeated(prefixes: list[int], before: list[bytes], length: int) -> list[list
 CONTEXT = "<qqqBhhB"  # document, its key, anchor, whether it has no id, least, most, whole
 
 
-def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Spans in order; those that touch are one."""
-    out: list[list[int]] = []
-    for start, end in sorted(spans):
-        if out and start <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([start, end])
-    return [(start, end) for start, end in out]
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def spans_array(counts: list[int], starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Lists of so many spans each."""
+    offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
+    values = pa.StructArray.from_arrays([pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], names=["start", "end"])
+    return pa.ListArray.from_arrays(offsets, values, type=SPANS)
+
+
+def entries(column: pa.Array) -> Iterator[dict[str, pa.Array]]:
+    """The fields of each row's list of structs, without a Python value for each; null is an empty list."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    values, start = column.flatten(), 0
+    fields = {field.name: pc.struct_field(values, field.name) for field in values.type}
+    for size in sizes.tolist():
+        yield {name: field.slice(start, size) for name, field in fields.items()}
+        start += size
+
+
+def numbers(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False)
+
+
+def of_document(fields: dict[str, pa.Array], doc: int | None) -> dict[str, np.ndarray]:
+    """The entries that name a document, as numbers."""
+    ids = fields["doc_id"]
+    own = numbers(ids.is_null() if doc is None else pc.fill_null(pc.equal(ids, doc), False))
+    return {name: numbers(field)[own] for name, field in fields.items() if name != "doc_id"}
 
 
 def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,38 +283,126 @@ def keyed(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
 
 
 def repeated_anchors(texts: DataFrame, length: int, folder: str) -> DataFrame:
-    """Anchors whose piece occurs twice: ``whole`` if all their context does, ``wanted`` if it must be sorted."""
+    """Anchors whose piece occurs twice: ``whole`` if all their context does, ``wanted`` if it must be looked at.
+
+    ``hot`` ones have a piece with more than ``HOT`` contexts. Of a context that
+    a chunk of a text has more than once only the first anchor is there;
+    ``spans``, on one of them in a chunk, are what all of them cover.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "key", "anchor", "least", "most", "piece", "context"]
         for batch in batches:
             ids, keys = batch.column("doc_id"), batch.column("key")
-            places, columns = [], []
-            for place, text in enumerate(utf8(batch.column("text"))):
-                rows = anchors(text, length)
-                places.append(np.full(len(rows[0]), place))
-                columns.append(rows)
-            if columns:
-                which = pa.array(np.concatenate(places))
-                rest = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*columns)]
-                yield pa.RecordBatch.from_arrays([ids.take(which), keys.take(which), *rest], names=names)
+            held: list[tuple] = []
+            size = 0
+            for row, text in enumerate(utf8(batch.column("text"))):
+                for chunk in chunks_of_anchors(text, length):
+                    held.append((row, *without_copies(chunk, length)))
+                    size += len(held[-1][1][0])
+                    if size >= ROWS_AT_ONCE:
+                        yield out(ids, keys, held)
+                        held, size = [], 0
+            if held:
+                yield out(ids, keys, held)
+
+    def out(ids: pa.Array, keys: pa.Array, held: list[tuple]) -> pa.RecordBatch:
+        which = pa.array(np.repeat([row for row, _, _ in held], [len(rows[0]) for _, rows, _ in held]))
+        columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*[rows for _, rows, _ in held])]
+        counts = []
+        for _, rows, (starts, _) in held:
+            of_chunk = np.zeros(len(rows[0]), np.int64)
+            # On a row that stays: its context occurs again.
+            of_chunk[int(np.argmax(rows[5] > 1))] = len(starts)
+            counts.append(of_chunk)
+        spans = spans_array(np.concatenate(counts), *(np.concatenate(c) for c in zip(*[found for _, _, found in held])))
+        names = ["doc_id", "key", "anchor", "least", "most", "piece", "context", "times", "spans"]
+        return pa.RecordBatch.from_arrays([ids.take(which), keys.take(which), *columns, spans], names=names)
 
     found = texts.select("doc_id", "key", "text").mapInArrow(
-        find, "doc_id long, key long, anchor long, least long, most long, piece long, context long"
+        find,
+        "doc_id long, key long, anchor long, least long, most long, piece long, context long, times long,"
+        " spans array<struct<start: long, end: long>>",
     )
     same = Window.partitionBy("piece", "context")
     around = Window.partitionBy("piece")
     first = F.row_number().over(same.orderBy("doc_id", "key", "anchor")) == 1
     judged = (
         found.withColumn("first", first)
-        .withColumn("whole", F.count(F.lit(1)).over(same) > 1)
+        .withColumn("whole", F.sum("times").over(same) > 1)
         .withColumn("wanted", (F.min("context").over(around) < F.max("context").over(around)) & F.col("first"))
+        .withColumn("hot", F.count_if("first").over(around) > HOT)
         .filter(F.col("whole") | F.col("wanted"))
     )
-    judged.select("doc_id", "key", "anchor", "least", "most", "whole", "wanted").write.parquet(folder)
+    judged.select("doc_id", "key", "anchor", "least", "most", "whole", "wanted", "hot", "spans").write.parquet(folder)
     return texts.sparkSession.read.parquet(folder)
 
 
+def hot_spans(texts: DataFrame, hot: DataFrame, length: int) -> DataFrame:
+    """``doc_id``, ``key``, ``start``, ``end`` of what repeats around hot anchors.
+
+    A hot piece does not go to one merge: each string around it is a key of its
+    own. Strings are counted by a hash of their bytes where they are found, and
+    the rows of one that very many documents have are joined by salt.
+    """
+    spark = texts.sparkSession
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            ids, keys = batch.column("doc_id"), batch.column("key")
+            held: list[tuple] = []
+            size = 0
+            known = zip(ids.to_pylist(), utf8(batch.column("text")), entries(batch.column("items")))
+            for row, (doc, text, fields) in enumerate(known):
+                own = of_document(fields, doc)
+                for at, least, most in zip(*(own[name].tolist() for name in ("anchor", "least", "most"))):
+                    data = np.frombuffer(text[at - most : at - least + length], np.uint8)
+                    Powers.reach(len(data))
+                    sums = np.concatenate(([U(0)], np.cumsum(BYTES[data] * Powers.up[: len(data)])))
+                    found = mixed((sums[length:] - sums[:-length]) * Powers.down[: most - least + 1])
+                    held.append((row, at, np.arange(most, least - 1, -1), found.view(np.int64)))
+                    size += len(found)
+                    if size >= ROWS_AT_ONCE:
+                        yield out(ids, keys, held)
+                        held, size = [], 0
+            if held:
+                yield out(ids, keys, held)
+
+    def out(ids: pa.Array, keys: pa.Array, held: list[tuple]) -> pa.RecordBatch:
+        sizes = [len(found) for *_, found in held]
+        which = pa.array(np.repeat([row for row, *_ in held], sizes))
+        places = pa.array(np.repeat([at for _, at, _, _ in held], sizes), pa.int64())
+        columns = [pa.array(np.concatenate([row[i] for row in held]), pa.int64()) for i in (2, 3)]
+        names = ["doc_id", "key", "anchor", "ahead", "string"]
+        return pa.RecordBatch.from_arrays([ids.take(which), keys.take(which), places, *columns], names=names)
+
+    items = hot.groupBy("key").agg(F.collect_list(F.struct("doc_id", "anchor", "least", "most")).alias("items"))
+    folder = scratch(spark, "strings")
+    with_lists(texts.select("doc_id", "key", "text"), items, "items").mapInArrow(
+        strings, "doc_id long, key long, anchor long, ahead long, string long"
+    ).withColumn("salt", F.pmod("key", F.lit(SALTS)).cast("int")).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    folder = scratch(spark, "counts")
+    (
+        rows.groupBy("ahead", "string")
+        .agg(F.count(F.lit(1)).alias("times"), F.collect_set("salt").alias("salts"))
+        .filter("times > 1")
+        .select("ahead", "string", F.explode("salts").alias("salt"))
+        .write.parquet(folder)
+    )
+    # The strings of one anchor overlap, so those that repeat cover one span.
+    return (
+        rows.join(spark.read.parquet(folder), ["ahead", "string", "salt"])
+        .groupBy("doc_id", "key", "anchor")
+        .agg(F.max("ahead").alias("most"), F.min("ahead").alias("least"))
+        .select("doc_id", "key", *span_of_anchor(length))
+    )
+
+
+def span_of_anchor(length: int) -> list[Column]:
+    start, end = F.col("anchor") - F.col("most"), F.col("anchor") - F.col("least") + length
+    return [start.alias("start"), end.alias("end")]
+
+
 def sorted_runs(texts: DataFrame, wanted: DataFrame, length: int, parts: int) -> DataFrame:
     """``part``, ``run``: the suffixes at wanted anchors, sorted and front-coded by each task."""
 
@@ -273,19 +411,18 @@ def sorted_runs(texts: DataFrame, wanted: DataFrame, length: int, parts: int) ->
         size = 0
         for batch in small(batches):
             known = zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), utf8(batch.column("text")))
-            for (doc, key, text), items in zip(known, batch.column("items").to_pylist()):
-                for item in items:
-                    if item["doc_id"] != doc:
-                        continue
-                    at, least, most = item["anchor"], item["least"], item["most"]
+            for (doc, key, text), fields in zip(known, entries(batch.column("items"))):
+                own = of_document(fields, doc)
+                items = zip(*(own[name].tolist() for name in ("anchor", "least", "most", "whole")))
+                for at, least, most, whole in items:
                     suffix = bytes(text[at : at + length - least])
                     before = bytes(text[at - most : at][::-1])
-                    fixed = struct.pack(CONTEXT, doc or 0, key, at, doc is None, least, most, item["whole"])
+                    fixed = struct.pack(CONTEXT, doc or 0, key, at, doc is None, least, most, whole)
                     held.setdefault(zlib.crc32(suffix[:PIECE]) % parts, []).append((suffix, fixed + before))
                     size += len(suffix) + len(before) + 200
-                if size >= RUN_BYTES:
-                    yield out(held)
-                    held, size = {}, 0
+                    if size >= RUN_BYTES:
+                        yield out(held)
+                        held, size = {}, 0
         if held:
             yield out(held)
 
@@ -377,34 +514,39 @@ def remove_repeats(
     found = repeated_anchors(texts, length, scratch(spark, "anchors"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     moved = texts.repartition(parts, "key")  # once, for both joins
-    resolved = merged(sorted_runs(moved, found.filter("wanted"), length, parts), length)
-    whole = found.filter("whole").select(
-        "doc_id",
-        "key",
-        (F.col("anchor") - F.col("most")).alias("start"),
-        (F.col("anchor") - F.col("least") + length).alias("end"),
-    )
+    resolved = merged(sorted_runs(moved, found.filter("wanted and not hot"), length, parts), length)
+    hot = found.filter("wanted and hot")
+    if not hot.isEmpty():
+        resolved = resolved.unionByName(hot_spans(moved, hot, length))
+    own = F.array(F.struct(*span_of_anchor(length)))
+    whole = found.filter("whole").select("doc_id", "key", F.explode(F.concat(own, "spans")).alias("span"))
     lists = (
-        whole.unionByName(resolved).groupBy("key").agg(F.collect_list(F.struct("doc_id", "start", "end")).alias("spans"))
+        whole.select("doc_id", "key", "span.*").unionByName(resolved).groupBy("key").agg(F.collect_list(F.struct("doc_id", "start", "end")).alias("spans"))
     )
 
     places = [f"carried_{i}" for i in range(len(carried))]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         names = ["doc_id", "n_bytes", "spans", "kept", *places]
         for batch in small(batches):
-            sizes, spans, kept = [], [], []
-            known = zip(batch.column("doc_id").to_pylist(), batch.column("spans").to_pylist())
-            for text, (doc, given) in zip(utf8(batch.column("text")), known):
-                gone = joined([(s["start"], s["end"]) for s in given or [] if s["doc_id"] == doc])
+            sizes, counts, starts, ends, kept = [], [], [], [], []
+            known = zip(batch.column("doc_id").to_pylist(), entries(batch.column("spans")))
+            for text, (doc, fields) in zip(utf8(batch.column("text")), known):
+                own = of_document(fields, doc)
+                gone = touching(own["start"], own["end"])
                 if whole_characters:
-                    gone = joined([(around_cut(text, start)[0], around_cut(text, end)[1]) for start, end in gone])
-                edges = [0, *(edge for span in gone for edge in span), len(text)]
+                    wide = [
+                        [around_cut(text, cut)[side] for cut in cuts.tolist()] for side, cuts in enumerate(gone)
+                    ]
+                    gone = touching(*(np.array(cuts, np.int64) for cuts in wide))
+                edges = [0, *np.stack(gone, axis=1).ravel().tolist(), len(text)]
                 sizes.append(len(text))
-                spans.append([{"start": start, "end": end} for start, end in gone])
+                counts.append(len(gone[0]))
+                starts.append(gone[0])
+                ends.append(gone[1])
                 kept.append(b"".join(bytes(text[a:b]) for a, b in zip(edges[::2], edges[1::2])))
-            made = [pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
+            spans = spans_array(counts, np.concatenate(starts), np.concatenate(ends))
+            made = [pa.array(sizes, pa.int64()), spans, pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made, *map(batch.column, places)], names=names)
 
     schema = StructType.fromDDL(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+from flarebook.llm import repeats
 from flarebook.llm.repeats import LoserTree, as_text, decoded, front_coded, remove_repeats, repeated
 from fixtures import ROWS, documents, no_documents
 from hypothesis import given, settings
@@ -121,3 +122,40 @@ def test_ranges_cover_what_pairs_share(items):
             for o in range(4 - common(after, other_after), common(before, other_before) + 1)
         }
         assert {o for low, high in got[i] for o in range(low, high + 1)} == wanted
+
+
+def passage_in_all(n):
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(120))
+    texts = [passage.join("".join(rng.choice("ijklmnop") for _ in range(70)) for _ in range(2)) for _ in range(n)]
+    return [(i, text, "en", "a") for i, text in enumerate(texts)] + [(None, texts[0][9:], "en", "a"), (3, texts[3], "en", "a")]
+
+
+def test_hot_pieces_agree_with_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 3)
+    monkeypatch.setattr(repeats, "ROWS_AT_ONCE", 50)
+    check(spark, passage_in_all(30), 50)
+
+
+def test_no_merge_holds_more_than_hot_contexts_of_a_piece(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 10)
+    rows, merges = passage_in_all(40), repeats.sorted_runs
+    seen = []
+
+    def counted(texts, wanted, length, parts):
+        seen.append(wanted.count())
+        return merges(texts, wanted, length, parts)
+
+    monkeypatch.setattr(repeats, "sorted_runs", counted)
+    check(spark, rows, 50)
+    assert seen[0] < 20  # all edges of the passage are hot
+
+
+def test_runs_of_one_character_are_few_rows(spark, tmp_path):
+    rows = [(1, "a" * 300_000, "en", "a"), (2, "xyz" * 50_000 + "end", "en", "a"), (3, "b" + "a" * 260, "en", "a")]
+    texts = repeats.keyed(documents(spark, rows))
+    found = repeats.repeated_anchors(texts, 200, str(tmp_path / "anchors"))
+    assert found.count() < 200
+    assert found.selectExpr("sum(size(spans))").first()[0] < 10
+    got = {r.doc_id: (bytes(r.kept), len(r.spans)) for r in remove_repeats(documents(spark, rows)).collect()}
+    assert got == {1: (b"", 1), 2: (b"end", 1), 3: (b"b", 1)}
