@@ -283,24 +283,27 @@ def train(
     """Fit the network on a bounded sample of the labelled documents that are not held out.
 
     Learns the ``MOST_LANGUAGES`` most frequent languages. At most ``docs_per_language`` documents of each language (those first in
-    the order of a hash of ``doc_id``), at most ``words_per_doc`` words of
+    the order of a hash of ``doc_id``; rows with equal id and text are one), at most ``words_per_doc`` words of
     each, spread evenly over its whole text, at most 256 characters of a word.
     """
-    labelled = docs.select(F.col("doc_id"), F.col("text"), F.col("lang").cast("string").alias("lang")).filter(
+    known = docs.select(F.col("doc_id"), F.col("text"), F.col("lang").cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
     )
-    turn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    labelled = known.withColumn("text_key", F.xxhash64("text"))
+    document = ["lang", "doc_id", "text_key"]
+    turn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text_key")
     step = F.greatest(F.size("words") / words_per_doc, F.lit(1.0))
     spread = F.transform(
         F.sequence(F.lit(0), F.least(F.size("words"), F.lit(words_per_doc)) - 1),
         lambda i: F.substring(F.get("words", F.floor(i * step).cast("int")), 1, 256),
     )
-    ranked = labelled.select("lang", "doc_id").withColumn("turn", F.row_number().over(turn))
+    ranked = labelled.select(document).distinct().withColumn("turn", F.row_number().over(turn))
     frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
     ids = ranked.filter(F.col("turn") <= docs_per_language).join(F.broadcast(frequent), "lang", "left_semi")
-    # At most MOST_LANGUAGES * docs_per_language rows of a name and a number.
+    # At most MOST_LANGUAGES * docs_per_language rows, also where ids or whole rows repeat.
     rows = (
-        labelled.join(F.broadcast(ids.select("lang", "doc_id")), ["lang", "doc_id"], "left_semi")
+        labelled.join(F.broadcast(ids.select(document)), document, "left_semi")
+        .dropDuplicates(document)
         .select("lang", "doc_id", F.split(F.trim("text"), r"[\x20\x09-\x0D]+").alias("words"))
         .select("lang", "doc_id", spread.alias("words"))
         .collect()

@@ -141,3 +141,11 @@ def test_nothing_to_learn_from(spark):
     assert language.predict(no_documents(spark), network).collect() == []
     one = language.train(documents(spark, [(i, "only words", "en", "s") for i in range(8)]), steps=2)
     assert {r.lang_pred for r in language.predict(documents(spark, ROWS[:3]), one).collect()} == {"en"}
+
+
+def test_a_repeated_id_does_not_outgrow_the_sample(spark, monkeypatch):
+    texts = ["same"] * 50 + [f"text {i}" for i in range(50)]
+    rows = [(1, text, "en", "s") for text in texts] + [(i, f"other {i}", "de", "s") for i in range(3, 12)]
+    monkeypatch.setattr(language, "fit", lambda words, labels, steps: (words, labels))
+    words, labels = language.train(documents(spark, rows), docs_per_language=4, words_per_doc=1)
+    assert labels.count("en") == labels.count("de") == 4 and words.count(b"same") <= 1
