@@ -208,7 +208,8 @@ def links(cids: list[int], sets: list[np.ndarray], across: np.ndarray | None, si
 
 
 def verified(docs: DataFrame, members: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """``a``, ``b``: confirmed links of classes. ``members`` has ``cid``, ``root``, ``min_doc``, ``d1``, ``d2``.
+    """``a``, ``b``: confirmed links of classes. ``members`` has ``cid``, ``root``, ``d1``, ``d2`` and the
+    row that stands for a class, ``min_doc`` and ``min_key``.
 
     A family is cut into blocks of about ``BLOCK_CLASSES``; each pair of blocks
     is a task of its own that holds the full sets of these two only.
@@ -216,22 +217,31 @@ def verified(docs: DataFrame, members: DataFrame, similar: tuple[int, int]) -> D
     sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).alias("blocks"))
     placed = members.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     keys = placed.select(
-        "cid", "root", "block", "blocks", "d1", "d2", F.col("min_doc").alias("of_doc")
+        "cid", "root", "block", "blocks", "d1", "d2", F.col("min_doc").alias("of_doc"), F.col("min_key").alias("of_key")
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    wanted = texts.join(keys, F.col("doc_id").eqNullSafe(F.col("of_doc"))).select(
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("text_key"),
+        F.col("text").cast("string").alias("text"),
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_key"))
+    wanted = texts.join(keys, same).select(
         "text", "cid", "root", "block", "blocks", "d1", "d2"
     )
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["root", "low", "high", "block", "cid", "values"]
         kinds = [pa.int64()] * 5 + [pa.binary()]
+        sent: set[int] = set()
         for batch in batches:
             known = [batch.column(c).to_pylist() for c in ("cid", "root", "block", "blocks", "d1", "d2")]
             for text, cid, root, block, blocks, d1, d2 in zip(utf8(batch.column("text")), *known):
+                if cid in sent:  # a row that repeats id and text
+                    continue
                 values = shingles(text)
-                if digest(values) != (d1, d2):  # another text with this doc_id
+                if digest(values) != (d1, d2):  # another text with this id and hash
                     continue
+                sent.add(cid)
                 held = values.tobytes()
                 rows = [(root, min(block, x), max(block, x), block, cid, held) for x in range(blocks)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
@@ -266,16 +276,17 @@ def near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> Data
     sketches(docs).write.parquet(folder)
     rows = spark.read.parquet(folder)
     folder = scratch(spark, "classes")
+    first_key = F.coalesce(F.min_by("text_key", "doc_id"), F.min("text_key"))
     (
         rows.filter("n_shingles > 0")
         .groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("min_doc"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+        .agg(F.min("doc_id").alias("min_doc"), first_key.alias("min_key"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
         .withColumn("cid", F.monotonically_increasing_id())
         .write.parquet(folder)
     )
     classes = spark.read.parquet(folder)
     family = families(classes, similar)
-    members = classes.select("cid", "min_doc", "d1", "d2").join(
+    members = classes.select("cid", "min_doc", "min_key", "d1", "d2").join(
         family.select(F.col("node").alias("cid"), "root"), "cid"
     )
     joined = components(verified(docs, members, similar)).select(F.col("node").alias("cid"), "root")

@@ -94,3 +94,26 @@ def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(200, 200)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert {got[i] for i in range(61)} == {0} and {got[i] for i in range(100, 160)} == {100} and 200 not in got
+
+
+def test_repeated_ids_do_not_multiply(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    rows = []
+    for i in range(24):
+        words = list(base)
+        words[5 * i] = "changed"
+        rows.append((None if i % 2 else 7, " ".join(words), "en", "a"))
+    rows += rows[:3] * 2
+    handed = []
+    frame = type(spark.range(0))
+    run = frame.mapInArrow
+
+    def counted(self, function, schema, *args):
+        if function.__name__ == "tiles":
+            handed.append(self.count())
+        return run(self, function, schema, *args)
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    assert found(near_dup.near_duplicates(documents(spark, rows))) == brute_force(rows)
+    assert handed == [len(rows)]
