@@ -152,6 +152,53 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= 20
 """
 
+COLLOCATIONS = f"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text FROM documents
+),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t),
+words AS (
+  SELECT lang, id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM (
+    SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+  )
+),
+after AS (
+  SELECT lang, word, lead(word) OVER piece AS second, lead(word, 2) OVER piece AS third
+  FROM words WINDOW piece AS (PARTITION BY id ORDER BY place)
+),
+phrases AS (
+  SELECT lang, 1 AS m, word AS phrase FROM after
+  UNION ALL SELECT lang, 2, word || ' ' || second FROM after WHERE second IS NOT NULL
+  UNION ALL SELECT lang, 3, word || ' ' || second || ' ' || third FROM after WHERE third IS NOT NULL
+),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM phrases GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.m, c.phrase, c.a, k, one.f AS l, two.f AS r,
+    CAST((1000000::HUGEINT * c.a * c.a) // (one.f::HUGEINT * two.f) AS BIGINT) AS score
+  FROM candidates c JOIN (VALUES (1), (2)) places(k) ON k < c.m
+  JOIN f one ON one.lang = c.lang AND one.phrase = array_to_string(c.w[:k], ' ')
+  JOIN f two ON two.lang = c.lang AND two.phrase = array_to_string(c.w[k + 1:], ' ')
+),
+weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+longer AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, array_to_string(w[:2], ' ') AS phrase FROM candidates WHERE m = 3
+    UNION ALL SELECT lang, a, array_to_string(w[2:], ' ') FROM candidates WHERE m = 3
+  ) GROUP BY lang, phrase
+),
+ranked AS (
+  SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank,
+    w.phrase, a, l, r, n, score
+  FROM weakest w JOIN totals USING (lang) LEFT JOIN longer o ON o.lang = w.lang AND o.phrase = w.phrase
+  WHERE NOT coalesce(100 * longer >= 50 * a, false)
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
 SQL: dict[str, str] = {
     "op2_chat": CHAT,
     "op4_warc": ARCHIVES,
@@ -159,4 +206,5 @@ SQL: dict[str, str] = {
     "op6_repeats": REPEATS,
     "op8_mixing": MIXING,
     "op9_top_k": TOP_K,
+    "op11_collocations": COLLOCATIONS,
 }

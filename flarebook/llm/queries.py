@@ -115,6 +115,12 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    from flarebook.llm.collocations import collocations
+
+    return collocations(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: value for name, value in globals().items() if name.startswith("op")}
 
