@@ -199,6 +199,58 @@ ranked AS (
 SELECT * FROM ranked WHERE rank <= 2000
 """
 
+
+
+def _nearest(entries: str) -> str:
+    """Part rows with their nearest entry, ties to the lower index."""
+    return f"""
+  SELECT p.row, p.part, p.x, min((list_sum(list_transform(list_zip(p.x, e.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))),
+    e.entry)) AS best
+  FROM parts p JOIN {entries} e USING (part) GROUP BY p.row, p.part, p.x"""
+
+
+def _codes(rounds: int) -> str:
+    """Rounds written out one after the other, each from the entries before it."""
+    text = """
+WITH kept AS (
+  SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+numbers AS (
+  SELECT row, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM kept
+),
+parts AS MATERIALIZED (
+  SELECT row, part, x[part * (len(x) // 8) + 1:(part + 1) * (len(x) // 8)] AS x
+  FROM numbers, (SELECT unnest(range(8)) AS part)
+),
+entries0 AS MATERIALIZED (SELECT part, row - 1 AS entry, x FROM parts WHERE row <= 16)"""
+    for i in range(rounds):
+        text += f""",
+nearest{i} AS ({_nearest(f"entries{i}")}),
+sums{i} AS (
+  SELECT part, entry, list(CAST((s - ((s % c) + c) % c) // c AS BIGINT) ORDER BY place) AS x FROM (
+    SELECT part, best[2] AS entry, place, sum(v) AS s, count(*) AS c
+    FROM (SELECT part, best, unnest(x) AS v, generate_subscripts(x, 1) AS place FROM nearest{i})
+    GROUP BY part, best[2], place
+  ) GROUP BY part, entry
+),
+entries{i + 1} AS MATERIALIZED (
+  SELECT e.part, e.entry, coalesce(s.x, e.x) AS x FROM entries{i} e LEFT JOIN sums{i} s USING (part, entry)
+)"""
+    return f"""{text},
+found AS ({_nearest(f"entries{rounds}")}),
+codes AS (
+  SELECT row, string_agg(format('{{:02x}}', best[2]), '' ORDER BY part) AS code, CAST(sum(best[1]) AS BIGINT) AS error
+  FROM found GROUP BY row
+),
+book AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM entries{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN codes USING (row), book
+"""
+
+
 SQL: dict[str, str] = {
     "op2_chat": CHAT,
     "op4_warc": ARCHIVES,
@@ -207,4 +259,5 @@ SQL: dict[str, str] = {
     "op8_mixing": MIXING,
     "op9_top_k": TOP_K,
     "op11_collocations": COLLOCATIONS,
+    "op12_vector_codes": _codes(6),
 }

@@ -121,6 +121,12 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations(table(spark, folder, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    from flarebook.llm.codes import encode
+
+    return encode(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {name: value for name, value in globals().items() if name.startswith("op")}
 
