@@ -127,6 +127,14 @@ def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return encode(table(spark, folder, "embeddings"))
 
 
+def op13_lattice_scores(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from flarebook.llm.lattice import score_texts
+
+    return score_texts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Query]:
     return {name: value for name, value in globals().items() if name.startswith("op")}
 
