@@ -15,6 +15,13 @@ from flarebook.schemas import FACT_COLUMNS, POSITION, SKY_CONTEXT
 
 TIMING = ("burst_time", "notice_time")
 
+# The folder column of what is asked for by time: the UTC day of the burst.
+BURST_DAY = "burst_day"
+
+
+def burst_day() -> Column:
+    return F.to_date("burst_time").alias(BURST_DAY)
+
 # The newest copy of a replayed notice wins. The columns behind these in the
 # same struct make the order total, so a rebuild picks the same copy.
 RECENCY = ("kafka_timestamp", "partition", "offset", "topic", "ingested_at")
@@ -54,6 +61,7 @@ def timing_dimension(silver: DataFrame) -> DataFrame:
         surrogate_key(*TIMING).alias("timing_key"),
         *calendar_parts(),
         notice_latency().alias("notice_latency_seconds"),
+        burst_day(),
     )
 
 
@@ -102,7 +110,7 @@ def latest_keys(silver: DataFrame) -> DataFrame:
 
 
 def fact_notices(silver: DataFrame) -> DataFrame:
-    """One row per revision, flagged if it is the last of its trigger.
+    """One row per revision, flagged if it is the last of its trigger, with its day.
 
     The flag is joined on the key of the revision and not on the trigger: both
     sides are unique there, so no trigger can be hot, and the copies are already
@@ -117,7 +125,8 @@ def fact_notices(silver: DataFrame) -> DataFrame:
                 "is_latest_revision": F.coalesce("latest", F.lit(False)).alias("is_latest_revision"),
             }.get(name, F.col(name))
             for name in FACT_COLUMNS
-        ]
+        ],
+        burst_day(),
     )
 
 
@@ -137,3 +146,7 @@ GOLD_SCOPES = {
     "dim_event_timing": TIMING,
     "fact_notices": ("trigger_num",),
 }
+
+# Tables with folders by day; the others have folders by a hash of the key. A
+# revision can get another day with its next copy. Times cannot: they are the key.
+GOLD_DAYS = {"dim_event_timing": False, "fact_notices": True}

@@ -1,20 +1,28 @@
-"""Keep a table current by key: create it, merge into it, or rewrite it."""
+"""Keep a table current by key: create it, merge into it, or rewrite the folders that change."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from flarebook.operators.gold import GOLD_SCOPES, GOLD_TABLES
-from flarebook.workspace import children, remove
+from flarebook.functions.keys import surrogate_key
+from flarebook.operators.gold import BURST_DAY, GOLD_DAYS, GOLD_SCOPES, GOLD_TABLES
+from flarebook.workspace import children, read_lines, remove, write_lines
 
 # Formats whose tables take MERGE INTO.
 MERGE_FORMATS = frozenset({"delta", "iceberg"})
 
 VERSION = "version-"
 STAGED = "staged-"
+# Files in a version's folder: it is complete (with the names of folders that became empty); the table has it.
+COMPLETE, SWITCHED = "_complete", "_switched"
+
+# Folders by a hash of the key: so many that a few new keys rewrite a small part.
+BUCKET = "key_bucket"
+BUCKETS = 32
 
 
 def create_schemas(spark: SparkSession, names: list[str], location: str | None = None) -> None:
@@ -48,58 +56,166 @@ def merged(current: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(updates)
 
 
-def _next_version(spark: SparkSession, location: str) -> str:
-    numbers = [int(name.removeprefix(VERSION)) for name in children(spark, location) if name.startswith(VERSION)]
-    return f"{location}/{VERSION}{max(numbers, default=0) + 1:010d}"
+def folder_column(name: str) -> str:
+    return BURST_DAY if name in GOLD_DAYS else BUCKET
+
+
+def laid_out(frame: DataFrame, name: str, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """With the column that the table has folders by, last."""
+    if name in GOLD_DAYS:
+        return frame
+    return frame.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+
+
+def in_folders(frame: DataFrame, folders: str, file_format: str = "parquet") -> DataFrameWriter:
+    """Writer of a table with folders. Rows of a folder come together; large ones are split, small ones share a task."""
+    return frame.hint("rebalance", F.col(folders)).write.format(file_format).partitionBy(folders)
+
+
+def folder_name(folders: str, value: object) -> str:
+    return f"{folders}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def _partition(name: str) -> str:
+    """The partition that a folder holds, in SQL. Its values are days or numbers, which paths spell as they are."""
+    column, value = name.split("=", 1)
+    return f"PARTITION ({column} = {'null' if value == '__HIVE_DEFAULT_PARTITION__' else repr(value)})"
+
+
+def _in(folders: str, values: list) -> Column:
+    column, known = F.col(folders), [value for value in values if value is not None]
+    found = column.isin(known) if known else F.lit(False)
+    return found | column.isNull() if None in values else found
+
+
+def _versions(spark: SparkSession, location: str) -> list[str]:
+    return [name for name in children(spark, location) if name.startswith(VERSION)]
 
 
-def _tidy(spark: SparkSession, location: str, current: str, kept: int) -> None:
-    """Remove all but the current version and the ``kept`` ones before it."""
-    names = [name for name in children(spark, location) if name.startswith(VERSION)]
-    here = current.rstrip("/").rsplit("/", 1)[-1]
-    older = [name for name in names if name < here]
-    for name in (set(names) - {here}) - set(older[len(older) - kept :] if kept else []):
-        remove(spark, f"{location}/{name}")
+def _folders_of(spark: SparkSession, version: str) -> set[str]:
+    """Folders that a version brought or emptied."""
+    return {name for name in children(spark, version) if "=" in name} | set(read_lines(spark, f"{version}/{COMPLETE}") or ())
+
+
+def switch(spark: SparkSession, table: str, version: str) -> None:
+    """Point the table's partitions to a version's folders; done again, it changes nothing."""
+    for name in children(spark, version):
+        if "=" in name:
+            place = f"LOCATION '{version}/{name}'"
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {_partition(name)} {place}")
+            spark.sql(f"ALTER TABLE {table} {_partition(name)} SET {place}")
+    for name in read_lines(spark, f"{version}/{COMPLETE}") or ():
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_partition(name)}")
+    write_lines(spark, f"{version}/{SWITCHED}", [])
+    spark.catalog.refreshTable(table)
+
+
+def recover(spark: SparkSession, table: str, location: str) -> None:
+    """End what an earlier run left, and remove what nobody reads any more.
+
+    A version that is complete but not switched to is switched to now; one that
+    is not complete goes. Folders that were replaced stay for readers that have
+    begun, until the run after.
+    """
+    newer: set[str] = set()
+    newest = True
+    for name in reversed(_versions(spark, location)):
+        version = f"{location}/{name}"
+        if read_lines(spark, f"{version}/{COMPLETE}") is None:
+            remove(spark, version)
+            continue
+        if newest and read_lines(spark, f"{version}/{SWITCHED}") is None:
+            switch(spark, table, version)
+        own = _folders_of(spark, version)
+        held = {folder for folder in children(spark, version) if "=" in folder}
+        for folder in newer & held:
+            remove(spark, f"{version}/{folder}")
+        if not newest:
+            newer |= own
+        newest = False
+    for name in children(spark, location):
+        if name.startswith(STAGED):
+            remove(spark, f"{location}/{name}")
 
 
 def upsert(
-    updates: DataFrame, table: str, key: str, location: str, file_format: str = "parquet", old_versions: int = 1
+    updates: DataFrame,
+    table: str,
+    key: str,
+    location: str,
+    file_format: str = "parquet",
+    folders: str = BUCKET,
+    moves: bool = False,
 ) -> None:
     """Merge ``updates``, unique by ``key``, into ``table``, whose files lie in ``location``.
 
-    A plain file table cannot be changed in place. Its next version is written
-    to a folder of its own and the table is pointed there once it is complete,
-    so a job that dies half-way leaves the table as it was. ``old_versions``
-    are kept for readers that have begun; what else is left is removed.
+    The table is partitioned by the column ``folders``. Of a plain file table
+    only those partitions are written again that updates go to or, where a key
+    can move, come from; of the others at most the keys are read. A version is
+    a folder with the new files of these partitions. Once it is complete, the
+    catalog's partitions are pointed there one by one, so each partition is
+    seen as it was or as it is. A job that dies before leaves the table as it
+    was; one that dies in between is ended by the next run.
     """
     spark = updates.sparkSession
-    path = _next_version(spark, location)
     if not spark.catalog.tableExists(table):
-        updates.write.format(file_format).option("path", path).saveAsTable(table)
+        for name in children(spark, location):  # of runs that did not come to a table
+            remove(spark, f"{location}/{name}")
+        path = f"{location}/{VERSION}{1:010d}"
+        in_folders(updates, folders, file_format).option("path", path).saveAsTable(table)
+        for marker in (COMPLETE, SWITCHED):
+            write_lines(spark, f"{path}/{marker}", [])
         return
     kind = provider(spark, table)
     if kind in MERGE_FORMATS:
         merge(updates, table, key)
         return
-    # The updates are read twice below, so they are computed once and stored.
-    staged = f"{location}/{STAGED}{uuid.uuid4().hex}"
+    recover(spark, table, location)
+    number = int(_versions(spark, location)[-1].removeprefix(VERSION)) + 1
+    # The updates are read several times below, so they are computed once and stored.
+    staged, path = f"{location}/{STAGED}{uuid.uuid4().hex}", f"{location}/{VERSION}{number:010d}"
     try:
         updates.write.format(kind).save(staged)
         stored = spark.read.schema(updates.schema).format(kind).load(staged)
-        merged(spark.read.table(table), stored, key).write.format(kind).save(path)
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table)
+        current = spark.read.table(table).select(*updates.columns)
+        touched = stored.select(folders)
+        if moves:
+            touched = touched.union(current.select(key, folders).join(stored.select(key), key, "left_semi").select(folders))
+        values = [row[0] for row in touched.distinct().collect()]
+        rows = merged(current.where(_in(folders, values)), stored, key)
+        in_folders(rows, folders, kind).save(path)
+        names = {folder_name(folders, value) for value in values}
+        write_lines(spark, f"{path}/{COMPLETE}", sorted(names - set(children(spark, path))))
+        switch(spark, table, path)
     finally:
         remove(spark, staged)
-    _tidy(spark, location, path, old_versions)
 
 
-def affected(silver: DataFrame, changed: DataFrame, scope: tuple[str, ...]) -> DataFrame:
-    """All notices of the groups that changed ones belong to. Null is a value."""
-    names = [f"changed_{name}" for name in scope]
-    groups = changed.select(*scope).distinct().toDF(*names)
-    same = [F.col(name).eqNullSafe(F.col(new)) for name, new in zip(scope, names)]
-    return silver.join(groups, same, "left_semi")
+def table_files(spark: SparkSession, table: str) -> DataFrame:
+    """A plain file table by its files as they are now, whatever becomes of the name."""
+    frame = spark.read.table(table)
+    partitions = {c.name for c in spark.catalog.listColumns(table) if c.isPartition}
+    schema = StructType([field for field in frame.schema if field.name not in partitions])
+    files = frame.inputFiles()
+    return spark.read.schema(schema).format(provider(spark, table)).load(files) if files else spark.createDataFrame([], schema)
+
+
+def affected(silver: DataFrame, changed: DataFrame, folder: str) -> DataFrame:
+    """All notices of groups that changed ones belong to, marked by the tables (``of_<table>``) they are read for.
+
+    Silver is read once for all tables. Groups are told apart by a hash of
+    their columns, in which null is a value. The few that changed are joined
+    with all of Silver; what is affected is stored, since each table reads it.
+    """
+    marked = silver
+    for name, scope in GOLD_SCOPES.items():
+        group = surrogate_key(*scope)
+        groups = changed.select(group.alias(f"group_{name}")).distinct().withColumn(f"of_{name}", F.lit(True))
+        marked = marked.withColumn(f"group_{name}", group).join(groups, f"group_{name}", "left")
+    flags = [f"of_{name}" for name in GOLD_SCOPES]
+    found = marked.where(F.coalesce(*flags)).select(*silver.columns, *flags)
+    found.write.parquet(folder)
+    return silver.sparkSession.read.schema(found.schema).parquet(folder)
 
 
 def build_gold(
@@ -116,8 +232,16 @@ def build_gold(
     built in full.
     """
     spark = silver.sparkSession
-    for name, key, builder in GOLD_TABLES:
-        table = f"{schema}.{name}"
-        whole = changed is None or not spark.catalog.tableExists(table)
-        source = silver if whole else affected(silver, changed, GOLD_SCOPES[name])
-        upsert(builder(source), table, key, f"{root}/{name}", file_format)
+    there = {name: spark.catalog.tableExists(f"{schema}.{name}") for name, _, _ in GOLD_TABLES}
+    folder = f"{root}/{STAGED}notices-{uuid.uuid4().hex}"
+    found = affected(silver, changed, folder) if changed is not None and any(there.values()) else None
+    try:
+        for name, key, builder in GOLD_TABLES:
+            whole = found is None or not there[name]
+            source = silver if whole else found.where(f"of_{name}").select(*silver.columns)
+            rows = laid_out(builder(source), name, key)
+            place = f"{root}/{name}"
+            upsert(rows, f"{schema}.{name}", key, place, file_format, folder_column(name), GOLD_DAYS.get(name, False))
+    finally:
+        if found is not None:
+            remove(spark, folder)

@@ -82,7 +82,9 @@ def model(spark: SparkSession, layout: Layout) -> None:
     """Bring Gold up to date with what is new in Silver.
 
     The stream over Silver only tells which notices are new. A batch run again
-    after a lost job builds the same groups from all of Silver once more.
+    after a lost job builds the same groups from all of Silver once more. The
+    first batch finds no tables and builds them in full; tables that are
+    missing later, when nothing is new, are built in full as well.
     """
     configure_session(spark)
 
@@ -95,13 +97,13 @@ def model(spark: SparkSession, layout: Layout) -> None:
     if not exists(spark, layout.silver_path):
         bring_up(spark.createDataFrame([], SILVER), None)
         return
-    if not all(spark.catalog.tableExists(layout.table("gold", name)) for name, _, _ in GOLD_TABLES):
-        bring_up(everything(spark), None)
     jobs.each_batch(
         jobs.silver_stream(spark, layout.silver_path, layout.file_format),
         layout.checkpoint(f"gold-{layout.parser_version}"),
         lambda batch: bring_up(everything(batch.sparkSession), cleaned(batch)),
     )
+    if not all(spark.catalog.tableExists(layout.table("gold", name)) for name, _, _ in GOLD_TABLES):
+        bring_up(everything(spark), None)
     # The stream has a session of its own; this one may remember the last version.
     for name, _, _ in GOLD_TABLES:
         spark.catalog.refreshTable(layout.table("gold", name))

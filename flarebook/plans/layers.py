@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from flarebook.operators.bronze import to_bronze
 from flarebook.operators.gold import GOLD_TABLES
 from flarebook.operators.silver import cleaned, quarantine
+from flarebook.operators.upsert import folder_column, in_folders, laid_out
 from flarebook.session import configure_session
 from flarebook.sources.records import replay_batch
 from flarebook.sources.sample import write_replay
@@ -61,14 +62,18 @@ class Layers:
 
     def gold(self, name: str) -> DataFrame:
         def write(path: str) -> None:
-            builder = {table: build for table, _, build in GOLD_TABLES}[name]
-            frame = builder(self.cleaned())
-            frame.write.parquet(path)
+            key, builder = {table: (key, build) for table, key, build in GOLD_TABLES}[name]
+            frame = laid_out(builder(self.cleaned()), name, key)
+            in_folders(frame, folder_column(name)).save(path)
             _SCHEMAS[path] = frame.schema
 
         path = self._stored(name, write)
         return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
+    def shown(self, name: str) -> DataFrame:
+        """A Gold table without the column of its folders."""
+        return self.gold(name).drop(folder_column(name))
+
     def fact(self) -> DataFrame:
         return self.gold("fact_notices")
 

@@ -11,15 +11,21 @@ from pyspark.sql import functions as F
 
 from flarebook.functions.geometry import angular_separation
 from flarebook.functions.keys import revision_order
+from flarebook.operators.gold import BURST_DAY
 
 
 def recent_bursts(fact: DataFrame, timing: DataFrame, spatial: DataFrame, now: Column | None = None) -> DataFrame:
-    """Bursts of the last 30 days at their final position, newest first."""
+    """Bursts of the last 30 days at their final position, newest first.
+
+    Fact and timing have folders by the same day, so only those of the last
+    days are read from either.
+    """
     since = (F.current_timestamp() if now is None else now) - F.expr("INTERVAL 30 DAYS")
+    recent = F.col(BURST_DAY) >= F.to_date(since)
     return (
-        fact.where("is_latest_revision")
+        fact.where(recent & F.col("is_latest_revision"))
         .select("trigger_num", "timing_key", "spatial_key", "error_radius_deg")
-        .join(timing.where(F.col("burst_time") >= since).select("timing_key", "burst_time"), "timing_key")
+        .join(timing.where(recent & (F.col("burst_time") >= since)).select("timing_key", "burst_time"), "timing_key")
         .join(spatial.select("spatial_key", "ra_deg", "dec_deg"), "spatial_key")
         .select("trigger_num", "burst_time", "ra_deg", "dec_deg", "error_radius_deg")
         .orderBy(F.desc("burst_time"), "trigger_num")

@@ -49,3 +49,30 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def remove(spark: SparkSession, path: str) -> None:
     files, place = _files(spark, path)
     files.delete(place, True)
+
+
+def write_lines(spark: SparkSession, path: str, lines: list[str]) -> None:
+    """A small file of lines, which is there as a whole or not at all."""
+    files, place = _files(spark, path)
+    begun = place.suffix(".begun")
+    files.delete(place, False)
+    out = files.create(begun, True)
+    try:
+        out.write(bytearray("\n".join(lines).encode()))
+    finally:
+        out.close()
+    if not files.rename(begun, place):
+        raise OSError(f"{path} could not be written")
+
+
+def read_lines(spark: SparkSession, path: str) -> list[str] | None:
+    """The lines of a small file; None if there is none."""
+    files, place = _files(spark, path)
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        text = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+    return text.split("\n") if text else []

@@ -14,6 +14,7 @@ from flarebook.operators.silver import cleaned, parse_notices
 from flarebook.operators import upsert as gold_upsert
 from flarebook.operators.gold import GOLD_TABLES
 from flarebook.operators.upsert import build_gold, create_schemas, table_location, upsert
+from flarebook.plans import reports
 from flarebook.schemas import BRONZE, ENVELOPE
 from flarebook.sources.records import FeedConfig, documents, replay_batch, replay_stream
 from flarebook.sources.sample import write_replay
@@ -118,24 +119,128 @@ def test_documents_are_one_notice_each(spark, tmp_path):
     assert sorted(r.is_parsed for r in parsed.collect()) == [False, True]
 
 
+def bucketed(spark, rows):
+    return spark.createDataFrame(rows, "k string, v int").withColumn("b", F.col("v") % 10)
+
+
+def put(rows, table, place, **options):
+    upsert(rows, table, "k", place, folders="b", moves=True, **options)
+
+
+def stored(spark, table):
+    return sorted((r.k, r.v) for r in spark.read.table(table).collect())
+
+
+def files_of(spark, table):
+    return {"/".join(f.rsplit("/", 2)[1:]) for f in spark.read.table(table).inputFiles()}
+
+
 def test_upsert_creates_updates_and_inserts(spark, schema):
     table, place = f"{schema}.t", folder(spark)
-    upsert(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), table, "k", place)
+    put(bucketed(spark, [("a", 1), ("b", 2)]), table, place)
     for _ in range(3):
-        upsert(spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int"), table, "k", place)
-        assert sorted(map(tuple, spark.read.table(table).collect())) == [("a", 1), ("b", 3), ("c", 4)]
-    # The current version and the one before it, and nothing that was staged.
-    assert workspace.children(spark, place) == ["version-0000000003", "version-0000000004"]
+        put(bucketed(spark, [("b", 3), ("c", 4)]), table, place)
+        assert stored(spark, table) == [("a", 1), ("b", 3), ("c", 4)]
+    folders = {name: [n for n in workspace.children(spark, f"{place}/{name}") if "=" in n] for name in workspace.children(spark, place)}
+    # What "b" left behind at first is gone; what the last two runs replaced is kept for readers that have begun.
+    assert folders == {
+        "version-0000000001": ["b=1"], "version-0000000002": ["b=3", "b=4"], "version-0000000003": ["b=3", "b=4"],
+        "version-0000000004": ["b=3", "b=4"],
+    }
+
+
+def test_upsert_keeps_null_folders(spark, schema):
+    table, place = f"{schema}.t", folder(spark)
+    put(bucketed(spark, [("a", None), ("b", None), ("c", 1)]), table, place)
+    put(bucketed(spark, [("a", 5), ("c", None), ("d", None)]), table, place)
+    put(bucketed(spark, []), table, place)
+    assert sorted(spark.read.table(table).select("k", "v").collect()) == [("a", 5), ("b", None), ("c", None), ("d", None)]
+
+
+def test_untouched_folders_keep_their_files(spark, schema):
+    table, place = f"{schema}.t", folder(spark)
+    put(bucketed(spark, [(f"k{i}", i) for i in range(100)]), table, place)
+    before = files_of(spark, table)
+    put(bucketed(spark, [("k3", 13), ("new", 23)]), table, place)
+    after = files_of(spark, table)
+    assert len(stored(spark, table)) == 101 and len(before - after) == len(after - before) == 1
 
 
 def test_failed_update_leaves_the_table_and_no_files(spark, schema, monkeypatch):
     table, place = f"{schema}.t", folder(spark)
-    upsert(spark.createDataFrame([("a", 1)], "k string, v int"), table, "k", place)
+    put(bucketed(spark, [("a", 1)]), table, place)
+    names = workspace.children(spark, place)
     monkeypatch.setattr(gold_upsert, "merged", lambda *_: 1 / 0)
     with pytest.raises(ZeroDivisionError):
-        upsert(spark.createDataFrame([("b", 3)], "k string, v int"), table, "k", place)
-    assert [tuple(r) for r in spark.read.table(table).collect()] == [("a", 1)]
-    assert workspace.children(spark, place) == ["version-0000000001"]
+        put(bucketed(spark, [("b", 3)]), table, place)
+    assert stored(spark, table) == [("a", 1)] and workspace.children(spark, place) == names
+
+
+@pytest.mark.parametrize("statements", range(5))
+def test_a_run_that_stopped_while_partitions_are_switched_is_ended_by_the_next(spark, schema, monkeypatch, statements):
+    table, place = f"{schema}.t", folder(spark)
+    put(bucketed(spark, [("a", 1), ("b", 2), ("c", 3)]), table, place)
+    left, run = iter(range(statements)), type(spark).sql
+
+    def sql_or_stop(session, text, *more, **named):
+        if text.startswith("ALTER") and next(left, None) is None:
+            raise OSError("stopped")
+        return run(session, text, *more, **named)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(spark), "sql", sql_or_stop)
+        with pytest.raises(OSError, match="stopped"):
+            put(bucketed(spark, [("a", 4), ("b", 12)]), table, place)
+    put(bucketed(spark, [("c", 13)]), table, place)
+    assert stored(spark, table) == [("a", 4), ("b", 12), ("c", 13)]
+
+
+def test_a_version_that_is_not_complete_counts_for_nothing(spark, schema):
+    table, place = f"{schema}.t", folder(spark)
+    put(bucketed(spark, [("a", 1)]), table, place)
+    bucketed(spark, [("a", 11)]).write.partitionBy("b").parquet(f"{place}/version-0000000002")
+    put(bucketed(spark, [("b", 2)]), table, place)
+    assert stored(spark, table) == [("a", 1), ("b", 2)]
+    assert workspace.children(spark, f"{place}/version-0000000002")[-1] == "b=2"
+
+
+def test_a_reader_that_has_begun_can_end(spark, schema):
+    table, place = f"{schema}.t", folder(spark)
+    put(bucketed(spark, [("a", 1), ("b", 2)]), table, place)
+    begun = gold_upsert.table_files(spark, table)
+    put(bucketed(spark, [("a", 11)]), table, place)
+    assert sorted((r.k, r.v) for r in begun.collect()) == [("a", 1), ("b", 2)]
+
+
+def test_one_new_notice_rewrites_few_files(spark, replay, schema):
+    silver, place = cleaned(parse_notices(to_bronze(replay_batch(spark, replay)))), folder(spark)
+    path = folder(spark)
+    silver.write.parquet(path)
+    silver = spark.read.parquet(path)
+    build_gold(silver, schema, place)
+    tables = [f"{schema}.{name}" for name, _, _ in GOLD_TABLES]
+    before = {table: files_of(spark, table) for table in tables}
+    new = cleaned(parse_notices(bronze_frame(spark, [FULL])))
+    build_gold(silver.unionByName(new), schema, place, changed=new)
+    for table in tables:
+        after = files_of(spark, table)
+        assert len(before[table]) > 20 and len(before[table] - after) <= 1 and 1 <= len(after - before[table]) <= 2
+
+
+def test_only_recent_days_are_read(spark, replay, schema):
+    build_gold(cleaned(parse_notices(to_bronze(replay_batch(spark, replay)))), schema, folder(spark))
+    fact, timing, spatial = (
+        spark.read.table(f"{schema}.{name}") for name in ("fact_notices", "dim_event_timing", "dim_spatial_coords")
+    )
+    recent = reports.recent_bursts(fact, timing, spatial, F.lit("2024-02-28 12:00:00").cast("timestamp"))
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(burst_day") == 2
+    days = lambda frame: {f.split("burst_day=")[1].split("/")[0] for f in frame.inputFiles() if "burst_day=" in f}
+    assert len(days(fact)) > 25 and days(recent) == {day for day in days(fact) if "2024-01-29" <= day < "3"}
+    assert len(recent.inputFiles()) <= 2 * len(days(recent)) + len(spatial.inputFiles())
+    whole = fact.where("is_latest_revision").join(timing, "timing_key").join(spatial, "spatial_key")
+    since = F.lit("2024-01-29 12:00:00").cast("timestamp")
+    assert recent.count() == whole.where(F.col("burst_time") >= since).count() > 0
 
 
 def test_gold_rerun_changes_nothing_and_new_revision_moves_the_flag(spark, schema):
@@ -176,12 +281,19 @@ def test_new_notices_only_touch_their_groups(spark, schema):
         }
 
 
-def test_pipeline_over_named_tables(spark, replay):
+def test_pipeline_over_named_tables(spark, replay, monkeypatch):
     tag = uuid.uuid4().hex
     layout = pipeline.Layout(folder(spark), bronze=f"b_{tag}", silver=f"s_{tag}", gold=f"g_{tag}")
     assert pipeline.Layout("r", catalog="c").table("gold", "t") == "c.gold.t"
     layout.create(spark)
-    facts = []
+    facts, built = [], []
+    whole = gold_upsert.upsert
+
+    def seen(rows, table, *more):
+        built.append(table.rsplit(".", 1)[-1])
+        whole(rows, table, *more)
+
+    monkeypatch.setattr(gold_upsert, "upsert", seen)
     for _ in range(3):
         pipeline.ingest(spark, replay_stream(spark, replay), layout)
         pipeline.parse(spark, layout)
@@ -190,9 +302,11 @@ def test_pipeline_over_named_tables(spark, replay):
         facts.append(sorted(r.notice_key for r in spark.read.table(layout.table("gold", "fact_notices")).collect()))
     clean = spark.read.table(layout.table("silver", "notices_cleaned"))
     for name, _, _ in GOLD_TABLES:
+        place = layout.path("gold", name)
         assert f"{layout.root}/gold/{name}/version-" in table_location(spark, layout.table("gold", name))
-        # One full build, one catch-up with the stream; the third run has nothing to do.
-        assert workspace.children(spark, layout.path("gold", name)) == ["version-0000000001", "version-0000000002"]
+        assert workspace.children(spark, place) == ["version-0000000001"]
+        # Built once: the first batch does, the later runs have nothing to do.
+        assert built.count(name) == 1
     assert facts[0] == facts[1] == facts[2] == sorted(r.notice_key for r in clean.select("notice_key").distinct().collect())
     rows = clean.count()
     for _ in range(2):
