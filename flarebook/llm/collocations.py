@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flarebook.llm.tables import scratch, utf8, word_chunks
+from flarebook.llm.tables import give_back, scratch, utf8, word_chunks
 
 SUPPORT = 10
 LONGEST = 3
@@ -121,6 +121,7 @@ def to_shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[p
             yield from shard.rows(number, lang)
             number += 1
         made.clear()
+        give_back()
 
     for rows in batches:
         for lang, text in zip(rows.column(0).to_pylist(), utf8(rows.column(1))):
@@ -183,6 +184,8 @@ def mine(shard: pa.Table, bound: pa.Table) -> pa.Table:
         )
     schema = pa.schema([("shard", pa.int64()), ("place", pa.int32()), ("p", pa.int64()), ("q", pa.int64()),
                         ("count", pa.int64()), ("frequent", pa.bool_())])
+    del numbers, distinct, counts, pairs
+    give_back()
     return pa.Table.from_batches(out, schema)
 
 

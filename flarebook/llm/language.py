@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from flarebook.llm.tables import utf8, word_chunks
+from flarebook.llm.tables import held_here, utf8, word_chunks
 
 UNKNOWN = "und"
 UNITS = 16
 LONGEST_SEGMENT = 64  # bytes; a longer run is read in segments of this length
 RUN = re.compile(rb"[a-z\x80-\xff]+|[^a-z\x80-\xff\s]+")
 KNOWN_RUNS = 400_000
+KNOWN_BYTES = 64_000_000  # of these runs and their table
 RUNS_AT_ONCE = 2048  # of one length, in one step of the network
 TEXT_AT_ONCE = 2_000_000  # bytes whose new runs go through the network together
 HELD_OUT = 2  # of the remainders by 4
@@ -199,13 +200,14 @@ class RunVotes(dict):
     """Places of known runs in the table of their summed position distributions.
 
     Columns: a sum for each language, the number of positions, whether there
-    is a letter. It forgets all when ``most`` runs are known.
+    is a letter. It forgets all when ``most`` runs, or
+    ``KNOWN_BYTES`` of them and the table, are known.
     """
 
     def __init__(self, network: Network, most: int = KNOWN_RUNS):
         super().__init__()
-        self.network, self.most = network, most
-        self.table = np.zeros((0, len(network.languages) + 2))
+        self.network, self.most, self.bytes = network, most, 0
+        self.table = np.zeros((0, len(network.languages) + 2), np.float32)
 
     def sums(self, texts: Iterable[memoryview]) -> np.ndarray:
         """The columns' sums over all runs of each text."""
@@ -225,16 +227,18 @@ class RunVotes(dict):
         self._learn(set().union(*[found for _, found in held]))
         for place, found in held:
             places = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
-            out[place] += self.table[places].sum(axis=0)
+            out[place] += self.table[places].sum(axis=0, dtype=float)
 
     def _learn(self, found: set[bytes]) -> None:
         new = [run for run in found if run not in self]
-        if len(self) + len(new) > self.most:
+        if len(self) + len(new) > self.most or self.bytes + 4 * self.table.shape[1] * len(self) > KNOWN_BYTES:
             self.clear()
+            self.bytes, self.table = 0, self.table[:0].copy()
             new = list(found)
         start, width = len(self), self.table.shape[1]
+        self.bytes += sum(map(len, new))
         if start + len(new) > len(self.table):
-            grown = np.zeros((max(2 * (start + len(new)), 4096), width))
+            grown = np.zeros((max((start + len(new)) * 3 // 2, 4096), width), np.float32)
             grown[:start] = self.table[:start]
             self.table = grown
         rows = self.table[start : start + len(new)]
@@ -254,20 +258,13 @@ class RunVotes(dict):
                 np.add.at(rows[:, -2], owned, part.shape[1])
 
 
-_known: dict[str, RunVotes] = {}
-
-
 def known_runs(network: Network) -> RunVotes:
     """Those of the last network used in this Python worker, kept from task to task."""
     print_ = hashlib.sha256()
     print_.update(repr(network.languages).encode())
     for name in sorted(network.weights):
         print_.update(network.weights[name].tobytes())
-    key = print_.hexdigest()
-    if key not in _known:
-        _known.clear()
-        _known[key] = RunVotes(network)
-    return _known[key]
+    return held_here(f"runs of {print_.hexdigest()}", lambda: RunVotes(network))
 
 
 def held_out() -> F.Column:
@@ -338,7 +335,7 @@ def predict(docs: DataFrame, network: Network, carried: tuple[str, ...] = ()) ->
     every text if no language was learned.
     """
     languages = network.languages
-    places = [f"carried_{i}" for i in range(len(carried))]
+    places = ["text" if name == "text" else f"carried_{i}" for i, name in enumerate(carried)]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         votes = known_runs(network)
@@ -364,7 +361,7 @@ def predict(docs: DataFrame, network: Network, carried: tuple[str, ...] = ()) ->
         F.col("doc_id").cast("long").alias("doc_id"),
         held_out().alias("held_out"),
         F.col("text").cast("string").alias("text"),
-        *[F.col(name).alias(place) for name, place in zip(carried, places)],
+        *[F.col(name).alias(place) for name, place in zip(carried, places) if place != "text"],
     )
     schema = StructType.fromDDL("doc_id long, held_out boolean, lang_pred string, score double")
     for place in places:

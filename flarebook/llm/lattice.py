@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flarebook.llm.collocations import Numbers, counted, packed, unpacked
-from flarebook.llm.tables import scratch, utf8, word_chunks
+from flarebook.llm.tables import give_back, scratch, utf8, word_chunks
 
 ROUNDS = 2  # of expected counts
 PRIOR = 1000.0  # occurrences that the vocabulary's own order counts as
@@ -213,6 +213,7 @@ def to_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[p
                 yield from block.rows(number)
                 block, number = Block(), number + 1
     yield from block.rows(number)
+    give_back()
 
 
 def held_out() -> Column:

@@ -36,39 +36,53 @@ def uniform(text: Column) -> Column:
 def hypergeometric(total: Column, marked: Column, drawn: Column, chance: Column) -> Column:
     """How many marked ones are among those drawn, by inverting the distribution.
 
-    Weights are relative to the smallest possible count, so nothing underflows
-    with up to about a thousand marked ones.
+    Weights are kept as logarithms and taken relative to the largest one, so
+    with any numbers none overflows, and those that count do not vanish.
     """
     least = F.greatest(F.lit(0), drawn - (total - marked))
     most = F.least(drawn, marked)
-    start = F.struct(F.lit(1.0).alias("weight"), F.lit(1.0).alias("sum"))
-
-    def following(weight: Column, count: Column) -> Column:
-        return weight * (marked - count) * (drawn - count) / ((count + 1) * (total - marked - drawn + count + 1))
+    whole_number = F.array().cast("array<int>")
 
     def counts() -> Column:
-        return F.when(most > least, F.sequence(least, most - 1)).otherwise(F.array().cast("array<int>"))
+        return F.when(most > least, F.sequence(least, most - 1)).otherwise(whole_number)
+
+    def following(log: Column, count: Column) -> Column:
+        more = (marked - count) * (drawn - count) / ((count + 1) * (total - marked - drawn + count + 1))
+        return log + F.log(more)
+
+    def highest(state: Column, count: Column) -> Column:
+        log = following(state["log"], count)
+        return F.struct(log.alias("log"), F.greatest(state["top"], log).alias("top"))
+
+    zero = F.lit(0.0)
+    top = F.aggregate(counts(), F.struct(zero.alias("log"), zero.alias("top")), highest, lambda s: s["top"])
+    start = F.struct(zero.alias("log"), top.alias("top"), F.exp(-top).alias("sum"))
 
     def add(state: Column, count: Column) -> Column:
-        weight = following(state["weight"], count)
-        return F.struct(weight.alias("weight"), (state["sum"] + weight).alias("sum"))
+        log = following(state["log"], count)
+        weight = F.exp(log - state["top"])
+        return F.struct(log.alias("log"), state["top"].alias("top"), (state["sum"] + weight).alias("sum"))
 
-    whole = F.aggregate(counts(), start, add, lambda s: s["sum"])
-    limit = chance * whole
+    added = F.aggregate(counts(), start, add)
+    first = F.struct(
+        zero.alias("log"),
+        added["top"].alias("top"),
+        F.exp(-added["top"]).alias("sum"),
+        least.alias("found"),
+        (chance * added["sum"]).alias("limit"),
+    )
 
     def step(state: Column, count: Column) -> Column:
-        weight = following(state["weight"], count)
+        log = following(state["log"], count)
         passed = state["sum"] <= state["limit"]
         return F.struct(
-            weight.alias("weight"),
-            (state["sum"] + weight).alias("sum"),
+            log.alias("log"),
+            state["top"].alias("top"),
+            (state["sum"] + F.exp(log - state["top"])).alias("sum"),
             (state["found"] + passed.cast("int")).alias("found"),
             state["limit"].alias("limit"),
         )
 
-    first = F.struct(
-        F.lit(1.0).alias("weight"), F.lit(1.0).alias("sum"), least.alias("found"), limit.alias("limit")
-    )
     return F.aggregate(counts(), first, step, lambda s: s["found"])
 
 
@@ -163,7 +177,7 @@ def mix(
     levels: int = 6,
     seed: str = SEED,
 ) -> DataFrame:
-    """``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, ``shards`` of each row.
+    """``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, ``shards``, ``source``, ``text_key`` of each row.
 
     Reads ``doc_id``, ``text`` and ``source``. A size is the number of words; a
     null text has none; a null source is a source, the last one. ``shards``
@@ -180,6 +194,7 @@ def mix(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64("text").alias("text_key"),
     ).withColumn("key", key)
     sized = sized.withColumn("block", (F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % blocks).cast("int"))
     block_sizes = sized.groupBy("source", "block").agg(F.sum("size").alias("block_size"))
@@ -235,7 +250,7 @@ def mix(
     )
     in_block = (
         Window.partitionBy("source", "block")
-        .orderBy("key", "doc_id", "size")
+        .orderBy("key", "doc_id", "size", "text_key")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = (
@@ -250,6 +265,8 @@ def mix(
         "source_size",
         "target",
         F.slice("block_shards", F.lit(1), copies).alias("shards"),
+        "source",
+        "text_key",
     ).select(
         "doc_id",
         "size",
@@ -257,11 +274,44 @@ def mix(
         "target",
         (F.col("size") * F.size("shards")).alias("taken"),
         "shards",
+        "source",
+        "text_key",
     )
 
 
-def deal(mixed: DataFrame, seed: str = SEED) -> DataFrame:
-    """A row per copy, ``doc_id`` and ``shard``, each shard in one partition and shuffled there."""
-    copies = mixed.select("doc_id", F.posexplode("shards").alias("copy", "shard"))
-    order = random_text(F.lit(seed), F.col("shard"), F.col("doc_id"), F.col("copy"))
-    return copies.repartition("shard").withColumn("turn", order).sortWithinPartitions("shard", "turn").drop("turn", "copy")
+def deal(docs: DataFrame, mixed: DataFrame, seed: str = SEED) -> DataFrame:
+    """All columns of ``docs``, a row for each copy that the mix takes; shards lie one after another, each shuffled.
+
+    A shard's rows are sorted by a hash in as many tasks as they need. Rows are
+    told apart by id, source and text; of rows that are equal in these, each
+    gets the copies of one.
+    """
+    taken = {c.lower() for c in docs.columns}
+    prefix = "own_"
+    while any(c.startswith(prefix) for c in taken):
+        prefix += "_"
+    own = [f"{prefix}{c}" for c in ("doc_id", "source", "text_key")]
+    shards, rows, nth, shard, turn = (f"{prefix}{c}" for c in ("shards", "rows", "nth", "shard", "turn"))
+    decided = mixed.select("doc_id", "source", "text_key", "shards").toDF(*own, shards)
+    groups = decided.groupBy(*own).agg(F.count(F.lit(1)).alias(rows), F.first(shards).alias(shards))
+    keys = [F.col("doc_id").cast("long"), F.col("source").cast("string"), F.xxhash64("text")]
+    same = [key.eqNullSafe(F.col(name)) for key, name in zip(keys, own)]
+    alone = docs.join(groups.filter((F.col(rows) == 1) & (F.size(shards) > 0)).drop(rows), same)
+
+    # Equal rows: the first of the table's has the copies of the first that was decided, and so on.
+    several = groups.filter(F.col(rows) > 1).select(*own)
+    of = Window.partitionBy(*own)
+    matched = docs.join(several, same).withColumn(nth, F.row_number().over(of.orderBy(*own)))
+    same_group = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in own]
+    numbered = decided.join(several.toDF(*[f"{c}_" for c in own]), same_group, "left_semi")
+    numbered = numbered.withColumn(nth, F.row_number().over(of.orderBy(F.size(shards), shards)))
+    numbered = numbered.toDF(*[f"{c}_" for c in own], shards, f"{nth}_")
+    also = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in (*own, nth)]
+    repeated = matched.join(numbered.filter(F.size(shards) > 0), also)
+
+    columns = [F.col(c) for c in docs.columns]
+    both = alone.select(*columns, *own, shards).unionByName(repeated.select(*columns, *own, shards))
+    copies = both.select(*columns, *own, F.posexplode(shards).alias(nth, shard))
+    order = random_text(F.lit(seed), F.col(shard), *[F.col(c) for c in own], F.col(nth))
+    dealt = copies.withColumn(turn, order).drop(*own, nth)
+    return dealt.repartitionByRange(shard, turn).sortWithinPartitions(shard, turn).select(*columns)

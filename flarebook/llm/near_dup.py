@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flarebook.llm.graph import components
-from flarebook.llm.tables import scratch, utf8, word_chunks
+from flarebook.llm.tables import held_here, scratch, utf8, word_chunks
 
 WORDS = 5
 SIMILAR = (85, 100)
@@ -111,6 +111,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text_key``, ``n_shingles``, the digest ``d1``, ``d2`` and the ``sketch`` of each whole text."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_here("sketches", dict)
         for batch in batches:
             rows = []
             for text in utf8(batch.column("text")):
@@ -261,10 +262,11 @@ def verified(docs: DataFrame, members: DataFrame, similar: tuple[int, int]) -> D
 
 
 def near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``text_key`` of each row.
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``text_key``, ``component`` of each row.
 
     Reads ``doc_id`` and ``text``; ``text_key`` is xxhash64 of the text, for
-    joins where ids repeat. Words are runs without ASCII blanks, A-Z
+    joins where ids repeat. ``component`` is a number that tells components
+    apart where ids repeat or are null; it is null for a text without words. Words are runs without ASCII blanks, A-Z
     made lower case; a text of fewer than five words is one shingle. A null or
     empty text, or one without words, is linked with nothing. Two documents
     are linked if their sets share ``similar`` of their union; a component is
@@ -292,19 +294,43 @@ def near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> Data
     joined = components(verified(docs, members, similar)).select(F.col("node").alias("cid"), "root")
     known = classes.select("cid", "min_doc", "d1", "d2").join(joined, "cid")
     least = known.groupBy("root").agg(F.min("min_doc").alias("component"))
-    linked = known.join(least, "root").select("cid", "component")
+    linked = known.join(least, "root").select("cid", "root", "component")
     ids = classes.select("cid", "d1", "d2", "min_doc").join(linked, "cid", "left")
-    ids = ids.select("d1", "d2", F.coalesce("component", "min_doc").alias("component"))
+    smallest = F.when(F.col("root").isNull(), F.col("min_doc")).otherwise(F.col("component"))
+    ids = ids.select("d1", "d2", F.coalesce("root", "cid").alias("root"), smallest.alias("component"))
     component: Column = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return (
         rows.select("doc_id", "n_shingles", "d1", "d2", "text_key")
         .join(ids, ["d1", "d2"], "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"), "text_key")
+        .select("doc_id", "n_shingles", component.alias("component_id"), "text_key", "root")
         .select(
             "doc_id",
             "n_shingles",
             "component_id",
             F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
             "text_key",
+            F.when(F.col("n_shingles") > 0, F.col("root")).alias("component"),
         )
     )
+
+
+def one_of_each(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """Rows of ``docs``: of each component one, all of texts without words.
+
+    It is the row with the smallest id, among equal ids the smallest hash of
+    the text; a null id is the last. Of rows that repeat id and text one stays.
+    """
+    found = near_duplicates(docs, similar)
+    rows = found.filter("n_shingles > 0").groupBy("component", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "rows")).alias("first")
+    chosen = rows.groupBy("component").agg(first).select("first.doc_id", "first.text_key", "first.rows")
+    without = found.filter("n_shingles = 0").select("doc_id", "text_key").distinct().withColumn("rows", F.lit(1))
+    chosen = chosen.unionByName(without).toDF("own_doc_id", "own_text_key", "own_rows")
+    prefix = "own_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"{prefix}_"
+    chosen = chosen.toDF(*[f"{prefix}{c}" for c in ("doc_id", "text_key", "rows")])
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(f"{prefix}doc_id"))
+    same &= F.xxhash64("text") == F.col(f"{prefix}text_key")
+    alone, several = (docs.join(chosen.filter(f"{prefix}rows {how}"), same, "left_semi") for how in ("= 1", "> 1"))
+    return alone.unionByName(several.dropDuplicates(["doc_id", "text"]))

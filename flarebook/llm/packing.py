@@ -12,16 +12,17 @@ import json
 import re
 import struct
 from collections.abc import Iterator
-from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flarebook.llm.tables import utf8, word_chunks
+from flarebook.llm.tables import held_here, utf8, word_chunks
 
 END_OF_TEXT = 1
-KNOWN_PIECES = 350_000
+KNOWN_PIECES = 300_000
+KNOWN_BYTES = 24_000_000  # of these pieces and their ids
+IDS_AT_ONCE = 1_000_000  # in a batch of pieces
 
 # How the tokenizer splits normalized text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -37,13 +38,13 @@ class WordTokens(dict):
     are those of its words. Where the tokenizer splits words by ``SPLIT`` after
     making them lower case, and a word has plain characters only, its pieces
     are looked up; otherwise whole words are. When more than ``most`` pieces
-    are known, only those that are met again before that many new ones stay;
-    that bounds memory and changes no result.
+    or ``most_bytes`` of them are known, only those that are met again before
+    that many new ones stay; that bounds memory and changes no result.
     """
 
-    def __init__(self, tokenizer, most: int = KNOWN_PIECES):
+    def __init__(self, tokenizer, most: int = KNOWN_PIECES, most_bytes: int = KNOWN_BYTES):
         super().__init__()
-        self.tokenizer, self.most = tokenizer, most
+        self.tokenizer, self.most, self.most_bytes, self.bytes = tokenizer, most, most_bytes, 0
         self.older: dict[str, bytes] = {}
         shape = json.loads(tokenizer.to_str())
         steps = (shape["pre_tokenizer"] or {}).get("pretokenizers", [{}])
@@ -66,14 +67,16 @@ class WordTokens(dict):
         return self._join(pieces)
 
     def _join(self, pieces: list[str]) -> bytes:
-        if len(self) > self.most:
-            self.older = dict(self)
+        if len(self) > self.most or self.bytes > self.most_bytes:
+            self.older = dict(self) if self.bytes <= 2 * self.most_bytes else {}
             self.clear()
+            self.bytes = 0
         return b"".join(map(self.__getitem__, pieces))
 
     def __missing__(self, piece: str) -> bytes:
         found = self.older.get(piece) or self._encoded(piece)
         self[piece] = found
+        self.bytes += len(piece) + len(found)
         return found
 
     def _encoded(self, piece: str) -> bytes:
@@ -85,12 +88,11 @@ class WordTokens(dict):
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
-@cache
 def _words(path: str) -> WordTokens:
     """One per Python worker, kept from task to task."""
     from tokenizers import Tokenizer
 
-    return WordTokens(Tokenizer.from_file(path))
+    return held_here(f"words of {path}", lambda: WordTokens(Tokenizer.from_file(path)))
 
 
 def binary_pieces(n: int, longest: int) -> Iterator[tuple[int, int]]:
@@ -135,7 +137,7 @@ def pack(
                 for start, length in binary_pieces(total, longest):
                     held.append((doc, start, length, ids[4 * start : 4 * (start + length)], total))
                     weight += length
-                    if weight >= 4_000_000:
+                    if weight >= IDS_AT_ONCE:
                         yield _rows(held)
                         held, weight = [], 0
             if held:

@@ -70,7 +70,7 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     from flarebook.llm.near_dup import near_duplicates
 
-    return near_duplicates(table(spark, folder, "documents")).drop("text_key")
+    return near_duplicates(table(spark, folder, "documents")).drop("text_key", "component")
 
 
 def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,7 +95,7 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     from flarebook.llm.mixing import mix
 
-    return mix(table(spark, folder, "documents")).drop("shards")
+    return mix(table(spark, folder, "documents")).drop("shards", "source", "text_key")
 
 
 def op9_top_k(spark: SparkSession, folder: str) -> DataFrame:

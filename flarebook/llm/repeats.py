@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from flarebook.llm.near_dup import Powers, U, mixed
-from flarebook.llm.tables import scratch, utf8
+from flarebook.llm.tables import held_here, scratch, utf8
 
 LENGTH = 200
 PIECE = 32
@@ -291,6 +291,7 @@ def repeated_anchors(texts: DataFrame, length: int, folder: str) -> DataFrame:
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_here("anchors", dict)
         for batch in batches:
             ids, keys = batch.column("doc_id"), batch.column("key")
             held: list[tuple] = []

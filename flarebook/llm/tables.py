@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,28 @@ WORD = r"[^\x20\x09-\x0D]+"
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
+def give_back() -> None:
+    """Hand memory that is free again back to the system, as a worker lives on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+Held = TypeVar("Held")
+_held: dict[str, object] = {}
+
+
+def held_here(name: str, make: Callable[[], Held]) -> Held:
+    """What one operator keeps in this Python worker from task to task; what another one kept goes first."""
+    if name not in _held:
+        if _held:
+            _held.clear()
+            give_back()
+        _held[name] = make()
+    return _held[name]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import random
+from fractions import Fraction
 
 import pytest
 from flarebook.llm import chat, mixing
@@ -163,13 +166,49 @@ def test_mix_comes_near_and_is_repeatable(spark):
 
 
 def test_dealt_copies_are_shuffled_in_their_shard(spark):
-    mixed = mixing.mix(documents(spark, [(i, "a b c", "en", "a") for i in range(400)]))
-    copies = mixing.deal(mixed).collect()
-    by_shard: dict = {}
-    for row in copies:
-        by_shard.setdefault(row.shard, []).append(row.doc_id)
-    assert len(copies) == 600
-    assert any(ids != sorted(ids) for ids in by_shard.values())
+    docs = documents(spark, [(i, "a b c", "en", "a") for i in range(400)])
+    mixed = mixing.mix(docs)
+    copies = mixing.deal(docs, mixed)
+    assert copies.columns == docs.columns
+    shard_of = {r.doc_id: sorted(r.shards) for r in mixed.collect()}
+    ids = [r.doc_id for r in copies.collect()]
+    assert sorted(ids) == sorted(i for i, shards in shard_of.items() for _ in shards) and len(ids) == 600
+    # In the order of the shards, and in each in no order of the ids.
+    at = {}
+    for place, i in enumerate(ids):
+        at.setdefault(i, []).append(place)
+    alone = [i for i in ids if len(at[i]) == 1]
+    assert [shard_of[i][0] for i in alone] == sorted(shard_of[i][0] for i in alone) and alone != sorted(alone)
+
+
+def test_copies_of_rows_that_share_an_id(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 7, 8]), " ".join(["w"] * rng.randint(1, 9)), "en", rng.choice("aab")) for _ in range(500)]
+    docs = documents(spark, rows)
+    mixed = mixing.mix(docs)
+    wanted, got = {}, {}
+    for r in mixed.collect():
+        key = (r.doc_id, r.source, r.size)
+        wanted[key] = wanted.get(key, 0) + len(r.shards)
+    for r in mixing.deal(docs, mixed).collect():
+        key = (r.doc_id, r.source, words(r.text))
+        got[key] = got.get(key, 0) + 1
+    assert got == {key: n for key, n in wanted.items() if n}
+
+
+@pytest.mark.parametrize("total, marked, drawn", [(1024, 512, 512), (3000, 1000, 1500), (40, 7, 20), (5, 5, 2)])
+def test_draws_follow_the_distribution(spark, total, marked, drawn):
+    chances = [(i + 0.5) / 200 for i in range(200)]
+    frame = spark.createDataFrame([(c,) for c in chances], "chance double")
+    found = mixing.hypergeometric(F.lit(total), F.lit(marked), F.lit(drawn), F.col("chance"))
+    got = [r[0] for r in frame.select(found).collect()]
+    exact = [
+        Fraction(math.comb(marked, k) * math.comb(total - marked, drawn - k), math.comb(total, drawn))
+        for k in range(max(0, drawn - total + marked), min(drawn, marked) + 1)
+    ]
+    below = list(itertools.accumulate(map(float, exact)))
+    least = max(0, drawn - total + marked)
+    assert got == [least + next(k for k, c in enumerate(below) if chance < c) for chance in chances]
 
 
 def test_no_rows(spark):

@@ -119,3 +119,17 @@ def test_documents_with_letters_stay_without_a_learned_language(spark, labelled)
     langs = corpus_pipeline.identify_language(spark, docs, "")
     wanted = [(r.doc_id, r.text, r.lang, r.source) for r in docs.collect() if r.text and any(map(str.isalpha, r.text))]
     assert langs.columns == docs.columns and content(langs) == sorted(wanted, key=str) and len(wanted) > 10
+
+
+def test_one_of_each_group_stays_where_ids_repeat_or_are_null(spark):
+    base = " ".join(f"word{i}" for i in range(200))
+    other = " ".join(f"other{i}" for i in range(200))
+    rows = [
+        (7, base + " a", "en", "a"), (7, base + " b", "en", "a"), (7, base + " b", "en", "a"),
+        (None, other + " a", "en", "a"), (None, other + " b", "en", "b"), (None, "alone it is here now", "en", "b"),
+        (7, "another text of that id", "en", "a"), (9, other[::-1], "en", "a"), (9, "the same id again here", "en", "a"),
+    ]
+    got = content(corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), ""))
+    texts = [r[1] for r in got]
+    assert sum(t.startswith("word0 ") for t in texts) == 1 and sum(t.startswith("other0 ") for t in texts) == 1
+    assert sorted(t for t in texts if not t.startswith(("word0 ", "other0 "))) == sorted(r[1] for r in rows[5:])
