@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flarebook.llm import language, mixing, near_dup, packing, repeats
@@ -47,17 +47,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, that with the smallest id; of rows that repeat it, one."""
-    kept = near_dup.near_duplicates(docs).filter("kept")
-    own_id, own_key, rows = unused(docs, "id", "key", "rows")
-    ids = kept.groupBy(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key)).agg(
-        F.count(F.lit(1)).alias(rows)
-    )
-    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_key))
-
-    def where(condition: Column) -> DataFrame:
-        return docs.join(ids.filter(condition), same, "left_semi")
-
-    return where(F.col(rows) == 1).unionByName(where(F.col(rows) > 1).dropDuplicates(["doc_id", "text"]))
+    return near_dup.one_of_each(docs).select(*docs.columns)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,11 +61,8 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document, none to two, as the mix takes."""
-    own_id, copies, copy = unused(docs, "id", "copies", "copy")
-    decided = mixing.mix(docs).groupBy(F.col("doc_id").alias(own_id)).agg(F.max(F.size("shards")).alias(copies))
-    taken = docs.join(decided.filter(F.col(copies) > 0), F.col("doc_id").eqNullSafe(F.col(own_id)))
-    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns)
+    """As many copies of each document, none to two, as the mix takes, dealt to shards and shuffled in each."""
+    return mixing.deal(docs, mixing.mix(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
