@@ -12,6 +12,10 @@ projections when that would repeat costly work, so each is built once per row.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +38,22 @@ REST_OF_ENTRY = 2_147_483_647
 ENTRIES = "notice_entries"
 NAMES = "notice_names"
 
+_SOURCE: ContextVar[Callable[[str], Column]] = ContextVar("_SOURCE", default=lambda name: F.col(name))
+
+
+@contextmanager
+def read_from(source: Callable[[str], Column]) -> Iterator[None]:
+    """Field expressions made meanwhile read the two arrays from ``source`` and not from columns of a frame."""
+    token = _SOURCE.set(source)
+    try:
+        yield
+    finally:
+        _SOURCE.reset(token)
+
+
+def _of_notice(name: str) -> Column:
+    return _SOURCE.get()(name)
+
 
 def entries(payload: Column) -> Column:
     """Entries in reverse order, so that the first hit is the last occurrence.
@@ -61,9 +81,9 @@ def with_entries(frame: DataFrame, payload: str = "payload") -> DataFrame:
 
 def entry_value(name: Column | str) -> Column:
     """Text behind the first colon of the last entry called ``name``."""
-    position = F.array_position(F.col(NAMES), name).cast("int")
+    position = F.array_position(_of_notice(NAMES), name).cast("int")
     length = F.lit(len(name)) if isinstance(name, str) else F.length(name)
-    return F.substr(F.get(F.col(ENTRIES), position - 1), length + 2)
+    return F.substr(F.get(_of_notice(ENTRIES), position - 1), length + 2)
 
 
 def one_line(value: Column) -> Column:
@@ -82,15 +102,15 @@ def text_field(name: str) -> Column:
 
 def joined_entries(name: str = REPEATED_FIELD) -> Column:
     """All occurrences in order, joined by one space; empty ones are skipped."""
-    found = F.filter(F.col(ENTRIES), lambda e: F.startswith(e, F.lit(f"{name}:")))
+    found = F.filter(_of_notice(ENTRIES), lambda e: F.startswith(e, F.lit(f"{name}:")))
     values = F.transform(found, lambda e: one_line(F.substring(e, len(name) + 2, REST_OF_ENTRY)))
     kept = F.filter(F.reverse(values), lambda v: v != "")
-    return F.when(F.array_contains(F.col(NAMES), name), F.array_join(kept, " "))
+    return F.when(F.array_contains(_of_notice(NAMES), name), F.array_join(kept, " "))
 
 
 def other_fields(known: tuple[str, ...]) -> Column:
     """Map of all fields outside ``known``, null if there are none."""
-    found = F.slice(F.col(NAMES), F.lit(1), F.size(F.col(NAMES)) - 1)
+    found = F.slice(_of_notice(NAMES), F.lit(1), F.size(_of_notice(NAMES)) - 1)
     unknown = F.array_except(found, F.array(*[F.lit(k) for k in known]))
     values = F.transform(unknown, lambda name: one_line(entry_value(name)))
     return F.when(F.size(unknown) > 0, F.map_from_arrays(unknown, values))

@@ -130,6 +130,24 @@ def fact_notices(silver: DataFrame) -> DataFrame:
     )
 
 
+# Size of a day's sketch of delays.
+SKETCH_SIZE = 4096
+
+
+def latency_sketches(timing: DataFrame) -> DataFrame:
+    """Of each day the delays as a sketch of bounded size, their number and the longest.
+
+    Sketches of days add up to that of all, so a report reads no delays.
+    """
+    delay = F.col("notice_latency_seconds")
+    known = timing.where(delay.isNotNull()).groupBy(BURST_DAY)
+    return known.agg(
+        F.kll_sketch_agg_bigint(delay, F.lit(SKETCH_SIZE)).alias("sketch"),
+        F.count(F.lit(1)).alias("notice_times"),
+        F.max(delay).alias("worst_seconds"),
+    )
+
+
 # Table name, business key and builder; a dimension comes before what refers to it.
 GOLD_TABLES = (
     ("dim_sun_moon_coords", "sun_moon_key", sun_moon_dimension),

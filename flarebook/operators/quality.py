@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OFFSETS_PER_RANGE = 1_000_000
@@ -33,6 +33,31 @@ def reconcile(bronze: DataFrame, clean: DataFrame, quarantined: DataFrame) -> Da
     return counts.withColumn("is_balanced", balanced).join(gaps, keys, "left")
 
 
+def missing_ranges(bronze: DataFrame, offsets_per_range: int = OFFSETS_PER_RANGE) -> DataFrame:
+    """``topic``, ``partition``, ``first_missing``, ``last_missing``, ``missing_offsets`` of each gap.
+
+    A gap is a run of offsets between the first and the last one of a broker
+    partition that no Bronze row has. Offsets are sorted within ranges, so a
+    partition of the broker with most of all rows is spread over many tasks;
+    only the two ends of each range meet, to find what is missing across them.
+    """
+    place = ["topic", "partition"]
+    used = bronze.select(*place, "offset").distinct()
+    used = used.withColumn("offset_range", F.floor(F.col("offset") / offsets_per_range))
+    following = F.lead("offset").over(Window.partitionBy(*place, "offset_range").orderBy("offset"))
+    inside = used.select(*place, F.col("offset").alias("before"), following.alias("after"))
+    ends = used.groupBy(*place, "offset_range").agg(F.min("offset").alias("least"), F.max("offset").alias("before"))
+    next_range = F.lead("least").over(Window.partitionBy(*place).orderBy("offset_range"))
+    across = ends.select(*place, "before", next_range.alias("after"))
+    gaps = inside.unionByName(across).where(F.col("after") > F.col("before") + 1)
+    return gaps.select(
+        *place,
+        (F.col("before") + 1).alias("first_missing"),
+        (F.col("after") - 1).alias("last_missing"),
+        (F.col("after") - F.col("before") - 1).alias("missing_offsets"),
+    )
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str, relation: str) -> DataFrame:
     """Count of keys and rows of ``child`` that point nowhere.
 

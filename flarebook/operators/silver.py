@@ -114,6 +114,38 @@ def parse_notices(
     return found.select(*map(column, names), *LINEAGE, "raw_payload")
 
 
+def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` over a value that is computed once, however often it is used there."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def parsed_notice(payload: Column | str) -> Column:
+    """All notice columns of a payload as one struct, for any ``select`` of a batch or a stream.
+
+    The payload is cut once. ``parse_notices`` builds only the columns that a
+    query asks for and is the faster way to a table.
+    """
+
+    def cut(entries: Column) -> Column:
+        return F.struct(entries.alias(t.ENTRIES), t.names(entries).alias(t.NAMES))
+
+    def found(notice: Column) -> Column:
+        with t.read_from(lambda name: notice[name]):
+            return F.struct(*[make().alias(part) for part, make in FOUND.items()])
+
+    def combined(parts: Column) -> Column:
+        columns = {}
+        for name in NOTICE_TYPES:
+            needed, combine = COMBINED.get(name, ((name,), lambda value: value))
+            columns[name] = combine(*[parts[part] for part in needed])
+        return F.struct(*[column.alias(name) for name, column in columns.items()])
+
+    text = F.col(payload) if isinstance(payload, str) else payload
+    return _bound(
+        t.entries(text), lambda entries: _bound(cut(entries), lambda notice: _bound(found(notice), combined))
+    )
+
+
 def cleaned(silver: DataFrame) -> DataFrame:
     return silver.where("is_parsed")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from flarebook.functions.keys import surrogate_key
-from flarebook.operators.gold import BURST_DAY, GOLD_DAYS, GOLD_SCOPES, GOLD_TABLES
+from flarebook.operators.gold import BURST_DAY, GOLD_DAYS, GOLD_SCOPES, GOLD_TABLES, burst_day, latency_sketches
 from flarebook.workspace import children, read_lines, remove, write_lines
 
 # Formats whose tables take MERGE INTO.
@@ -24,6 +24,10 @@ COMPLETE, SWITCHED = "_complete", "_switched"
 BUCKET = "key_bucket"
 BUCKETS = 32
 
+# The delays of each day, and the folder of a day's row.
+SKETCHES = "latency_sketches"
+BURST_YEAR = "burst_year"
+
 
 def create_schemas(spark: SparkSession, names: list[str], location: str | None = None) -> None:
     for name in names:
@@ -229,7 +233,7 @@ def build_gold(
 
     With ``changed`` notices only, just their triggers, positions and times are
     built again, each from all of its notices. A table that is not there yet is
-    built in full.
+    built in full. The days' latency sketches follow the timing table.
     """
     spark = silver.sparkSession
     there = {name: spark.catalog.tableExists(f"{schema}.{name}") for name, _, _ in GOLD_TABLES}
@@ -245,3 +249,9 @@ def build_gold(
     finally:
         if found is not None:
             remove(spark, folder)
+    sketches = f"{schema}.{SKETCHES}"
+    timing = spark.read.table(f"{schema}.dim_event_timing")
+    if found is not None and spark.catalog.tableExists(sketches):
+        timing = timing.where(_in(BURST_DAY, [row[0] for row in changed.select(burst_day()).distinct().collect()]))
+    rows = latency_sketches(timing).withColumn(BURST_YEAR, F.year(BURST_DAY))
+    upsert(rows, sketches, BURST_DAY, f"{root}/{SKETCHES}", file_format, BURST_YEAR)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from flarebook.operators.bronze import to_bronze
-from flarebook.operators.gold import GOLD_TABLES
+from flarebook.operators.gold import GOLD_TABLES, latency_sketches
 from flarebook.operators.silver import cleaned, quarantine
 from flarebook.operators.upsert import folder_column, in_folders, laid_out
 from flarebook.session import configure_session
@@ -85,3 +85,7 @@ class Layers:
 
     def sun_moon(self) -> DataFrame:
         return self.gold("dim_sun_moon_coords")
+
+    def latency_sketches(self) -> DataFrame:
+        path = self._stored("latency-sketches", lambda path: latency_sketches(self.timing()).write.parquet(path))
+        return self.spark.read.parquet(path)

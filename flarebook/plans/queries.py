@@ -17,12 +17,12 @@ from flarebook.functions.geometry import angular_separation
 from flarebook.functions.keys import surrogate_key
 from flarebook.operators import gold, quality
 from flarebook.operators.arrow_cut import with_arrow_entries
-from flarebook.operators.arrow_parse import parse_in_python
-from flarebook.operators.silver import parse_notices
+from flarebook.operators.arrow_parse import parse_in_python, register
+from flarebook.operators.silver import parse_notices, parsed_notice
 from flarebook.operators.upsert import build_gold, create_schemas, table_files
 from flarebook.plans import reports
 from flarebook.plans.layers import Layers
-from flarebook.schemas import POSITION, SKY_CONTEXT
+from flarebook.schemas import LINEAGE, POSITION, SKY_CONTEXT
 from flarebook.sources.records import replay_stream
 from flarebook.streaming import jobs
 from flarebook.workspace import new_folder
@@ -33,6 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SAMPLE_NOW = "2024-02-10 00:00:00"
 SAMPLE_MIDDLE = "2024-01-16 00:00:00"
 REPLAY_FILES_PER_BATCH = 4
+SAMPLE_OFFSETS_PER_RANGE = 1000
 
 
 def time_text(column: str) -> Column:
@@ -159,6 +160,29 @@ def parse_python_equals_native(layers: Layers) -> DataFrame:
     return quality.differences(parse_in_python(bronze), parse_notices(bronze), ["topic", "partition"])
 
 
+def parse_as_column(layers: Layers) -> DataFrame:
+    """The parse as one column of a select."""
+    found = layers.bronze().select(parsed_notice("payload").alias("notice"), *LINEAGE, F.col("payload").alias("raw_payload"))
+    return _notices(found.select("notice.*", *LINEAGE, "raw_payload"), layers)
+
+
+def parse_in_sql(layers: Layers) -> DataFrame:
+    """The parse as a function of SQL."""
+    register(layers.spark)
+    found = layers.spark.sql(
+        f"SELECT parsed_notice(payload) AS notice, {', '.join(f'`{c}`' for c in LINEAGE)}, payload AS raw_payload"
+        " FROM {bronze}",
+        bronze=layers.bronze(),
+    )
+    return _notices(found.select("notice.*", *LINEAGE, "raw_payload"), layers)
+
+
+def latency_sketches(layers: Layers) -> DataFrame:
+    """Whether the percentiles out of the days' sketches are as near as promised."""
+    found = reports.latency_percentiles_of(layers.latency_sketches()).first()
+    return reports.rank_errors(layers.timing(), *found, reports.SKETCH_ERROR)
+
+
 def replay_dedupe(layers: Layers) -> DataFrame:
     """All notices delivered a second time leave the fact as it was."""
     silver = layers.cleaned()
@@ -280,6 +304,8 @@ def queries() -> dict[str, Query]:
         "gold_upsert_tables": gold_upsert_tables,
         "gold_upsert_idempotent": gold_upsert_idempotent,
         "replay_dedupe": replay_dedupe,
+        "parse_as_column": parse_as_column,
+        "parse_in_sql": parse_in_sql,
         # Functions
         "surrogate_key": surrogate_keys,
         "cal_attributes": lambda s: s.cleaned().select("offset", *gold.calendar_parts()),
@@ -299,10 +325,12 @@ def queries() -> dict[str, Query]:
         "dq_orphan_keys": lambda s: quality.orphan_keys(s.fact(), s.timing(), s.spatial(), s.sun_moon()),
         "dq_fact_grain": lambda s: quality.fact_grain(s.fact()),
         "dq_reconcile": lambda s: quality.reconcile(s.bronze(), s.cleaned(), s.quarantine()),
+        "dq_missing_offsets": lambda s: quality.missing_ranges(s.bronze(), SAMPLE_OFFSETS_PER_RANGE),
         "dq_rescued_keys": lambda s: quality.unknown_field_counts(s.silver()),
         # Reports
         "q_recent_bursts": recent_bursts,
         "q_latency_percentiles": lambda s: reports.latency_rank_errors(s.timing()),
+        "q_latency_sketches": latency_sketches,
         "q_latency_percentiles_exact": lambda s: reports.latency_percentiles_exact(s.timing()),
         "q_followup_candidates": lambda s: reports.followup_candidates(s.fact(), s.spatial(), s.sun_moon()),
         "q_localisation_drift": localisation_drift,

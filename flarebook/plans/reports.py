@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from flarebook.functions.geometry import angular_separation
 from flarebook.functions.keys import revision_order
-from flarebook.operators.gold import BURST_DAY
+from flarebook.operators.gold import BURST_DAY, SKETCH_SIZE
 
 
 def recent_bursts(fact: DataFrame, timing: DataFrame, spatial: DataFrame, now: Column | None = None) -> DataFrame:
@@ -46,15 +46,14 @@ def latency_percentiles(timing: DataFrame) -> DataFrame:
 ACCURACY = 10_000
 
 
-def latency_rank_errors(timing: DataFrame) -> DataFrame:
-    """Whether each approximate percentile is as near as promised, and the exact maximum."""
-    median, p90, worst = latency_percentiles(timing).first()
+def rank_errors(timing: DataFrame, median: int | None, p90: int | None, worst: int | None, error: float) -> DataFrame:
+    """Whether values have the rank of a percentile, but for a share ``error`` of the rows, and the maximum."""
     delay = F.col("notice_latency_seconds")
 
     def near(value: int | None, share: float, name: str) -> Column:
         known = F.count(delay)
         below, up_to = F.count_if(delay < F.lit(value)), F.count_if(delay <= F.lit(value))
-        low, high = share * known - known / ACCURACY - 1, share * known + known / ACCURACY + 1
+        low, high = share * known - known * error - 1, share * known + known * error + 1
         return ((below <= high) & (up_to >= low)).alias(name)
 
     return timing.agg(
@@ -62,6 +61,28 @@ def latency_rank_errors(timing: DataFrame) -> DataFrame:
     )
 
 
+def latency_rank_errors(timing: DataFrame) -> DataFrame:
+    """Whether each approximate percentile is as near as promised, and the exact maximum."""
+    return rank_errors(timing, *latency_percentiles(timing).first(), 1 / ACCURACY)
+
+
+# What percentiles of sketches may be off by, as a share of the rows: four times
+# the error that sketches of this size keep with 99 % certainty.
+SKETCH_ERROR = 0.005
+
+
+def latency_percentiles_of(sketches: DataFrame) -> DataFrame:
+    """The percentiles from stored sketches, within ``SKETCH_ERROR`` of their ranks; the maximum is exact."""
+    whole = sketches.agg(
+        F.kll_merge_agg_bigint("sketch", F.lit(SKETCH_SIZE)).alias("sketch"), F.max("worst_seconds").alias("worst_seconds")
+    )
+    ranked = lambda share: F.kll_sketch_get_quantile_bigint("sketch", F.lit(share))
+    known = F.col("worst_seconds").isNotNull()
+    return whole.select(
+        F.when(known, ranked(0.5)).alias("median_seconds"), F.when(known, ranked(0.9)).alias("p90_seconds"), "worst_seconds"
+    )
+
+
 # Two times in the years 1 to 9999 differ by less than 2**39 seconds, so with
 # these bit widths no step below looks at more than 2**14 groups.
 LATENCY_SHIFTS = (26, 13, 0)

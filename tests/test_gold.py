@@ -195,3 +195,24 @@ def test_quality_counts(spark):
     assert [tuple(r) for r in quality.unknown_field_counts(every).collect()] == [("NEW", 2)]
     window = reports.quarantine_window(every.where("NOT is_parsed")).collect()[0]
     assert window.notices == 1 and window.first_at == window.last_at
+
+
+@pytest.mark.parametrize("size", [1, 3, 10, 1000])
+def test_missing_ranges_across_borders(spark, size):
+    offsets = [1, 2, 2, 5, 9, 10, 35, 36]
+    rows = [("t", 0, o) for o in offsets] + [("t", 1, 7), ("u", 0, 3), ("u", 0, 4)]
+    frame = spark.createDataFrame(rows, "topic string, partition int, offset long")
+    found = quality.missing_ranges(frame, size).collect()
+    assert sorted(tuple(r) for r in found) == [("t", 0, 3, 4, 2), ("t", 0, 6, 8, 3), ("t", 0, 11, 34, 24)]
+
+
+def test_sketches_add_up(spark):
+    rows = [(f"2024-01-{1 + i % 9:02d}", (i * 7919) % 10_007) for i in range(20_000)] + [("2024-01-10", None)]
+    timing = spark.createDataFrame(rows, "day string, notice_latency_seconds long")
+    timing = timing.select(F.to_date("day").alias("burst_day"), "notice_latency_seconds")
+    sketches = gold.latency_sketches(timing)
+    assert sketches.agg(F.sum("notice_times")).first()[0] == 20_000 and sketches.count() == 9
+    found = reports.latency_percentiles_of(sketches).first()
+    assert tuple(reports.rank_errors(timing, *found, reports.SKETCH_ERROR).first()) == (True, True, 10_006)
+    none = reports.latency_percentiles_of(sketches.limit(0)).first()
+    assert tuple(none) == (None, None, None)

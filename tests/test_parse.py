@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from flarebook.functions import extract as x
 from flarebook.functions import notice_text as t
 from flarebook.operators.arrow_cut import with_arrow_entries
-from flarebook.operators.arrow_parse import parse_in_python
+from flarebook.operators.arrow_parse import parse_in_python, register
 from flarebook.operators.quality import differences
-from flarebook.operators.silver import parse_notices
+from flarebook.operators.silver import parse_notices, parsed_notice
 from flarebook.schemas import NOTICE_TYPES, SILVER
 from notices import FULL, STRAY, bronze_frame, notice
 
@@ -325,3 +325,32 @@ def test_patterns_find_the_first_number_as_before(spark):
 def test_dates_of_another_form_are_not_read(spark, value):
     row = parse_notices(bronze_frame(spark, [notice(f"NOTICE_DATE: {value}")])).collect()[0]
     assert row.notice_time is None and row.is_parsed
+
+
+def test_one_column_is_the_whole_parse(spark, tmp_path):
+    payloads = [FULL, STRAY, "", None, notice("RECORD_NUM: 3", "COMMENTS: a", "COMMENTS: b", "X_NEW: y")]
+    bronze = bronze_frame(spark, payloads)
+    found = bronze.select(parsed_notice("payload").alias("notice"), "offset").select("notice.*", "offset")
+    wanted = parse_notices(bronze).select(*found.columns)
+    shown = lambda frame: sorted(map(str, frame.collect()))
+    assert shown(found) == shown(wanted) and found.dtypes == wanted.dtypes
+    # The payload is cut once, whatever is read from the struct.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?=[A-Z]") == 1
+    # In a stream, as in SQL.
+    bronze.write.parquet(str(tmp_path / "bronze"))
+    stream = spark.readStream.schema(bronze.schema).parquet(str(tmp_path / "bronze"))
+    seen = []
+    query = (
+        stream.select(parsed_notice(F.col("payload")).alias("notice"), "offset")
+        .select("notice.*", "offset")
+        .writeStream.foreachBatch(lambda batch, _: seen.append(shown(batch)))
+        .option("checkpointLocation", str(tmp_path / "progress"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    assert seen == [shown(wanted)]
+    register(spark, "notice_of")
+    in_sql = spark.sql("SELECT notice_of(payload) AS notice, offset FROM {rows}", rows=bronze).select("notice.*", "offset")
+    assert shown(in_sql) == shown(wanted)
