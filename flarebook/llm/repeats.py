@@ -10,6 +10,9 @@ suffixes that begin at anchors, each with the bytes before it:
 * Each task sorts its suffixes and sends them as front-coded runs. A run's
   reader merges all runs of its part with a loser tree that keeps the common
   prefix of each loser with its winner and compares from there on only.
+* A group of more suffixes than a merge holds is split by what its strings have
+  in common besides the piece, further bytes behind it or before it, and goes
+  to as many merge groups.
 * Neighbours in that order have the longest common prefixes. Joining them from
   the longest down, next to those with the longest common text before the
   anchor, tells for each suffix which strings around its anchor repeat.
@@ -21,6 +24,7 @@ import struct
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +41,7 @@ PIECE = 32
 CHUNK = 1 << 20  # strings looked at together
 RUN_BYTES = 24_000_000  # of suffixes that a task sorts at once
 ROWS_AT_ONCE = 200_000  # anchors or strings that a task sends on together
-HOT = 2000  # contexts around a piece that one merge holds
-SALTS = 256  # ways that the rows of one string around a hot piece are dealt
+HOT = 2000  # contexts around a piece, or more common bytes, that one merge group holds
 BYTES = np.arange(1, 257, dtype=np.uint64)
 
 
@@ -285,7 +288,7 @@ def keyed(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
 def repeated_anchors(texts: DataFrame, length: int, folder: str) -> DataFrame:
     """Anchors whose piece occurs twice: ``whole`` if all their context does, ``wanted`` if it must be looked at.
 
-    ``hot`` ones have a piece with more than ``HOT`` contexts. Of a context that
+    ``hot`` ones have a piece with more than ``HOT`` contexts, to be split. Of a context that
     a chunk of a text has more than once only the first anchor is there;
     ``spans``, on one of them in a chunk, are what all of them cover.
     """
@@ -338,65 +341,107 @@ def repeated_anchors(texts: DataFrame, length: int, folder: str) -> DataFrame:
     return texts.sparkSession.read.parquet(folder)
 
 
-def hot_spans(texts: DataFrame, hot: DataFrame, length: int) -> DataFrame:
-    """``doc_id``, ``key``, ``start``, ``end`` of what repeats around hot anchors.
+CONTEXTS = "doc_id long, key long, anchor long, least long, most long, whole boolean, bytes binary"
 
-    A hot piece does not go to one merge: each string around it is a key of its
-    own. Strings are counted by a hash of their bytes where they are found, and
-    the rows of one that very many documents have are joined by salt.
-    """
-    spark = texts.sparkSession
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            ids, keys = batch.column("doc_id"), batch.column("key")
-            held: list[tuple] = []
-            size = 0
-            known = zip(ids.to_pylist(), utf8(batch.column("text")), entries(batch.column("items")))
-            for row, (doc, text, fields) in enumerate(known):
-                own = of_document(fields, doc)
-                for at, least, most in zip(*(own[name].tolist() for name in ("anchor", "least", "most"))):
-                    data = np.frombuffer(text[at - most : at - least + length], np.uint8)
-                    Powers.reach(len(data))
-                    sums = np.concatenate(([U(0)], np.cumsum(BYTES[data] * Powers.up[: len(data)])))
-                    found = mixed((sums[length:] - sums[:-length]) * Powers.down[: most - least + 1])
-                    held.append((row, at, np.arange(most, least - 1, -1), found.view(np.int64)))
-                    size += len(found)
-                    if size >= ROWS_AT_ONCE:
-                        yield out(ids, keys, held)
-                        held, size = [], 0
-            if held:
-                yield out(ids, keys, held)
+def contexts_in(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple]:
+    """Of each anchor of joined texts: document, key, anchor, least, most, whole, the bytes of all strings it serves."""
+    for batch in small(batches):
+        known = zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), utf8(batch.column("text")))
+        for (doc, key, text), fields in zip(known, entries(batch.column("items"))):
+            own = of_document(fields, doc)
+            for at, least, most, whole in zip(*(own[name].tolist() for name in ("anchor", "least", "most", "whole"))):
+                yield doc, key, at, least, most, whole, bytes(text[at - most : at - least + length])
 
-    def out(ids: pa.Array, keys: pa.Array, held: list[tuple]) -> pa.RecordBatch:
-        sizes = [len(found) for *_, found in held]
-        which = pa.array(np.repeat([row for row, *_ in held], sizes))
-        places = pa.array(np.repeat([at for _, at, _, _ in held], sizes), pa.int64())
-        columns = [pa.array(np.concatenate([row[i] for row in held]), pa.int64()) for i in (2, 3)]
-        names = ["doc_id", "key", "anchor", "ahead", "string"]
-        return pa.RecordBatch.from_arrays([ids.take(which), keys.take(which), places, *columns], names=names)
-
-    items = hot.groupBy("key").agg(F.collect_list(F.struct("doc_id", "anchor", "least", "most")).alias("items"))
-    folder = scratch(spark, "strings")
-    with_lists(texts.select("doc_id", "key", "text"), items, "items").mapInArrow(
-        strings, "doc_id long, key long, anchor long, ahead long, string long"
-    ).withColumn("salt", F.pmod("key", F.lit(SALTS)).cast("int")).write.parquet(folder)
-    rows = spark.read.parquet(folder)
-    folder = scratch(spark, "counts")
-    (
-        rows.groupBy("ahead", "string")
-        .agg(F.count(F.lit(1)).alias("times"), F.collect_set("salt").alias("salts"))
-        .filter("times > 1")
-        .select("ahead", "string", F.explode("salts").alias("salt"))
-        .write.parquet(folder)
+
+def with_anchors(texts: DataFrame, found: DataFrame) -> DataFrame:
+    items = found.groupBy("key").agg(
+        F.collect_list(F.struct("doc_id", "anchor", "least", "most", "whole")).alias("items")
     )
-    # The strings of one anchor overlap, so those that repeat cover one span.
-    return (
-        rows.join(spark.read.parquet(folder), ["ahead", "string", "salt"])
-        .groupBy("doc_id", "key", "anchor")
-        .agg(F.max("ahead").alias("most"), F.min("ahead").alias("least"))
-        .select("doc_id", "key", *span_of_anchor(length))
+    return with_lists(texts.select("doc_id", "key", "text"), items, "items")
+
+
+CONTEXTS = "doc_id long, key long, anchor long, least long, most long, whole boolean, bytes binary"
+
+
+def contexts(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
+    """The bytes of all strings that each anchor serves."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [one.split()[0] for one in CONTEXTS.split(", ")]
+        kinds = [pa.int64()] * 5 + [pa.bool_(), pa.binary()]
+        for rows in batched(contexts_in(batches, length), 20_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    return with_anchors(texts, found).mapInArrow(cut, CONTEXTS)
+
+
+def halved(rows: DataFrame, length: int) -> DataFrame:
+    """Each context as up to two: for the strings that begin further before the anchor, and for the others.
+
+    ``low`` to ``high`` bytes before the anchor the strings of a group begin, so
+    they have ``low`` bytes before it and ``length - high`` behind in common:
+    ``shared``. ``bytes`` are cut to what the strings of the half have.
+    """
+    middle = F.floor((F.col("low") + F.col("high")) / 2)
+    sides = F.array(
+        F.struct(F.col("low").alias("from"), middle.alias("to")),
+        F.struct((middle + 1).alias("from"), F.col("high").alias("to")),
     )
+    cut = rows.withColumn("side", F.explode(sides)).select(
+        "doc_id", "key", "anchor", "whole", "bytes", F.col("most").alias("had"), F.col("side.from").alias("low"),
+        F.col("side.to").alias("high"), F.greatest("least", "side.from").alias("least"),
+        F.least("most", "side.to").alias("most"),
+    ).filter("least <= most")
+    return cut.select(
+        "doc_id", "key", "anchor", "whole", "low", "high", "least", "most",
+        F.expr(f"substring(bytes, CAST(had - most + 1 AS INT), CAST(most - least + {length} AS INT))").alias("bytes"),
+    ).withColumn("shared", F.expr(f"substring(bytes, CAST(most - low + 1 AS INT), CAST(low + {length} - high AS INT))"))
+
+
+def split_groups(rows: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Contexts in groups that a merge holds, and spans of those that are equal as a whole.
+
+    Groups are halved until they are small enough. Contexts that are equal in
+    all that a half has of them are counted, and one of them goes on, so the
+    strings of a passage in very many documents soon are one context, and only
+    the half that reaches over the passage's end is large again. Groups and
+    contexts are told apart by their bytes. In the end a half is one string,
+    and a group one context.
+    """
+    spark = rows.sparkSession
+    context = ["low", "high", "least", "most", "bytes"]
+    ready, spans = None, []
+    rows = rows.withColumn("low", F.lit(0).cast("long")).withColumn("high", F.lit(length - PIECE).cast("long"))
+    while True:
+        folder = scratch(spark, "halves")
+        halved(rows, length).write.parquet(folder)
+        rows = spark.read.parquet(folder)
+        folder = scratch(spark, "contexts")
+        (
+            rows.groupBy(*context)
+            .agg(
+                F.count(F.lit(1)).alias("times"),
+                F.min(F.struct("doc_id", "key", "anchor")).alias("first"),
+                F.bool_or("whole").alias("known"),
+                F.first("shared").alias("shared"),
+            )
+            .write.parquet(folder)
+        )
+        distinct = spark.read.parquet(folder)
+        again = distinct.filter("times > 1").select(*context)
+        spans.append(rows.filter("NOT whole").join(again, context).select("doc_id", "key", *span_of_anchor(length)))
+        sizes = distinct.groupBy("low", "high", "shared").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        folder = scratch(spark, "groups")
+        distinct.join(sizes, ["low", "high", "shared"]).select(
+            "first.*", *context, (F.col("known") | (F.col("times") > 1)).alias("whole"), "size"
+        ).write.parquet(folder)
+        groups = spark.read.parquet(folder)
+        fits = groups.filter(F.col("size") <= HOT).drop("size")
+        ready = fits if ready is None else ready.unionByName(fits)
+        rows = groups.filter(F.col("size") > HOT).drop("size")
+        if rows.isEmpty():
+            return ready, spans
 
 
 def span_of_anchor(length: int) -> list[Column]:
@@ -404,38 +449,58 @@ def span_of_anchor(length: int) -> list[Column]:
     return [start.alias("start"), end.alias("end")]
 
 
-def sorted_runs(texts: DataFrame, wanted: DataFrame, length: int, parts: int) -> DataFrame:
-    """``part``, ``run``: the suffixes at wanted anchors, sorted and front-coded by each task."""
+HEAD = "<HH"  # the least and most bytes before the anchor at which the strings of a merge group begin
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[bytes, bytes]]] = {}
-        size = 0
-        for batch in small(batches):
-            known = zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), utf8(batch.column("text")))
-            for (doc, key, text), fields in zip(known, entries(batch.column("items"))):
-                own = of_document(fields, doc)
-                items = zip(*(own[name].tolist() for name in ("anchor", "least", "most", "whole")))
-                for at, least, most, whole in items:
-                    suffix = bytes(text[at : at + length - least])
-                    before = bytes(text[at - most : at][::-1])
-                    fixed = struct.pack(CONTEXT, doc or 0, key, at, doc is None, least, most, whole)
-                    held.setdefault(zlib.crc32(suffix[:PIECE]) % parts, []).append((suffix, fixed + before))
-                    size += len(suffix) + len(before) + 200
-                    if size >= RUN_BYTES:
-                        yield out(held)
-                        held, size = {}, 0
-        if held:
-            yield out(held)
-
-    def out(held: dict[int, list[tuple[bytes, bytes]]]) -> pa.RecordBatch:
+
+def runs_of(rows: Iterator[tuple], length: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Contexts, each with its group's ``low`` and ``high``, as runs by part: sorted by group and suffix, front-coded.
+
+    A key is a group's place among its like, the bytes that its strings have in
+    common before the anchor, and the suffix.
+    """
+    held: dict[int, list[tuple[bytes, bytes]]] = {}
+    size = 0
+
+    def out() -> pa.RecordBatch:
         coded = [front_coded(sorted(rows)) for rows in held.values()]
         return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.int64()), pa.array(coded)], names=["part", "run"])
 
-    items = wanted.groupBy("key").agg(
-        F.collect_list(F.struct("doc_id", "anchor", "least", "most", "whole")).alias("items")
-    )
-    narrow = texts.select("doc_id", "key", "text")
-    return with_lists(narrow, items, "items").mapInArrow(runs, "part long, run binary")
+    for doc, key, at, least, most, whole, data, low, high in rows:
+        sort_key = struct.pack(HEAD, low, high) + data[most - low :]
+        fixed = struct.pack(CONTEXT, doc or 0, key, at, doc is None, least, most, whole)
+        part = zlib.crc32(sort_key[: group_prefix(low, high, length)]) % parts
+        held.setdefault(part, []).append((sort_key, fixed + data[:most][::-1]))
+        size += len(data) + most + 200
+        if size >= RUN_BYTES:
+            yield out()
+            held, size = {}, 0
+    if held:
+        yield out()
+
+
+def sorted_runs(texts: DataFrame, wanted: DataFrame, length: int, parts: int) -> DataFrame:
+    """``part``, ``run`` of the suffixes at wanted anchors; what has a piece in common is a group."""
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return runs_of(((*row, 0, length - PIECE) for row in contexts_in(batches, length)), length, parts)
+
+    return with_anchors(texts, wanted).mapInArrow(runs, "part long, run binary")
+
+
+def sorted_runs_of_groups(rows: DataFrame, length: int, parts: int) -> DataFrame:
+    """``part``, ``run`` of groups that were split."""
+    names = ("doc_id", "key", "anchor", "least", "most", "whole", "bytes", "low", "high")
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = (row for batch in small(batches) for row in zip(*(batch.column(name).to_pylist() for name in names)))
+        return runs_of(given, length, parts)
+
+    return rows.select(*names).mapInArrow(runs, "part long, run binary")
+
+
+def group_prefix(low: int, high: int, length: int) -> int:
+    """How much of their keys the contexts of a merge group share."""
+    return struct.calcsize(HEAD) + low + length - high
 
 
 def with_lists(texts: DataFrame, lists: DataFrame, name: str, how: str = "inner") -> DataFrame:
@@ -464,10 +529,11 @@ def merged(runs: DataFrame, length: int) -> DataFrame:
             for kept in (prefixes, held, before):
                 kept.clear()
 
-        for shared, _, value in tree:
-            if shared < PIECE:
+        for shared, key, value in tree:
+            low, high = struct.unpack_from(HEAD, key)
+            if shared < group_prefix(low, high, length):
                 close()
-            prefixes.append(shared)
+            prefixes.append(shared - struct.calcsize(HEAD) - low)
             held.append(struct.unpack_from(CONTEXT, value))
             before.append(value[struct.calcsize(CONTEXT) :])
         close()
@@ -515,10 +581,14 @@ def remove_repeats(
     found = repeated_anchors(texts, length, scratch(spark, "anchors"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     moved = texts.repartition(parts, "key")  # once, for both joins
-    resolved = merged(sorted_runs(moved, found.filter("wanted and not hot"), length, parts), length)
-    hot = found.filter("wanted and hot")
+    runs = sorted_runs(moved, found.filter("wanted and not hot"), length, parts)
+    hot, spans = found.filter("wanted and hot"), []
     if not hot.isEmpty():
-        resolved = resolved.unionByName(hot_spans(moved, hot, length))
+        groups, spans = split_groups(contexts(moved, hot, length), length)
+        runs = runs.unionByName(sorted_runs_of_groups(groups, length, parts))
+    resolved = merged(runs, length)
+    for more in spans:
+        resolved = resolved.unionByName(more)
     own = F.array(F.struct(*span_of_anchor(length)))
     whole = found.filter("whole").select("doc_id", "key", F.explode(F.concat(own, "spans")).alias("span"))
     lists = (

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from flarebook.llm import repeats
 from flarebook.llm.repeats import LoserTree, as_text, decoded, front_coded, remove_repeats, repeated
 from fixtures import ROWS, documents, no_documents
@@ -131,24 +132,30 @@ def passage_in_all(n):
     return [(i, text, "en", "a") for i, text in enumerate(texts)] + [(None, texts[0][9:], "en", "a"), (3, texts[3], "en", "a")]
 
 
-def test_hot_pieces_agree_with_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "HOT", 3)
+@pytest.mark.parametrize("hot", [1, 3, 12])
+def test_split_groups_agree_with_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
     monkeypatch.setattr(repeats, "ROWS_AT_ONCE", 50)
     check(spark, passage_in_all(30), 50)
 
 
-def test_no_merge_holds_more_than_hot_contexts_of_a_piece(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "HOT", 10)
-    rows, merges = passage_in_all(40), repeats.sorted_runs
-    seen = []
+def test_split_groups_with_few_letters(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 2)
+    rng = random.Random(6)
+    rows = [(i, "".join(rng.choice("ab") for _ in range(rng.randint(30, 200))), "en", "a") for i in range(80)]
+    check(spark, rows, 40)
 
-    def counted(texts, wanted, length, parts):
-        seen.append(wanted.count())
-        return merges(texts, wanted, length, parts)
 
-    monkeypatch.setattr(repeats, "sorted_runs", counted)
-    check(spark, rows, 50)
-    assert seen[0] < 20  # all edges of the passage are hot
+def test_no_merge_group_holds_more_contexts_than_it_may(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(repeats, "HOT", 10)
+    texts = repeats.keyed(documents(spark, passage_in_all(60)))
+    found = repeats.repeated_anchors(texts, 50, str(tmp_path / "anchors"))
+    hot = repeats.contexts(texts, found.filter("wanted and hot"), 50)
+    assert hot.count() > 100
+    groups, _ = repeats.split_groups(hot, 50)
+    shared = F.expr("substring(bytes, CAST(most - low + 1 AS INT), CAST(low + 50 - high AS INT))")
+    sizes = groups.groupBy("low", "high", shared).count().collect()
+    assert all(1 < row["count"] <= 10 for row in sizes)
 
 
 def test_runs_of_one_character_are_few_rows(spark, tmp_path):
