@@ -101,6 +101,8 @@ def format_chat(messages: DataFrame, expansion: Expansion = Expansion()) -> Data
         F.col("turn").cast("long").alias("turn"),
         F.replace(escape(role), *map(F.lit, NEWLINE)).alias("role"),
         F.array_join(F.transform(parts, visit), "").alias("body"),
+        role.alias("raw_role"),
+        F.array_join(F.transform(parts, lambda p: F.coalesce(p["text"], F.lit(""))), "").alias("raw_text"),
         F.transform(
             F.filter(parts, is_attachment),
             lambda p: F.struct(
@@ -111,7 +113,7 @@ def format_chat(messages: DataFrame, expansion: Expansion = Expansion()) -> Data
             ),
         ).alias("attached"),
     )
-    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "body", "attached"))
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "raw_role", "raw_text", "body", "attached"))
     numbered = turns.withColumn("place", place)
     whole = numbered.groupBy("conv_id").agg(
         F.count(F.lit(1)).alias("n_turns"),

@@ -39,6 +39,7 @@ HELD_OUT = 2  # of the remainders by 4
 MOST_LANGUAGES = 256
 DOCS_PER_LANGUAGE = 400
 WORDS_PER_DOC = 250
+RANK_PARTS = 64
 STEPS = 700
 BATCH = 384
 LEARNING_RATE = 0.01
@@ -276,10 +277,11 @@ def train(
     docs_per_language: int = DOCS_PER_LANGUAGE,
     words_per_doc: int = WORDS_PER_DOC,
     steps: int = STEPS,
+    most_languages: int | None = MOST_LANGUAGES,
 ) -> Network:
     """Fit the network on a bounded sample of the labelled documents that are not held out.
 
-    Learns the ``MOST_LANGUAGES`` most frequent languages. At most ``docs_per_language`` documents of each language (those first in
+    Learns the ``most_languages`` most frequent languages, or all. At most ``docs_per_language`` documents of each language (those first in
     the order of a hash of ``doc_id``; rows with equal id and text are one), at most ``words_per_doc`` words of
     each, spread evenly over its whole text, at most 256 characters of a word.
     """
@@ -294,12 +296,18 @@ def train(
         F.sequence(F.lit(0), F.least(F.size("words"), F.lit(words_per_doc)) - 1),
         lambda i: F.substring(F.get("words", F.floor(i * step).cast("int")), 1, 256),
     )
-    ranked = labelled.select(document).distinct().withColumn("turn", F.row_number().over(turn))
-    frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    ids = ranked.filter(F.col("turn") <= docs_per_language).join(F.broadcast(frequent), "lang", "left_semi")
-    # At most MOST_LANGUAGES * docs_per_language rows, also where ids or whole rows repeat.
+    # The first of each part of a language, before the parts meet.
+    part = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(RANK_PARTS)).alias("part")
+    in_part = Window.partitionBy("lang", "part").orderBy(F.xxhash64("doc_id"), "doc_id", "text_key")
+    ranked = labelled.select(*document, part).distinct().withColumn("turn", F.row_number().over(in_part))
+    ranked = ranked.filter(F.col("turn") <= docs_per_language).withColumn("turn", F.row_number().over(turn))
+    ids = ranked.filter(F.col("turn") <= docs_per_language).select(document)
+    if most_languages is not None:
+        frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
+        ids = ids.join(F.broadcast(frequent), "lang", "left_semi")
+    # At most docs_per_language rows of a language, also where ids or whole rows repeat.
     rows = (
-        labelled.join(F.broadcast(ids.select(document)), document, "left_semi")
+        labelled.join(F.broadcast(ids), document, "left_semi")
         .dropDuplicates(document)
         .select("lang", "doc_id", F.split(F.trim("text"), r"[\x20\x09-\x0D]+").alias("words"))
         .select("lang", "doc_id", spread.alias("words"))

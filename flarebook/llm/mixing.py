@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flarebook.llm.tables import WORD
+from flarebook.llm.tables import WORD, scratch
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -292,7 +292,10 @@ def deal(docs: DataFrame, mixed: DataFrame, seed: str = SEED) -> DataFrame:
         prefix += "_"
     own = [f"{prefix}{c}" for c in ("doc_id", "source", "text_key")]
     shards, rows, nth, shard, turn = (f"{prefix}{c}" for c in ("shards", "rows", "nth", "shard", "turn"))
-    decided = mixed.select("doc_id", "source", "text_key", "shards").toDF(*own, shards)
+    # Read several times below, so decided once.
+    folder = scratch(docs.sparkSession, "mix")
+    mixed.select("doc_id", "source", "text_key", "shards").toDF(*own, shards).write.parquet(folder)
+    decided = docs.sparkSession.read.parquet(folder)
     groups = decided.groupBy(*own).agg(F.count(F.lit(1)).alias(rows), F.first(shards).alias(shards))
     keys = [F.col("doc_id").cast("long"), F.col("source").cast("string"), F.xxhash64("text")]
     same = [key.eqNullSafe(F.col(name)) for key, name in zip(keys, own)]

@@ -43,6 +43,22 @@ BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
 
+class Weights:
+    """A fixed random odd factor for each place in a word, made once per worker.
+
+    Places have no algebra in common, unlike powers of a base: with those, long
+    words of two letters in a certain order would always have the same sum.
+    """
+
+    of_place = np.ones(0, U)
+
+    @classmethod
+    def reach(cls, length: int) -> np.ndarray:
+        if len(cls.of_place) < length:
+            cls.of_place = mixed(np.arange(1, (1 << max(12, length.bit_length())) + 1, dtype=U) * BASE) | U(1)
+        return cls.of_place
+
+
 class Powers:
     """Powers of the base and of its inverse, made once per worker."""
 
@@ -69,12 +85,15 @@ def word_hashes(text: memoryview) -> np.ndarray:
     found = [np.zeros(0, U)]
     for chunk in word_chunks(text, 1 << 20):
         data = np.frombuffer(chunk, np.uint8)
-        Powers.reach(len(data))
-        inside = np.concatenate(([False], ~BLANK[data], [False]))
+        words = ~BLANK[data]
+        inside = np.concatenate(([False], words, [False]))
         edges = np.flatnonzero(inside[1:] != inside[:-1])
-        starts, ends = edges[::2], edges[1::2]
-        sums = np.concatenate(([U(0)], np.cumsum(LOWER[data] * Powers.up[: len(data)])))
-        found.append(mixed((sums[ends] - sums[starts]) * Powers.down[starts]))
+        lengths = edges[1::2] - edges[::2]
+        if len(lengths):
+            starts = np.cumsum(lengths) - lengths
+            weights = Weights.reach(int(lengths.max()))
+            places = np.arange(lengths.sum()) - np.repeat(starts, lengths)
+            found.append(mixed(np.add.reduceat(LOWER[data[words]] * weights[places], starts) + lengths.astype(U)))
     return np.concatenate(found)
 
 
@@ -116,12 +135,12 @@ def sketches(docs: DataFrame) -> DataFrame:
             rows = []
             for text in utf8(batch.column("text")):
                 values = shingles(text)
-                low = np.unique((values[:RETAINED] >> U(32)).astype(np.uint32)).view(np.int32)
+                low = values[:RETAINED].view(np.int64)
                 rows.append((len(values), *digest(values), low))
             sizes, first, second, low = zip(*rows) if rows else ([], [], [], [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()),
-                 pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(low, pa.list_(pa.int32()))],
+                 pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(low, pa.list_(pa.int64()))],
                 names=["doc_id", "text_key", "n_shingles", "d1", "d2", "sketch"],
             )
 
@@ -131,14 +150,16 @@ def sketches(docs: DataFrame) -> DataFrame:
         F.col("text").cast("string").alias("text"),
     )
     return given.mapInArrow(
-        made, "doc_id long, text_key long, n_shingles long, d1 long, d2 long, sketch array<int>"
+        made, "doc_id long, text_key long, n_shingles long, d1 long, d2 long, sketch array<long>"
     )
 
 
 def families(classes: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """``node``, ``root``: classes that share a rare retained value, and those joined through others."""
     spread = classes.select("cid", "n_shingles", F.size("sketch").alias("kept"), F.explode("sketch").alias("value"))
-    shared = spread.withColumn("classes", F.count(F.lit(1)).over(Window.partitionBy("value"))).filter("classes > 1")
+    # Counted before they are joined, so a value of very many classes is one row a task.
+    times = spread.groupBy("value").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    shared = spread.join(times, "value")
     small = F.col("n_shingles") * similar[1] <= RETAINED * similar[0]
     exact = F.ceil(F.col("n_shingles") * similar[0] / similar[1]) - 1
     needed = F.greatest(F.when(small, exact).otherwise(least_shared(RETAINED, similar)), F.lit(1))

@@ -22,6 +22,7 @@ from flarebook.llm.tables import utf8
 
 BLOCK_IDS = 1 << 19
 LABEL_IDS = 5  # a 64-bit number and a flag, 15 bits in each id
+FILE_DOCUMENTS = 100_000  # a file is read as one value
 LABEL_BITS = 15
 
 
@@ -49,8 +50,10 @@ def labels(ids: np.ndarray) -> list[int | None]:
     return out
 
 
-def write_token_files(docs: DataFrame, folder: str, ranks: str, pattern: str, separator: int) -> None:
-    """Tokenize all documents into flat files of ``folder``, one per task.
+def write_token_files(
+    docs: DataFrame, folder: str, ranks: str, pattern: str, separator: int, file_documents: int = FILE_DOCUMENTS
+) -> None:
+    """Tokenize all documents into flat files of ``folder``, each of at most ``file_documents`` of one task.
 
     ``ranks`` is a file of byte pieces and ranks, ``pattern`` what splits a
     text before merging. ``separator`` must be free in the vocabulary and lie
@@ -78,6 +81,7 @@ def write_token_files(docs: DataFrame, folder: str, ranks: str, pattern: str, se
         found.select(F.col("ids").cast("string").alias("value"))
         .write.option("encoding", "ISO-8859-1")
         .option("lineSep", separator.to_bytes(2, "little").decode("latin-1"))
+        .option("maxRecordsPerFile", file_documents)
         .text(folder)
     )
 

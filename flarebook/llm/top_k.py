@@ -176,9 +176,11 @@ def top_k(
     The number of tasks grows with queries times candidates; none holds more
     than about ``queries_per_group`` and ``candidates_per_task`` vectors.
     """
-    width = widest(rows)
-    total, most = rows.agg(F.count(F.lit(1)), F.max(F.array_max(F.transform("vector", F.abs)))).first()
-    asked = queries.count()
+    width = max(widest(rows), widest(queries))
+    largest = F.max(F.array_max(F.transform("vector", F.abs)))
+    total, most = rows.agg(F.count(F.lit(1)), largest).first()
+    asked, most_asked = queries.agg(F.count(F.lit(1)), largest).first()
+    most = max(most or 0.0, most_asked or 0.0)
     schema = "query_id long, vec_id long, score long"
     if not total or not asked:
         empty = rows.sparkSession.createDataFrame([], schema)

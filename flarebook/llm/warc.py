@@ -143,6 +143,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, archive_
         .select(F.col("archive").cast("string").alias("value"))
         .write.option("encoding", "ISO-8859-1")
         .option("lineSep", closing().decode("latin-1"))
+        .option("maxRecordsPerFile", 1)  # a row is a whole archive
         .text(folder)
     )
 

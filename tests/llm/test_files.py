@@ -115,3 +115,14 @@ def test_damage_is_noticed():
         warc.parse(good[:-1])
     with pytest.raises(ValueError, match="ends within"):
         list(warc.members(memoryview(warc.closing()[:-4])))
+
+
+def test_files_are_of_a_bounded_size(spark):
+    rows = [(i, f"http://p/{i}", "".join(chr(97 + (i * j * 7919) % 26) for j in range(3000)), None, None, None) for i in range(60)]
+    sizes = spark.read.format("binaryFile").load(archived(spark, rows, archive_bytes=2_000)).select("length").collect()
+    assert len(sizes) > 4 and all(row.length <= 3_000 for row in sizes)
+    folder = scratch(spark, "test-tokens")
+    rolled = {"file_documents": 3}
+    token_files.write_token_files(documents(spark), folder, RANKS, public_tokenizers.PATTERN, SEPARATOR, **rolled)
+    assert spark.read.format("binaryFile").load(folder).count() >= len(ROWS) // 3
+    assert token_files.scan_token_files(spark, folder, SEPARATOR).count() == len(ROWS)

@@ -223,3 +223,11 @@ def test_digest_of_the_planted_conversation(spark):
     assert row.n_turns == 2 and row.loss_chars == len(text)
     assert row.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert row.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+
+
+def test_equal_turns_go_by_what_was_said(spark):
+    rows = [(1, 0, "user", text) for text in ("[x", "Ax", "&", "<")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.format_chat(frame.withColumn("parts", chat.text_parts(F.col("text"))))
+    turns = made.select(chat.read_turns(chat.formatted(F.col("segments"))).alias("turns")).first().turns
+    assert [t.text for t in turns] == ["&", "<", "Ax", "[x"]

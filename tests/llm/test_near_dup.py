@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 from flarebook.llm import near_dup
 from flarebook.llm.graph import components
 from fixtures import documents, no_documents
@@ -117,3 +119,19 @@ def test_repeated_ids_do_not_multiply(spark, monkeypatch):
     monkeypatch.setattr(frame, "mapInArrow", counted)
     assert found(near_dup.near_duplicates(documents(spark, rows))) == brute_force(rows)
     assert handed == [len(rows)]
+
+
+def test_words_of_two_letters_in_a_self_similar_order_differ():
+    order = [bin(i).count("1") % 2 for i in range(4096)]
+    words = ["".join("ab"[b] for b in order), "".join("ba"[b] for b in order)]
+    hashes = [near_dup.word_hashes(memoryview(word.encode()))[0] for word in words]
+    assert hashes[0] != hashes[1]
+    again = near_dup.word_hashes(memoryview((" \n" + " x ".join(words).upper() + "\t").encode()))
+    assert again[0] == hashes[0] and again[2] == hashes[1] and len(again) == 3
+
+
+def test_values_in_lists_meet_by_chance_in_no_large_corpus():
+    """Of n texts with 64 listed values each, the expected chance pairs are (64 n)^2 / 2 / 2^64."""
+    kept = near_dup.shingles(memoryview(" ".join(map(str, range(400))).encode()))[: near_dup.RETAINED]
+    assert kept.dtype == np.uint64 and len(np.unique(kept & np.uint64(2**32 - 1))) == len(kept)
+    assert (near_dup.RETAINED * 10**8) ** 2 / 2 / 2**64 < 10

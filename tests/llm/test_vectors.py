@@ -125,3 +125,11 @@ def test_search_ends_on_a_graph_without_edges(beam):
     graph = vamana.Graph(np.eye(3))
     ids, _ = graph.search(np.eye(3, dtype=np.float32), beam)
     assert (ids[:, 0] == graph.entry).all()
+
+
+def test_queries_larger_and_longer_than_all_rows(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.5]), (2, [-1.0, 0.25])], "vec_id long, vector array<double>")
+    asked = spark.createDataFrame([(7, [10.0, 0.0, 3.0]), (8, [-0.5])], "vec_id long, vector array<double>")
+    found = top_k.top_k(rows, asked, 20, 64)
+    got = {(r.query_id, r.vec_id): r.score for r in found.collect()}
+    assert got == {(7, 1): 640 * 64, (7, 2): -640 * 64, (8, 1): -32 * 64, (8, 2): 32 * 64}
