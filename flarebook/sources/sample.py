@@ -210,9 +210,7 @@ def notice_text(e: Column, user: Column, kind: Column, t: Column, value: Column,
     ]
     notice = F.concat_ws("\n", *lines)
     notice = F.replace(notice, F.lit("\n"), line_break)
-    stray = F.concat(
-        F.lit("   this is not a notice at all\n   just stray text with: a colon "), e.cast("string")
-    )
+    stray = F.concat(F.lit("\t-- link test --\n\toperator on duty says: please stand by, call "), e.cast("string"))
     return F.when((kind == DEAD_END) & (e % 2 == 0), stray).otherwise(notice)
 
 

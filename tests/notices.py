@@ -38,7 +38,7 @@ COMMENTS:        Second remark
     goes on.
 """
 
-STRAY = "   nothing to see here\n   just a line with: a colon\n"
+STRAY = "\t-- link test --\n\toperator on duty says: please stand by\n"
 
 
 def notice(*lines: str, trigger: str | None = "1") -> str:
