@@ -49,6 +49,10 @@ class Layout:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
+    @property
+    def silver_segments(self) -> str:
+        return self.path("silver", f"{PARSED}-{self.parser_version}-segments")
+
     @property
     def silver_path(self) -> str:
         return self.path("silver", f"{PARSED}-{self.parser_version}")
@@ -78,6 +82,13 @@ def parse(spark: SparkSession, layout: Layout) -> None:
     jobs.create_silver_views(spark, layout.silver_path, layout.schema("silver"), layout.file_format)
 
 
+def compact(spark: SparkSession, layout: Layout) -> None:
+    """Gather Silver's small files for those who read all of it, as ``model`` does. Streams are not affected."""
+    configure_session(spark)
+    if layout.file_format == "parquet" and exists(spark, layout.silver_path):
+        jobs.compact_silver(spark, layout.silver_path, layout.silver_segments)
+
+
 def model(spark: SparkSession, layout: Layout) -> None:
     """Bring Gold up to date with what is new in Silver.
 
@@ -92,6 +103,8 @@ def model(spark: SparkSession, layout: Layout) -> None:
         build_gold(cleaned(silver), layout.schema("gold"), layout.path("gold", ""), layout.file_format, changed)
 
     def everything(session: SparkSession) -> DataFrame:
+        if layout.file_format == "parquet":
+            return jobs.read_compacted_silver(session, layout.silver_path, layout.silver_segments)
         return jobs.read_silver(session, layout.silver_path, layout.file_format)
 
     if not exists(spark, layout.silver_path):

@@ -133,6 +133,20 @@ def silver_stream(layers: Layers) -> DataFrame:
     return _notices(jobs.read_silver(layers.spark, silver), layers)
 
 
+def silver_compacted(layers: Layers) -> DataFrame:
+    """A stream of many small files, gathered twice while it goes on, and its newest files."""
+    spark = layers.spark
+    bronze, silver, progress, segments = (new_folder(spark, n) for n in ("bronze", "silver", "progress", "segments"))
+    stages = layers.bronze().withColumn("stage", F.pmod("offset", F.lit(3)).cast("int"))
+    for stage in range(3):
+        rows = stages.where(F.col("stage") == stage).drop("stage")
+        rows.repartition(REPLAY_FILES_PER_BATCH).write.mode("append").parquet(bronze)
+        jobs.route_silver(jobs.bronze_stream(spark, bronze, 1), progress, silver)
+        if stage < 2:
+            jobs.compact_silver(spark, silver, segments)
+    return _notices(jobs.read_compacted_silver(spark, silver, segments), layers)
+
+
 def stream_rerun_noop(layers: Layers) -> DataFrame:
     """A second run over unchanged input adds nothing."""
     bronze, silver, progress = _routed(layers)
@@ -295,6 +309,7 @@ def queries() -> dict[str, Query]:
         "silver_cleaned": lambda s: _notices(s.cleaned(), s),
         "silver_quarantine": lambda s: _notices(s.quarantine(), s),
         "silver_parse": lambda s: _notices(parse_notices(s.bronze()), s),
+        "silver_compacted": silver_compacted,
         "stream_rerun_noop": stream_rerun_noop,
         "rebuild_equals_stream": rebuild_equals_stream,
         "parse_udf_equals_native": parse_udf_equals_native,

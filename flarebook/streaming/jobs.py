@@ -10,6 +10,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from flarebook.operators.bronze import to_bronze
 from flarebook.operators.silver import parse_notices
 from flarebook.schemas import BRONZE, SILVER, SILVER_COLUMNS
+from flarebook.streaming.compaction import TARGET_BYTES, compact, read_compacted
 from flarebook.workspace import exists
 
 
@@ -77,6 +78,16 @@ def read_silver(spark: SparkSession, path: str, file_format: str = "parquet") ->
     return reader.load(path).select(*SILVER_COLUMNS)
 
 
+def compact_silver(spark: SparkSession, path: str, segments: str, target_bytes: int = TARGET_BYTES) -> str | None:
+    """Few large files of what the routing stream has written so far, in folders by result."""
+    return compact(spark, path, segments, SILVER, ("is_parsed",), target_bytes)
+
+
+def read_compacted_silver(spark: SparkSession, path: str, segments: str) -> DataFrame:
+    """All notices, from segments and from files that are newer than these."""
+    return read_compacted(spark, path, segments, SILVER).select(*SILVER_COLUMNS)
+
+
 def silver_stream(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
     reader = spark.readStream.format(file_format)
     reader = reader.schema(SILVER) if file_format == "parquet" else reader

@@ -51,6 +51,12 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in a folder."""
+    files, place = _files(spark, path)
+    return files.getContentSummary(place).getLength()
+
+
 def write_lines(spark: SparkSession, path: str, lines: list[str]) -> None:
     """A small file of lines, which is there as a whole or not at all."""
     files, place = _files(spark, path)

@@ -18,7 +18,8 @@ from flarebook.plans import reports
 from flarebook.schemas import BRONZE, ENVELOPE
 from flarebook.sources.records import FeedConfig, documents, replay_batch, replay_stream
 from flarebook.sources.sample import write_replay
-from flarebook.streaming import jobs
+from flarebook.streaming import compaction, jobs
+from flarebook.streaming.compaction import compact, current, read_compacted
 from notices import FULL, STRAY, bronze_frame, notice
 
 TABLES = "/root/testdata/sf0.001"
@@ -297,6 +298,7 @@ def test_pipeline_over_named_tables(spark, replay, monkeypatch):
     for _ in range(3):
         pipeline.ingest(spark, replay_stream(spark, replay), layout)
         pipeline.parse(spark, layout)
+        pipeline.compact(spark, layout)
         pipeline.model(spark, layout)
         assert spark.read.table(layout.table("bronze", "notices_raw")).count() == 1000
         facts.append(sorted(r.notice_key for r in spark.read.table(layout.table("gold", "fact_notices")).collect()))
@@ -339,6 +341,73 @@ def test_pipeline_without_notices(spark, payloads):
         spark.sql(f"DROP SCHEMA {layout.schema(layer)} CASCADE")
 
 
+def small_files(spark, path, batches, first=0):
+    """A stream that has written a file for each of so many batches."""
+    source, progress = f"{path}-source", f"{path}-progress"
+    rows = spark.range(first, first + batches).select("id", (F.col("id") % 2).cast("int").alias("odd"))
+    rows.repartition(batches, "id").write.mode("append").parquet(source)
+    stream = spark.readStream.schema("id long, odd int").option("maxFilesPerTrigger", 1).parquet(source)
+    jobs.drain(stream.coalesce(1), progress, path, partition_by=("odd",))
+
+
+def test_compaction_of_many_batches(spark):
+    path, segments, schema = folder(spark), folder(spark), "id long, odd int"
+    read = lambda: read_compacted(spark, path, segments, schema)
+    ids = lambda frame: sorted(r.id for r in frame.collect())
+    small_files(spark, path, 200)
+    before = len(read().inputFiles())
+    assert before > 100 and ids(read()) == list(range(200))
+    assert compact(spark, path, segments, schema, ("odd",)) == "segment-0000000001"
+    assert len(read().inputFiles()) <= 4 < before and ids(read()) == list(range(200))
+    # Nothing new: nothing is written.
+    assert compact(spark, path, segments, schema, ("odd",)) is None
+    # The stream goes on, its own checkpoint and readers do not mind.
+    small_files(spark, path, 10, 200)
+    assert ids(spark.read.schema(schema).parquet(path)) == ids(read()) == list(range(210))
+    open_reader = read()
+    assert compact(spark, path, segments, schema, ("odd",)) == "segment-0000000002"
+    assert ids(open_reader) == ids(read()) == list(range(210)) and len(read().inputFiles()) <= 4
+    assert current(spark, segments) == ["segment-0000000002"]
+    seen = []
+    again = jobs.each_batch(
+        spark.readStream.schema(schema).parquet(path), folder(spark), lambda batch: seen.extend(ids(batch))
+    )
+    assert again.exception() is None and sorted(seen) == list(range(210))
+
+
+def test_a_segment_that_is_not_complete_counts_for_nothing(spark, monkeypatch):
+    path, segments, schema = folder(spark), folder(spark), "id long, odd int"
+    small_files(spark, path, 8)
+    compact(spark, path, segments, schema)
+    small_files(spark, path, 8, 8)
+    whole = compaction.write_lines
+    for stops_at in (0, 1):
+        left = iter(range(stops_at))
+
+        def write_or_stop(*given):
+            if next(left, None) is None:
+                raise OSError("stopped")
+            whole(*given)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(compaction, "write_lines", write_or_stop)
+            with pytest.raises(OSError, match="stopped"):
+                compact(spark, path, segments, schema)
+        assert sorted(r.id for r in read_compacted(spark, path, segments, schema).collect()) == list(range(16))
+    compact(spark, path, segments, schema)
+    assert sorted(r.id for r in read_compacted(spark, path, segments, schema).collect()) == list(range(16))
+    assert current(spark, segments) == [workspace.children(spark, segments)[-1]]
+
+
+def test_large_segments_are_left_alone(spark):
+    path, segments, schema = folder(spark), folder(spark), "id long, odd int"
+    for first in (0, 4):
+        small_files(spark, path, 4, first)
+        compact(spark, path, segments, schema, target_bytes=1)
+    assert current(spark, segments) == ["segment-0000000001", "segment-0000000002"]
+    assert sorted(r.id for r in read_compacted(spark, path, segments, schema).collect()) == list(range(8))
+
+
 def test_replay_from_the_latest_records(spark, replay):
     path, middle = folder(spark), "2024-01-16 00:00:00"
     jobs.ingest_bronze(replay_stream(spark, replay, since=middle), folder(spark), path)
