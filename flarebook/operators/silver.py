@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -146,6 +147,43 @@ def parsed_notice(payload: Column | str) -> Column:
     )
 
 
+# How a field that was kept as text becomes a typed column.
+READ_AS: dict[str, Callable[[Column], Column]] = {
+    "string": lambda text: text,
+    "double": x.leading_number,
+    "bigint": lambda text: x.leading_integer(x.leading_digits(text)),
+}
+
+
+@dataclass(frozen=True)
+class LaterField:
+    """A column that a later version of the schema has, and the field of the notice it comes from."""
+
+    name: str
+    source: str
+    kind: str = "string"
+
+
+def with_later_fields(silver: DataFrame, fields: Iterable[LaterField]) -> DataFrame:
+    """Notices of any earlier version as those of a later one.
+
+    A field that an earlier version did not know lies among the rescued ones,
+    as text; it moves from there to its column. Rows that have the column
+    already keep its value, so old and new files read together are alike, and
+    doing it again changes nothing.
+    """
+    fields = tuple(fields)
+    rescued = F.col("rescued_fields")
+
+    def value(field: LaterField) -> Column:
+        found = READ_AS[field.kind](rescued[field.source])
+        return F.coalesce(F.col(field.name), found) if field.name in silver.columns else found
+
+    rest = F.map_filter(rescued, lambda name, _: ~name.isin([field.source for field in fields]))
+    moved = {field.name: value(field) for field in fields}
+    return silver.withColumns({**moved, "rescued_fields": F.when(F.size(rest) > 0, rest)}) if fields else silver
+
+
 def cleaned(silver: DataFrame) -> DataFrame:
     return silver.where("is_parsed")
 

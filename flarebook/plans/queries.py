@@ -18,7 +18,7 @@ from flarebook.functions.keys import surrogate_key
 from flarebook.operators import gold, quality
 from flarebook.operators.arrow_cut import with_arrow_entries
 from flarebook.operators.arrow_parse import parse_in_python, register
-from flarebook.operators.silver import parse_notices, parsed_notice
+from flarebook.operators.silver import LaterField, parse_notices, parsed_notice
 from flarebook.operators.upsert import build_gold, create_schemas, table_files
 from flarebook.plans import reports
 from flarebook.plans.layers import Layers
@@ -133,6 +133,19 @@ def silver_stream(layers: Layers) -> DataFrame:
     return _notices(jobs.read_silver(layers.spark, silver), layers)
 
 
+def silver_evolved(layers: Layers) -> DataFrame:
+    """A stream that was written by two versions of the schema, read as the later one."""
+    spark = layers.spark
+    bronze, silver, progress = (new_folder(spark, name) for name in ("bronze", "silver", "progress"))
+    later = (LaterField("spacecraft", "SPACECRAFT"),)
+    early = F.col("kafka_timestamp") < F.lit(SAMPLE_MIDDLE).cast("timestamp")
+    for rows, fields in ((layers.bronze().where(early), ()), (layers.bronze().where(~early), later)):
+        rows.write.mode("append").parquet(bronze)
+        jobs.route_silver(jobs.bronze_stream(spark, bronze), progress, silver, later_fields=fields)
+    notices = jobs.read_silver(spark, silver, later_fields=later)
+    return notices.select("offset", "notice_key", "title", "spacecraft", "rescued_fields")
+
+
 def silver_compacted(layers: Layers) -> DataFrame:
     """A stream of many small files, gathered twice while it goes on, and its newest files."""
     spark = layers.spark
@@ -310,6 +323,7 @@ def queries() -> dict[str, Query]:
         "silver_quarantine": lambda s: _notices(s.quarantine(), s),
         "silver_parse": lambda s: _notices(parse_notices(s.bronze()), s),
         "silver_compacted": silver_compacted,
+        "silver_evolved": silver_evolved,
         "stream_rerun_noop": stream_rerun_noop,
         "rebuild_equals_stream": rebuild_equals_stream,
         "parse_udf_equals_native": parse_udf_equals_native,

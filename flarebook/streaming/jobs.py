@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from flarebook.operators.bronze import to_bronze
-from flarebook.operators.silver import parse_notices
+from flarebook.operators.silver import LaterField, parse_notices, with_later_fields
 from flarebook.schemas import BRONZE, SILVER, SILVER_COLUMNS
 from flarebook.streaming.compaction import TARGET_BYTES, compact, read_compacted
 from flarebook.workspace import exists
@@ -56,26 +56,42 @@ def bronze_stream(spark: SparkSession, path: str, max_files_per_trigger: int | N
     return reader.parquet(path)
 
 
-def route_silver(bronze: DataFrame, checkpoint: str, path: str, file_format: str = "parquet") -> StreamingQuery:
+def route_silver(
+    bronze: DataFrame,
+    checkpoint: str,
+    path: str,
+    file_format: str = "parquet",
+    later_fields: tuple[LaterField, ...] = (),
+) -> StreamingQuery:
     """Parse once and route by folder: each notice lands in exactly one of the
-    two tables, which are partitions of one sink with one checkpoint."""
-    return drain(parse_notices(bronze), checkpoint, path, partition_by=("is_parsed",), file_format=file_format)
+    two tables, which are partitions of one sink with one checkpoint.
 
+    With ``later_fields`` the stream goes on, from now on with these columns."""
+    notices = with_later_fields(parse_notices(bronze), later_fields)
+    return drain(notices, checkpoint, path, partition_by=("is_parsed",), file_format=file_format)
 
-def rebuild_silver(bronze: DataFrame, path: str, file_format: str = "parquet") -> None:
+
+def rebuild_silver(
+    bronze: DataFrame, path: str, file_format: str = "parquet", later_fields: tuple[LaterField, ...] = ()
+) -> None:
     """Silver from all of Bronze, in place of what was there."""
-    parse_notices(bronze).write.format(file_format).mode("overwrite").partitionBy("is_parsed").save(path)
+    with_later_fields(parse_notices(bronze), later_fields).write.format(file_format).mode("overwrite").partitionBy("is_parsed").save(path)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BRONZE).option("mergeSchema", "true").parquet(path)
 
 
-def read_silver(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
+def read_silver(
+    spark: SparkSession, path: str, file_format: str = "parquet", later_fields: tuple[LaterField, ...] = ()
+) -> DataFrame:
+    """All notices. Files are read by name: what is older than a field has it among the rescued ones."""
     reader = spark.read.format(file_format)
     # Only plain files need to be told; the other formats know their schema.
-    reader = reader.schema(SILVER) if file_format == "parquet" else reader
-    return reader.load(path).select(*SILVER_COLUMNS)
+    schema = ", ".join([SILVER, *[f"{field.name} {field.kind}" for field in later_fields]])
+    reader = reader.schema(schema) if file_format == "parquet" else reader
+    notices = with_later_fields(reader.load(path), later_fields)
+    return notices.select(*SILVER_COLUMNS, *[field.name for field in later_fields])
 
 
 def compact_silver(spark: SparkSession, path: str, segments: str, target_bytes: int = TARGET_BYTES) -> str | None:

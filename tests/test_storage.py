@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from flarebook import pipeline, workspace
 from flarebook.operators.bronze import to_bronze
-from flarebook.operators.silver import cleaned, parse_notices
+from flarebook.operators.silver import LaterField, cleaned, parse_notices, with_later_fields
 from flarebook.operators import upsert as gold_upsert
 from flarebook.operators.gold import GOLD_TABLES
 from flarebook.operators.upsert import build_gold, create_schemas, table_location, upsert
@@ -408,6 +408,24 @@ def test_large_segments_are_left_alone(spark):
     assert sorted(r.id for r in read_compacted(spark, path, segments, schema).collect()) == list(range(8))
 
 
+def test_silver_of_two_versions_and_the_same_gold(spark, replay):
+    bronze, silver, progress = folder(spark), folder(spark), folder(spark)
+    later = (LaterField("spacecraft", "SPACECRAFT"), LaterField("unit", "SPACECRAFT", "bigint"), LaterField("none", "NOT_SENT", "double"))
+    every = to_bronze(replay_batch(spark, replay))
+    for half, fields in ((0, ()), (1, later)):
+        every.where(F.col("offset") % 2 == half).write.mode("append").parquet(bronze)
+        jobs.route_silver(jobs.bronze_stream(spark, bronze), progress, silver, later_fields=fields)
+    old, new = jobs.read_silver(spark, silver), jobs.read_silver(spark, silver, later_fields=later)
+    columns = ["offset", "rescued_fields", "spacecraft", "unit", "none"]
+    wanted = with_later_fields(parse_notices(every), later)
+    shown = lambda frame: sorted(map(str, frame.select(*columns).collect()))
+    assert shown(new) == shown(wanted) == shown(with_later_fields(new, later)) and old.count() == 1000
+    assert new.where("spacecraft IS NOT NULL").count() > 100 == new.where("array_contains(map_keys(rescued_fields), 'SPACECRAFT')").count() + 100
+    for _, _, build in GOLD_TABLES:
+        digests = [sorted(map(str, build(cleaned(s)).drop("ingested_at").collect())) for s in (old, new)]
+        assert digests[0] == digests[1]
+
+
 def test_replay_from_the_latest_records(spark, replay):
     path, middle = folder(spark), "2024-01-16 00:00:00"
     jobs.ingest_bronze(replay_stream(spark, replay, since=middle), folder(spark), path)
