@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from flarebook.operators.gold import GOLD_TABLES
 from flarebook.operators.silver import cleaned
 from flarebook.operators.upsert import build_gold, create_schemas
-from flarebook.schemas import SILVER
+from flarebook.schemas import SILVER, SILVER_COLUMNS
 from flarebook.session import configure_session
 from flarebook.streaming import jobs
 from flarebook.workspace import exists
@@ -104,7 +104,7 @@ def model(spark: SparkSession, layout: Layout) -> None:
 
     def everything(session: SparkSession) -> DataFrame:
         if layout.file_format == "parquet":
-            return jobs.read_compacted_silver(session, layout.silver_path, layout.silver_segments)
+            return jobs.read_compacted_silver(session, layout.silver_path, layout.silver_segments).select(*SILVER_COLUMNS)
         return jobs.read_silver(session, layout.silver_path, layout.file_format)
 
     if not exists(spark, layout.silver_path):

@@ -157,7 +157,7 @@ def silver_compacted(layers: Layers) -> DataFrame:
         jobs.route_silver(jobs.bronze_stream(spark, bronze, 1), progress, silver)
         if stage < 2:
             jobs.compact_silver(spark, silver, segments)
-    return _notices(jobs.read_compacted_silver(spark, silver, segments), layers)
+    return _notices(jobs.read_compacted_silver(spark, silver, segments).drop(gold.BURST_DAY), layers)
 
 
 def stream_rerun_noop(layers: Layers) -> DataFrame:

@@ -11,6 +11,7 @@ time. Streams go on reading the folder itself.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ SEGMENT = "segment-"
 COMPLETE, COVERS = "_replaces", "_covers"
 TARGET_BYTES = 256 << 20
 
+Prepare = Callable[[DataFrame], DataFrame]
+
 
 def _complete(spark: SparkSession, segments: str) -> dict[str, list[str]]:
     """Complete segments and what each replaces."""
@@ -45,13 +48,15 @@ def _covered(spark: SparkSession, segments: str) -> set[str]:
     return found
 
 
-def _rows(spark: SparkSession, names: list[str], segments: str, fresh: list[str], path: str, schema: StructType) -> DataFrame:
-    reader = spark.read.schema(schema)
-    rows = spark.createDataFrame([], schema)
+def _rows(
+    spark: SparkSession, names: list[str], segments: str, fresh: list[str], path: str, schema: StructType, prepare: Prepare
+) -> DataFrame:
+    rows = prepare(spark.createDataFrame([], schema))
+    stored = rows.schema
     if fresh:
-        rows = reader.option("basePath", path).parquet(*fresh)
+        rows = prepare(spark.read.schema(schema).option("basePath", path).parquet(*fresh))
     for name in names:
-        rows = rows.unionByName(reader.option("basePath", f"{segments}/{name}").parquet(f"{segments}/{name}"))
+        rows = rows.unionByName(spark.read.schema(stored).parquet(f"{segments}/{name}"))
     return rows
 
 
@@ -60,10 +65,16 @@ def _fresh(spark: SparkSession, path: str, segments: str, schema: StructType) ->
     return sorted(set(spark.read.schema(schema).parquet(path).inputFiles()) - _covered(spark, segments))
 
 
-def read_compacted(spark: SparkSession, path: str, segments: str, schema: StructType | str) -> DataFrame:
-    """All rows of a stream's folder, once each, from as few files as there are."""
+def read_compacted(
+    spark: SparkSession, path: str, segments: str, schema: StructType | str, prepare: Prepare = lambda rows: rows
+) -> DataFrame:
+    """All rows of a stream's folder, once each, from as few files as there are.
+
+    ``prepare`` is what they were compacted with.
+    """
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    return _rows(spark, current(spark, segments), segments, _fresh(spark, path, segments, schema), path, schema)
+    fresh = _fresh(spark, path, segments, schema)
+    return _rows(spark, current(spark, segments), segments, fresh, path, schema, prepare)
 
 
 def compact(
@@ -73,10 +84,11 @@ def compact(
     schema: StructType | str,
     partition_by: tuple[str, ...] = (),
     target_bytes: int = TARGET_BYTES,
+    prepare: Prepare = lambda rows: rows,
 ) -> str | None:
     """Write what is new in a stream's folder, and segments below the target size, as one segment.
 
-    Returns its name, None if there was nothing to do. A segment counts once its
+    ``prepare`` adds to the rows what segments have folders by. Returns its name, None if there was nothing to do. A segment counts once its
     last small file is written, and replaces others in the same moment; one that
     is not complete is removed by the next run, as are segments replaced in the
     run before, which a reader may still have open.
@@ -96,7 +108,7 @@ def compact(
     place = f"{segments}/{name}"
     lengths = spark.read.format("binaryFile").load(fresh).agg(F.sum("length")).first()[0]
     files = math.ceil((lengths + sum(size_of(spark, f"{segments}/{one}") for one in small)) / target_bytes)
-    rows = _rows(spark, small, segments, fresh, path, schema)
+    rows = _rows(spark, small, segments, fresh, path, schema, prepare)
     if partition_by:
         rows.hint("rebalance", *map(F.col, partition_by)).write.partitionBy(*partition_by).parquet(place)
     else:

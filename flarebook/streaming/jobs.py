@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from flarebook.operators.bronze import to_bronze
+from flarebook.operators.gold import BURST_DAY, burst_day
 from flarebook.operators.silver import LaterField, parse_notices, with_later_fields
 from flarebook.schemas import BRONZE, SILVER, SILVER_COLUMNS
 from flarebook.streaming.compaction import TARGET_BYTES, compact, read_compacted
@@ -95,13 +96,20 @@ def read_silver(
 
 
 def compact_silver(spark: SparkSession, path: str, segments: str, target_bytes: int = TARGET_BYTES) -> str | None:
-    """Few large files of what the routing stream has written so far, in folders by result."""
-    return compact(spark, path, segments, SILVER, ("is_parsed",), target_bytes)
+    """Few large files of what the routing stream has written so far, in folders by result and day of the burst."""
+    return compact(spark, path, segments, SILVER, ("is_parsed", BURST_DAY), target_bytes, _with_day)
+
+
+def _with_day(silver: DataFrame) -> DataFrame:
+    return silver.withColumn(BURST_DAY, burst_day())
 
 
 def read_compacted_silver(spark: SparkSession, path: str, segments: str) -> DataFrame:
-    """All notices, from segments and from files that are newer than these."""
-    return read_compacted(spark, path, segments, SILVER).select(*SILVER_COLUMNS)
+    """All notices with their day, from segments and from files that are newer than these.
+
+    A filter on the day reads only the folders of these days, and the newer files.
+    """
+    return read_compacted(spark, path, segments, SILVER, _with_day).select(*SILVER_COLUMNS, BURST_DAY)
 
 
 def silver_stream(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import replace
 
@@ -399,6 +400,24 @@ def test_a_segment_that_is_not_complete_counts_for_nothing(spark, monkeypatch):
     assert current(spark, segments) == [workspace.children(spark, segments)[-1]]
 
 
+def test_compacted_silver_is_read_by_day(spark, replay):
+    bronze, silver, progress, segments = (folder(spark) for _ in range(4))
+    every = to_bronze(replay_batch(spark, replay))
+    for half in (0, 1):
+        every.where(F.col("offset") % 2 == half).write.mode("append").parquet(bronze)
+        jobs.route_silver(jobs.bronze_stream(spark, bronze), progress, silver)
+        if half == 0:
+            jobs.compact_silver(spark, silver, segments)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    whole = jobs.read_compacted_silver(spark, silver, segments)
+    recent = whole.where("is_parsed AND burst_day >= '2024-01-29'")
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert len(re.findall(r"PartitionFilters: \[[^\]]*burst_day#\d+ >= 2024-01-29", plan)) == 1, plan
+    wanted = cleaned(parse_notices(every)).where("burst_time >= '2024-01-29'")
+    assert whole.count() == 1000 and recent.count() == wanted.count() > 0
+
+
 def test_large_segments_are_left_alone(spark):
     path, segments, schema = folder(spark), folder(spark), "id long, odd int"
     for first in (0, 4):
