@@ -20,6 +20,9 @@ STAGED = "staged-"
 # Files in a version's folder: it is complete (with the names of folders that became empty); the table has it.
 COMPLETE, SWITCHED = "_complete", "_switched"
 
+# Fixed value: how Spark names the folder of null.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 # Folders by a hash of the key: so many that a few new keys rewrite a small part.
 BUCKET = "key_bucket"
 BUCKETS = 32
@@ -77,13 +80,13 @@ def in_folders(frame: DataFrame, folders: str, file_format: str = "parquet") ->
 
 
 def folder_name(folders: str, value: object) -> str:
-    return f"{folders}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+    return f"{folders}={NULL_FOLDER if value is None else value}"
 
 
 def _partition(name: str) -> str:
     """The partition that a folder holds, in SQL. Its values are days or numbers, which paths spell as they are."""
     column, value = name.split("=", 1)
-    return f"PARTITION ({column} = {'null' if value == '__HIVE_DEFAULT_PARTITION__' else repr(value)})"
+    return f"PARTITION ({column} = {'null' if value == NULL_FOLDER else repr(value)})"
 
 
 def _in(folders: str, values: list) -> Column:
@@ -103,11 +106,16 @@ def _folders_of(spark: SparkSession, version: str) -> set[str]:
 
 def switch(spark: SparkSession, table: str, version: str) -> None:
     """Point the table's partitions to a version's folders; done again, it changes nothing."""
-    for name in children(spark, version):
-        if "=" in name:
-            place = f"LOCATION '{version}/{name}'"
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {_partition(name)} {place}")
-            spark.sql(f"ALTER TABLE {table} {_partition(name)} SET {place}")
+    places = {name: f"LOCATION '{version}/{name}'" for name in children(spark, version) if "=" in name}
+    there = {row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    new = [name for name in places if name not in there]
+    if new:
+        added = " ".join(f"{_partition(name)} {places[name]}" for name in new)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+    for name in places:
+        # How the partition of null is shown differs, so it is set in any case.
+        if name in there or name.endswith(f"={NULL_FOLDER}"):
+            spark.sql(f"ALTER TABLE {table} {_partition(name)} SET {places[name]}")
     for name in read_lines(spark, f"{version}/{COMPLETE}") or ():
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_partition(name)}")
     write_lines(spark, f"{version}/{SWITCHED}", [])

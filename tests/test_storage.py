@@ -178,7 +178,7 @@ def test_failed_update_leaves_the_table_and_no_files(spark, schema, monkeypatch)
     assert stored(spark, table) == [("a", 1)] and workspace.children(spark, place) == names
 
 
-@pytest.mark.parametrize("statements", range(5))
+@pytest.mark.parametrize("statements", range(3))
 def test_a_run_that_stopped_while_partitions_are_switched_is_ended_by_the_next(spark, schema, monkeypatch, statements):
     table, place = f"{schema}.t", folder(spark)
     put(bucketed(spark, [("a", 1), ("b", 2), ("c", 3)]), table, place)
