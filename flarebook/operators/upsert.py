@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from flarebook.functions.keys import surrogate_key
 from flarebook.operators.gold import BURST_DAY, GOLD_DAYS, GOLD_SCOPES, GOLD_TABLES, burst_day, latency_sketches
 from flarebook.workspace import children, read_lines, remove, write_lines
 
@@ -212,22 +211,16 @@ def table_files(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema(schema).format(provider(spark, table)).load(files) if files else spark.createDataFrame([], schema)
 
 
-def affected(silver: DataFrame, changed: DataFrame, folder: str) -> DataFrame:
-    """All notices of groups that changed ones belong to, marked by the tables (``of_<table>``) they are read for.
+def affected(silver: DataFrame, changed: DataFrame, scope: tuple[str, ...]) -> DataFrame:
+    """All notices of the groups by ``scope`` that changed ones belong to.
 
-    Silver is read once for all tables. Groups are told apart by a hash of
-    their columns, in which null is a value. The few that changed are joined
-    with all of Silver; what is affected is stored, since each table reads it.
+    Groups are told apart by a short hash of their columns. Two that share one
+    are both taken, each as a whole, so what is built from them is the same.
+    Only the columns that a table is built from pass through the join.
     """
-    marked = silver
-    for name, scope in GOLD_SCOPES.items():
-        group = surrogate_key(*scope)
-        groups = changed.select(group.alias(f"group_{name}")).distinct().withColumn(f"of_{name}", F.lit(True))
-        marked = marked.withColumn(f"group_{name}", group).join(groups, f"group_{name}", "left")
-    flags = [f"of_{name}" for name in GOLD_SCOPES]
-    found = marked.where(F.coalesce(*flags)).select(*silver.columns, *flags)
-    found.write.parquet(folder)
-    return silver.sparkSession.read.schema(found.schema).parquet(folder)
+    group = F.xxhash64(*scope)
+    groups = changed.select(group.alias("group")).distinct()
+    return silver.withColumn("group", group).join(groups, "group", "left_semi").drop("group")
 
 
 def build_gold(
@@ -245,21 +238,16 @@ def build_gold(
     """
     spark = silver.sparkSession
     there = {name: spark.catalog.tableExists(f"{schema}.{name}") for name, _, _ in GOLD_TABLES}
-    folder = f"{root}/{STAGED}notices-{uuid.uuid4().hex}"
-    found = affected(silver, changed, folder) if changed is not None and any(there.values()) else None
-    try:
-        for name, key, builder in GOLD_TABLES:
-            whole = found is None or not there[name]
-            source = silver if whole else found.where(f"of_{name}").select(*silver.columns)
-            rows = laid_out(builder(source), name, key)
-            place = f"{root}/{name}"
-            upsert(rows, f"{schema}.{name}", key, place, file_format, folder_column(name), GOLD_DAYS.get(name, False))
-    finally:
-        if found is not None:
-            remove(spark, folder)
+    partial = changed is not None and any(there.values())
+    for name, key, builder in GOLD_TABLES:
+        whole = not partial or not there[name]
+        source = silver if whole else affected(silver, changed, GOLD_SCOPES[name])
+        rows = laid_out(builder(source), name, key)
+        place = f"{root}/{name}"
+        upsert(rows, f"{schema}.{name}", key, place, file_format, folder_column(name), GOLD_DAYS.get(name, False))
     sketches = f"{schema}.{SKETCHES}"
     timing = spark.read.table(f"{schema}.dim_event_timing")
-    if found is not None and spark.catalog.tableExists(sketches):
+    if partial and spark.catalog.tableExists(sketches):
         timing = timing.where(_in(BURST_DAY, [row[0] for row in changed.select(burst_day()).distinct().collect()]))
     rows = latency_sketches(timing).withColumn(BURST_YEAR, F.year(BURST_DAY))
     upsert(rows, sketches, BURST_DAY, f"{root}/{SKETCHES}", file_format, BURST_YEAR)
