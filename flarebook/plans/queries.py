@@ -82,11 +82,16 @@ def _deferred(build: Callable[[], Query]) -> Query:
 
 
 def as_sent(frame: DataFrame, layers: Layers, payload: str) -> DataFrame:
-    """The payload column replaced by whether all its bytes are those of the record."""
+    """The payload column replaced by whether all its bytes are those of the record.
+
+    Each side takes its digest before the join, so no text is shuffled.
+    """
     place = ["topic", "partition", "offset"]
-    sent = layers.records().select(*place, F.sha2("value", 256).alias("sent_digest"))
-    same = F.sha2(F.encode(payload, "UTF-8"), 256) == F.col("sent_digest")
-    return frame.join(sent, place).withColumn("as_sent", same).drop("sent_digest", payload)
+    sent = layers.records().select(*place, F.unhex(F.sha2("value", 256)).alias("sent_digest"))
+    digest = F.unhex(F.sha2(F.encode(payload, "UTF-8"), 256)).alias("own_digest")
+    own = frame.select(*[c for c in frame.columns if c != payload], digest)
+    same = F.col("own_digest") == F.col("sent_digest")
+    return own.join(sent, place).withColumn("as_sent", same).drop("sent_digest", "own_digest")
 
 
 def bronze_envelope(layers: Layers) -> DataFrame:
