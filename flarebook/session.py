@@ -8,6 +8,14 @@ from pyspark.sql import SparkSession
 # zone, so anything but UTC changes stored keys, not only what is displayed.
 SESSION_ZONE = "UTC"
 
+# A notice is packed to a tenth in files and costs far more to parse than to read,
+# so a task gets as many as fit in its memory and keep all cores busy.
+TASK_INPUT = "16m"
+# Both results of the parse are written as they come, without a sort of the payloads.
+OPEN_FILES = 2
+# Keys are digests and texts repeat within columns: files are what most of the disk goes to.
+FILE_CODEC = "zstd"
+
 
 def configure_session(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", SESSION_ZONE)
@@ -15,4 +23,7 @@ def configure_session(spark: SparkSession) -> SparkSession:
     # Skewed joins (many notices with the same position) are split at run time.
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", TASK_INPUT)
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", OPEN_FILES)
+    spark.conf.set("spark.sql.parquet.compression.codec", FILE_CODEC)
     return spark
