@@ -146,14 +146,16 @@ def mine(shard: pa.Table, bound: pa.Table) -> pa.Table:
     """All pairs of one level in a shard, marked if they are frequent in it.
 
     ``bound`` has the number of what is frequent everywhere (``id``) for the
-    shard's own (``place``), for each level below.
+    shard's own (``place``), for each level below. Its rows come in any order;
+    by place, a level's pairs get the same numbers whenever they are made.
     """
     row = shard.slice(0, 1).to_pylist()[0]
     numbers = unpacked(row["numbers"], row["place"])
     level = bound["level"].to_numpy()
     places, ids = bound["place"].to_numpy(), bound["id"].to_numpy()
     for below in range(1, row["level"]):
-        own = level == below
+        own = np.flatnonzero(level == below)
+        own = own[np.argsort(places[own])]
         known, names = places[own], ids[own]
         renumbered = np.zeros(max(int(numbers.max(initial=0)), int(known.max(initial=0))) + 1, np.int64)
         renumbered[known] = np.arange(1, len(known) + 1)

@@ -73,6 +73,21 @@ def test_low_support_keeps_all(spark):
     assert sorted(tuple(row) for row in got.collect()) == best_phrases(rows, 1, 3, 10**9)
 
 
+def test_phrases_in_any_order_of_a_shards_rows(spark, monkeypatch):
+    """A shuffle between executors, or one that spills, brings a shard's rows in another order each time."""
+    mine = collocations.mine
+
+    def in_other_order(shard, bound):
+        return mine(shard, bound.take(np.random.default_rng(shard["level"][0].as_py()).permutation(len(bound))))
+
+    monkeypatch.setattr(collocations, "mine", in_other_order)
+    rows = [row for row in PHRASES if row[1] != LONG_TEXT]
+    rows += [(400 + i, "four words come together. words come apart, together four words", "en", "a") for i in range(15)]
+    for longest, shard_words in ((3, 200), (4, collocations.SHARD_WORDS)):
+        got = collocations.collocations(documents(spark, rows), 10, longest, 50, shard_words)
+        assert sorted(tuple(row) for row in got.collect()) == best_phrases(rows, 10, longest, 50)
+
+
 def test_no_phrases(spark):
     assert collocations.collocations(no_documents(spark)).collect() == []
     assert collocations.collocations(documents(spark, [(1, " .\n", None, None)])).collect() == []
