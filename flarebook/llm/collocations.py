@@ -10,11 +10,16 @@ added exactly.
 Phrases grow by a word a level: one of m words is a pair of the two of m - 1
 words that it begins and ends with, and only pairs of frequent ones are looked
 at. A shard numbers what it has by itself; what is frequent gets one number
-everywhere, which is joined back to the shard before the next level.
+everywhere, which goes back to the shard before the next level.
+
+Counts meet by parts of what is counted. A shard tells a part all that it has
+of it as one row of columns, sorted and compressed, and hears from it in the
+same way; so a count takes a few bytes where it is written, not a row.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +36,8 @@ NESTED = (50, 100)  # a phrase goes if a longer one has at least this share of i
 FIRST = 2000  # rows of each language
 SHARD_WORDS = 4_000_000
 SHARD_BYTES = 64_000_000  # of a shard's distinct words
+PART_WORDS = 4_000_000  # of all words, for each part of what is counted: a task's memory, and how many rows shards tell
+CHUNK = 500_000  # numbers or distinct words of a shard in a row
 RANK_PARTS = 32
 
 END = b"\xff"  # between pieces; no byte of UTF-8
@@ -54,16 +61,37 @@ class Numbers(dict):
         return number
 
 
-def packed(numbers: np.ndarray) -> bytes:
-    """32-bit numbers, their first bytes together, compressed."""
-    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+def packed(numbers: np.ndarray, kind: str = "<u4") -> bytes:
+    """Numbers of a fixed width, their first bytes together, compressed."""
+    width = np.dtype(kind).itemsize
+    planes = np.ascontiguousarray(numbers.astype(kind).view(np.uint8).reshape(-1, width).T)
     return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def unpacked(data: bytes, length: int) -> np.ndarray:
-    planes = pa.decompress(data, decompressed_size=4 * length, codec="zstd", asbytes=True)
-    flat = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, length).T)
-    return flat.view("<u4").reshape(length).astype(np.int64)
+def unpacked(data: bytes, length: int, kind: str = "<u4") -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = pa.decompress(data, decompressed_size=width * length, codec="zstd", asbytes=True)
+    flat = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, length).T)
+    return flat.view(kind).reshape(length).astype(np.int64)
+
+
+def packed_columns(*columns: np.ndarray) -> bytes:
+    return packed(np.concatenate(columns), "<i8")
+
+
+def unpacked_columns(data: bytes, length: int, columns: int) -> np.ndarray:
+    return unpacked(data, columns * length, "<i8").reshape(columns, length)
+
+
+def packed_words(words: list[bytes]) -> bytes:
+    """Words, none of which has the byte ``END``, led by the size of all."""
+    data = END.join(words)
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpacked_words(data: bytes) -> list[bytes]:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True).split(END)
 
 
 class Shard:
@@ -86,33 +114,35 @@ class Shard:
         numbers = np.concatenate(self.parts)
         words = [word for word in self.numbers if word != END]
         counts = np.bincount(numbers, minlength=len(words) + 1)[1:]
-        yield batch(shard, lang, [packed(numbers)], [len(numbers)], [None], [self.words])
-        for start in range(0, len(words), 50_000):
-            part = words[start : start + 50_000]
-            places = np.arange(start + 1, start + 1 + len(part))
-            yield batch(shard, lang, [None] * len(part), places, part, counts[start : start + len(part)])
-
-
-def batch(shard: int, lang: str, numbers: list, place, word: list, count) -> pa.RecordBatch:
-    rows = len(word)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(rows, shard), pa.int64()),
-            pa.array([lang] * rows, pa.string()),
-            pa.array(numbers, pa.binary()),
-            pa.array(place, pa.int32()),
-            pa.array(word, pa.binary()),
-            pa.array(count, pa.int64()),
-        ],
-        names=["shard", "lang", "numbers", "place", "word", "count"],
-    )
+        for start in range(0, len(numbers), CHUNK):
+            part = numbers[start : start + CHUNK]
+            yield batch(SHARDS, [(shard, lang, start, len(part), packed(part), None, None, self.words)])
+        for start in range(0, len(words), CHUNK):
+            part, often = words[start : start + CHUNK], packed(counts[start : start + CHUNK], "<i8")
+            yield batch(SHARDS, [(shard, lang, start + 1, len(part), None, packed_words(part), often, self.words)])
+
+
+KINDS = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+
+
+def fields(columns: str) -> pa.Schema:
+    return pa.schema([(name, KINDS[kind]) for name, kind in (one.split() for one in columns.split(", "))])
 
 
-SHARDS = "shard long, lang string, numbers binary, place int, word binary, count long"
+def batch(columns: str, rows: list[tuple]) -> pa.RecordBatch:
+    schema = fields(columns)
+    values = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(values, schema.types)], schema=schema)
+
+
+SHARDS = "shard long, lang string, place long, length int, numbers binary, words binary, counts binary, count long"
 
 
 def to_shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[pa.RecordBatch]:
-    """For each shard one row with its numbers (``place`` is their count) and a row for each distinct word."""
+    """For each shard rows with its numbers from ``place`` on, and rows with its distinct words from number ``place`` on.
+
+    Each has ``count``, the words of the shard.
+    """
     made, number = {}, TaskContext.get().partitionId() << 32
 
     def finished() -> Iterator[pa.RecordBatch]:
@@ -139,70 +169,163 @@ def neighbours(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return places, numbers[places] * (int(numbers.max(initial=0)) + 1) + numbers[places + 1]
 
 
-MINED = "shard long, place int, p long, q long, count long, frequent boolean"
+MINED = "shard long, lang string, part long, place long, support long, length int, data binary, words binary"
+
+
+def words_in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A shard's words dealt out by what they are; ``data`` has their numbers and counts."""
+    for rows in batches:
+        for row in rows.to_pylist():
+            words, seed = unpacked_words(row["words"]), zlib.crc32(row["lang"].encode())
+            hashes = np.fromiter((zlib.crc32(word, seed) for word in words), np.int64, len(words))
+            places = row["place"] + np.arange(len(words))
+            counts = unpacked(row["counts"], len(words), "<i8")
+            out = []
+            for part, own in dealt(hashes % row["parts"]):
+                data = packed_columns(np.diff(places[own], prepend=0), counts[own])
+                told = packed_words([words[i] for i in own])
+                out.append((row["shard"], row["lang"], part, row["place"], row["support"], len(own), data, told))
+            yield batch(MINED, out)
+    give_back()
+
+
+def dealt(parts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each part that is there, with its places in order."""
+    order = np.argsort(parts, kind="stable")
+    starts = np.flatnonzero(np.diff(parts[order], prepend=-1))
+    for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(order)]):
+        yield int(parts[order[start]]), order[start:stop]
+
+
+def part_of(p: np.ndarray, q: np.ndarray, parts: int) -> np.ndarray:
+    """The part that counts a pair."""
+    mixed = p.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + q.astype(np.uint64)
+    for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(factor)
+    return ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+
+
+def heard(bound: pa.Table, level: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """What the parts of one level tell a shard: the part, places, and the numbers that these have everywhere."""
+    for row in bound.to_pylist():
+        if row["level"] == level:
+            places, ids = np.cumsum(unpacked_columns(row["data"], row["length"], 2), axis=1)
+            yield row["part"], places, ids + (row["part"] << 32)
 
 
 def mine(shard: pa.Table, bound: pa.Table) -> pa.Table:
-    """All pairs of one level in a shard, marked if they are frequent in it.
+    """All pairs of one level in a shard, dealt out by what they are; ``data`` has the pairs and their counts.
 
-    ``bound`` has the number of what is frequent everywhere (``id``) for the
-    shard's own (``place``), for each level below. Its rows come in any order;
-    by place, a level's pairs get the same numbers whenever they are made.
+    ``bound`` has the number of what is frequent everywhere for each level
+    below: of words by their own number, of pairs by their place among those
+    that the shard told the part. The rows of both come in any order. Here
+    what is frequent is numbered in the order of its number everywhere, so
+    a level's pairs come out the same whenever they are made.
     """
-    row = shard.slice(0, 1).to_pylist()[0]
-    numbers = unpacked(row["numbers"], row["place"])
-    level = bound["level"].to_numpy()
-    places, ids = bound["place"].to_numpy(), bound["id"].to_numpy()
+    shard = shard.sort_by("place")
+    row = shard.drop_columns("numbers").slice(0, 1).to_pylist()[0]
+    chunks = zip(shard["numbers"].to_pylist(), shard["length"].to_pylist())
+    numbers = np.concatenate([unpacked(data, length) for data, length in chunks])
+    told: dict[int, np.ndarray] = {}
     for below in range(1, row["level"]):
-        own = np.flatnonzero(level == below)
-        own = own[np.argsort(places[own])]
-        known, names = places[own], ids[own]
+        known, names = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for part, places, ids in heard(bound, below):
+            known.append(places if below == 1 else told[part][places] + 1)
+            names.append(ids)
+        known, names = np.concatenate(known), np.concatenate(names)
+        order = np.argsort(names)
+        known, names = known[order], names[order]
         renumbered = np.zeros(max(int(numbers.max(initial=0)), int(known.max(initial=0))) + 1, np.int64)
         renumbered[known] = np.arange(1, len(known) + 1)
         numbers = renumbered[numbers]
+        base = int(numbers.max(initial=0)) + 1
         at, pairs = neighbours(numbers)
+        names = np.concatenate([[0], names]).astype(np.int64)
         if below + 1 < row["level"]:
-            first, inverse = np.unique(pairs, return_inverse=True)
+            distinct, inverse = np.unique(pairs, return_inverse=True)
             numbers = np.zeros(len(numbers), np.int64)
             numbers[at] = inverse + 1
-    base = int(numbers.max(initial=0)) + 1
+            told = dict(dealt(part_of(names[distinct // base], names[distinct % base], row["parts"])))
     distinct, counts = np.unique(pairs, return_counts=True)
-    names = np.concatenate([[0], names]).astype(np.int64)
-    step, out = 100_000, []
-    for start in range(0, len(distinct), step):
-        pairs, count = distinct[start : start + step], counts[start : start + step]
-        out.append(
-            pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(pairs), row["shard"]), pa.int64()),
-                    pa.array(np.arange(start + 1, start + 1 + len(pairs)), pa.int32()),
-                    pa.array(names[pairs // base]),
-                    pa.array(names[pairs % base]),
-                    pa.array(count, pa.int64()),
-                    pa.array(count >= row["support"]),
-                ],
-                names=["shard", "place", "p", "q", "count", "frequent"],
-            )
-        )
-    schema = pa.schema([("shard", pa.int64()), ("place", pa.int32()), ("p", pa.int64()), ("q", pa.int64()),
-                        ("count", pa.int64()), ("frequent", pa.bool_())])
-    del numbers, distinct, counts, pairs
+    p, q = names[distinct // base], names[distinct % base]
+    out = []
+    for part, own in dealt(part_of(p, q, row["parts"])):
+        data = packed_columns(np.diff(p[own], prepend=0), q[own], counts[own])
+        out.append((row["shard"], None, part, 0, row["support"], len(own), data, None))
+    del numbers, at, pairs, distinct, counts, p, q
     give_back()
-    return pa.Table.from_batches(out, schema)
+    return pa.Table.from_batches([batch(MINED, out)])
+
+
+COUNTED = "shard long, level int, part long, length int, data binary, " \
+    "id long, lang string, word binary, p long, q long, f long"
 
 
-def candidates_only(mined: DataFrame) -> DataFrame:
-    """The local counts of phrases that some shard finds frequent.
+def count(rows: pa.Table, level: int, support: int, answer: bool) -> pa.Table:
+    """Of one part, what is frequent everywhere with its count ``f`` and number ``id``, and with ``answer`` a row for each shard.
 
-    What a shard marks is a candidate. Counts below a shard's support are kept
-    where another shard marks the phrase. Shards so small a part of all that
-    their support is one mark all they have, and nothing is left to look up.
+    What some shard finds frequent by its own support is a candidate, and
+    the counts that all shards have of it are added, also those below a
+    shard's support.
     """
-    below = mined.filter("NOT frequent")
-    if below.isEmpty():
-        return mined
-    marked = mined.filter("frequent")
-    return marked.unionByName(below.join(marked.select("p", "q").distinct(), ["p", "q"], "left_semi"))
+    rows = rows.sort_by([("shard", "ascending"), ("place", "ascending")])
+    part, lengths = rows["part"][0].as_py(), rows["length"].to_pylist()
+    columns = [unpacked_columns(d, n, 3 - (level == 1)) for d, n in zip(rows["data"].to_pylist(), lengths)]
+    counts = np.concatenate([own[-1] for own in columns])
+    marked_from = np.repeat(rows["support"].to_numpy(), lengths)
+    if level == 1:
+        places = [np.cumsum(own[0]) for own in columns]
+        words = [
+            lead + word
+            for lang, data in zip(rows["lang"].to_pylist(), rows["words"].to_pylist())
+            for lead in [lang.encode() + END]
+            for word in unpacked_words(data)
+        ]
+        coded = pa.array(words, pa.large_binary()).dictionary_encode()
+        key, kinds = coded.indices.to_numpy(), len(coded.dictionary)
+    else:
+        places = [np.arange(length) for length in lengths]
+        p = np.concatenate([np.cumsum(own[0]) for own in columns])
+        q = np.concatenate([own[1] for own in columns])
+        order = np.lexsort((q, p))
+        begins = np.diff(p[order], prepend=-1) != 0
+        begins |= np.diff(q[order], prepend=-1) != 0
+        key = np.empty(len(order), np.int64)
+        key[order] = np.cumsum(begins) - 1
+        first = order[begins]
+        kinds = len(first)
+        del order, begins
+    del columns
+    f, candidate = np.zeros(kinds, np.int64), np.zeros(kinds, bool)
+    np.add.at(f, key, counts)
+    candidate[key[counts >= marked_from]] = True
+    frequent = candidate & (f >= support)
+    index = np.cumsum(frequent) - 1
+    none = [None] * int(frequent.sum())
+    ids = (part << 32) + np.arange(len(none))
+    langs = words = pairs_p = pairs_q = none
+    if level == 1:
+        found = [name.split(END) for name in coded.dictionary.take(pa.array(np.flatnonzero(frequent))).to_pylist()]
+        langs, words = [lang.decode() for lang, _ in found], [word for _, word in found]
+    else:
+        pairs_p, pairs_q = p[first[frequent]], q[first[frequent]]
+    values = [none, none, none, none, none, ids, langs, words, pairs_p, pairs_q, f[frequent]]
+    schema = fields(COUNTED)
+    arrays = [pa.array(v, kind) for v, kind in zip(values, schema.types)]
+    out = [pa.RecordBatch.from_arrays(arrays, schema=schema)]
+    if answer:
+        start, told = 0, []
+        for shard, length, own in zip(rows["shard"].to_pylist(), lengths, places):
+            named = key[start : start + length]
+            stays = frequent[named]
+            start += length
+            if stays.any():
+                data = packed_columns(np.diff(own[stays], prepend=0), np.diff(index[named[stays]], prepend=0))
+                told.append((shard, level, part, int(stays.sum()), data, *[None] * 6))
+        out.append(batch(COUNTED, told))
+    del counts, marked_from, places, key
+    give_back()
+    return pa.Table.from_batches(out, schema)
 
 
 def counted(local: DataFrame, keys: list[str], support: int) -> DataFrame:
@@ -222,6 +345,7 @@ def collocations(
     longest: int = LONGEST,
     first: int | None = FIRST,
     shard_words: int = SHARD_WORDS,
+    part_words: int = PART_WORDS,
 ) -> DataFrame:
     """``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score`` of each language's best phrases.
 
@@ -249,17 +373,25 @@ def collocations(
     def numbered(frame: DataFrame) -> DataFrame:
         return frame.withColumn("row", F.monotonically_increasing_id() + 1)
 
+    def counts(mined: DataFrame, level: int) -> DataFrame:
+        own = mined.groupBy("part").applyInArrow(lambda rows: count(rows, level, support, level < longest), COUNTED)
+        return stored(own, f"phrase-counts-{level}")
+
     texts = docs.select(F.coalesce("lang", F.lit("und")), "text").filter(F.col("text").isNotNull())
-    made = stored(numbered(texts.mapInArrow(lambda rows: to_shards(rows, shard_words), SHARDS)), "phrase-shards")
-    words = made.filter(F.col("word").isNotNull())
-    totals = made.filter(F.col("word").isNull()).groupBy("lang").agg(F.sum("count").alias("n"))
-    shards = made.filter(F.col("word").isNull()).join(totals, "lang")
+    made = stored(texts.mapInArrow(lambda rows: to_shards(rows, shard_words), SHARDS), "phrase-shards")
+    totals = made.filter("numbers IS NOT NULL AND place = 0").groupBy("lang").agg(F.sum("count").alias("n"))
+    every_word = totals.agg(F.sum("n")).first()[0] or 0
     share = F.expr(f"({support} * CAST(count AS DECIMAL(20, 0)) + n - 1) DIV nullif(n, 0)")
-    shards = shards.select("shard", "numbers", "place", F.greatest(F.lit(1), share).alias("support"))
+    made = made.join(F.broadcast(totals), "lang").withColumn("support", F.greatest(F.lit(1), share).cast("long"))
+    made = made.withColumn("parts", F.lit(-(-every_word // part_words) or 1).cast("long"))
+    shards = made.filter(F.col("numbers").isNotNull()).select("shard", "support", "parts", "place", "length", "numbers")
+    words = made.filter(F.col("words").isNotNull()).select(
+        "shard", "lang", "support", "parts", "place", "words", "counts"
+    )
 
-    local = stored(counted(words, ["lang", "word"], support), "phrase-words")
-    bound = local.select("shard", F.lit(1).alias("level"), "place", "id")
-    level = local.filter("row = id").select(
+    counted_here = counts(words.mapInArrow(words_in_parts, MINED), 1)
+    bound = counted_here.filter("data IS NOT NULL").select("shard", "level", "part", "length", "data")
+    level = counted_here.filter("id IS NOT NULL").select(
         "id", "lang", F.col("word").cast("string").alias("phrase"), "f", F.array().cast("array<long>").alias("starts"),
         F.array().cast("array<long>").alias("ends"),
     )
@@ -268,14 +400,10 @@ def collocations(
     for length in range(2, longest + 1):
         own = shards.withColumn("level", F.lit(length))
         pairs = own.groupBy("shard").cogroup(bound.groupBy("shard")).applyInArrow(mine, MINED)
-        mined = stored(numbered(pairs), f"phrases-{length}")
+        counted_here = counts(pairs, length)
+        frequent = counted_here.filter("id IS NOT NULL").select("id", "p", "q", "f")
         if length < longest:
-            local = stored(counted(candidates_only(mined), ["p", "q"], support), f"phrase-counts-{length}")
-            bound = bound.unionByName(local.select("shard", F.lit(length).alias("level"), "place", "id"))
-            frequent = local.filter("row = id").select("id", "p", "q", "f")
-        else:
-            sums = candidates_only(mined).groupBy("p", "q").agg(F.sum("count").alias("f"))
-            frequent = sums.filter(F.col("f") >= support).withColumn("id", F.lit(None).cast("long"))
+            bound = bound.unionByName(counted_here.filter("data IS NOT NULL").select(*bound.columns))
         if found:  # a longer candidate that has enough of the occurrences takes a phrase out
             nested = frequent.select(F.explode(F.array("p", "q")).alias("id"), F.col("f").alias("longer"))
             nested = nested.groupBy("id").agg(F.max("longer").alias("longer"))

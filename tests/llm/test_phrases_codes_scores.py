@@ -88,6 +88,23 @@ def test_phrases_in_any_order_of_a_shards_rows(spark, monkeypatch):
         assert sorted(tuple(row) for row in got.collect()) == best_phrases(rows, 10, longest, 50)
 
 
+@pytest.mark.parametrize("part_words, longest", [(3, 4), (1000, 3)])
+def test_phrases_counted_in_parts(spark, part_words, longest):
+    rows = [row for row in PHRASES if row[1] != LONG_TEXT]
+    rows += [(500, "a b c " * 20, "aen", "a"), (501, "na b c " * 20, "ae", "a")]
+    got = collocations.collocations(documents(spark, rows), 10, longest, 50, 200, part_words)
+    assert sorted(tuple(row) for row in got.collect()) == best_phrases(rows, 10, longest, 50)
+
+
+def test_phrases_take_few_bytes_a_word_of_scratch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(collocations, "scratch", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    draw = np.random.default_rng(11)
+    rows = [(i, " ".join(f"w{n}" for n in draw.zipf(1.3, 1000) % 3000), "en", "a") for i in range(300)]
+    got = collocations.collocations(documents(spark, rows).repartition(10, "doc_id"), 10, 3, 50)
+    assert sorted(tuple(row) for row in got.collect()) == best_phrases(rows, 10, 3, 50)
+    assert sum(path.stat().st_size for path in tmp_path.rglob("*.parquet")) < 5 * 300_000
+
+
 def test_no_phrases(spark):
     assert collocations.collocations(no_documents(spark)).collect() == []
     assert collocations.collocations(documents(spark, [(1, " .\n", None, None)])).collect() == []
