@@ -158,7 +158,7 @@ def silver_compacted(layers: Layers) -> DataFrame:
     stages = layers.bronze().withColumn("stage", F.pmod("offset", F.lit(3)).cast("int"))
     for stage in range(3):
         rows = stages.where(F.col("stage") == stage).drop("stage")
-        rows.repartition(REPLAY_FILES_PER_BATCH).write.mode("append").parquet(bronze)
+        jobs.bronze_writer(rows.repartition(REPLAY_FILES_PER_BATCH)).mode("append").parquet(bronze)
         jobs.route_silver(jobs.bronze_stream(spark, bronze, 1), progress, silver)
         if stage < 2:
             jobs.compact_silver(spark, silver, segments)

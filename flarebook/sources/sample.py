@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flarebook.session import SHORT_METHODS, settings
+
 TOPIC = "alerts.notices.final_position"
 DEAD_END = "error"  # event type without a trigger number
 
@@ -232,9 +234,10 @@ def write_replay(spark: SparkSession, events: DataFrame, path: str) -> None:
     """Store the derived records, spread evenly over as many tasks as a shuffle has."""
     events = events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     # Text is far larger than the event it comes from, so long tasks roll files.
-    (
-        envelope_from_events(events)
-        .write.option("maxRecordsPerFile", 1_000_000)
-        .mode("overwrite")
-        .parquet(path)
-    )
+    with settings(spark, SHORT_METHODS):
+        (
+            envelope_from_events(events)
+            .write.option("maxRecordsPerFile", 1_000_000)
+            .mode("overwrite")
+            .parquet(path)
+        )

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from flarebook.operators.bronze import to_bronze
 from flarebook.operators.gold import BURST_DAY, burst_day
 from flarebook.operators.silver import LaterField, parse_notices, with_later_fields
 from flarebook.schemas import BRONZE, SILVER, SILVER_COLUMNS
+from flarebook.session import settings
 from flarebook.streaming.compaction import TARGET_BYTES, compact, read_compacted
 from flarebook.workspace import exists
 
+# Several tasks share a file by whole row groups, whose size is counted as packed. One of
+# Parquet's own size holds close to a million notices, which a single task would parse.
+BRONZE_FILES = {"parquet.block.size": 1 << 20}
+
 
 def drain(
     frame: DataFrame,
@@ -43,11 +48,18 @@ def drain(
     return query
 
 
+def bronze_writer(bronze: DataFrame) -> DataFrameWriter:
+    """Writes Bronze in row groups small enough that even one file is parsed by many tasks."""
+    return bronze.write.options(**BRONZE_FILES)
+
+
 def ingest_bronze(
     records: DataFrame, checkpoint: str, path: str, table: str | None = None, file_format: str = "parquet"
 ) -> StreamingQuery:
     """Land the payloads as sent. Nothing is parsed, so Silver can be rebuilt."""
-    return drain(to_bronze(records), checkpoint, path, table, file_format=file_format)
+    # A stream's writer hands no options to Parquet.
+    with settings(records.sparkSession, BRONZE_FILES):
+        return drain(to_bronze(records), checkpoint, path, table, file_format=file_format)
 
 
 def bronze_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
